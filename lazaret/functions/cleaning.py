@@ -61,8 +61,10 @@ class Policy:
     absolute: bool = False
 
     def apply(self, c: Column) -> Column:
-        if self.clean is not None:
-            c = clean_number(c, self.clean)
+        return self.finish(c if self.clean is None else clean_number(c, self.clean))
+
+    def finish(self, c: Column) -> Column:
+        """All steps after the cleaning."""
         if self.to in ("tinyint", "smallint", "int", "bigint"):
             c = to_int(c, self.to)
         elif self.to is not None:

@@ -8,11 +8,14 @@ types, where such a field is NULL and its text gone.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lazaret.functions.identity import message_id
+from lazaret.functions.once import with_columns_once
 
 ENVELOPE_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")
 
@@ -64,13 +67,10 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
         raise ValueError(f"a contract cannot use the names {sorted(clash)}")
     value = F.col("value").cast("string")
     envelope = [c for c in ENVELOPE_COLUMNS if c in df.columns]
-    parsed = df.select(
-        *(c for c in df.columns if c not in envelope),
-        F.struct(*(value.alias(c) if c == "value" else F.col(c) for c in envelope)).alias(
-            "message"
-        ),
-        F.from_json(value, _wire_schema(schema, mode), _STRICT).alias("_data"),
-    )
+    whole = F.struct(*(value.alias(c) if c == "value" else F.col(c) for c in envelope))
+    parsed = with_columns_once(
+        df, {"message": whole, "_data": F.from_json(value, _wire_schema(schema, mode), _STRICT)}
+    ).drop(*envelope)
 
     data, message = F.col("_data"), F.col("message")
     unreadable = data.isNull() | data[_CORRUPT].isNotNull()
@@ -102,20 +102,17 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
 
 
 def encode(
-    df: DataFrame, schema: T.StructType, bookkeeping: bool = True, keep_text: bool = True
+    df: DataFrame, schema: T.StructType, replace: Mapping[str, Column] | None = None
 ) -> Column:
-    """The wire record of each row, in contract order. NULL fields are left out.
+    """The wire record of each row: the fields in contract order, then the bookkeeping the rows have.
 
-    When the rows carry ``text`` (see ``decode``), a field whose typed value is NULL is written
-    as the text that came in, so nothing is lost on the way to the quarantine.
+    NULL fields are left out. When the rows carry ``text`` (see ``decode``), fields are written as
+    text, and one whose typed value is NULL as the text that came in, so nothing is lost on the way.
+    ``replace`` gives other columns for some fields.
     """
-    if keep_text and "text" in df.columns:
-        fields = [
-            F.coalesce(F.col(name).cast("string"), F.col("text")[name]).alias(name)
-            for name in schema.fieldNames()
-        ]
-    else:
-        fields = [F.col(name) for name in schema.fieldNames()]
-    if bookkeeping:
-        fields += [F.col(name) for name in BOOKKEEPING.fieldNames() if name in df.columns]
-    return F.to_json(F.struct(*fields))
+    fields = {name: F.col(name) for name in schema.fieldNames()}
+    if "text" in df.columns:
+        fields = {n: F.coalesce(c.cast("string"), F.col("text")[n]) for n, c in fields.items()}
+    fields |= replace or {}
+    fields |= {name: F.col(name) for name in BOOKKEEPING.fieldNames() if name in df.columns}
+    return F.to_json(F.struct(*(c.alias(name) for name, c in fields.items())))

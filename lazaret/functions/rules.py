@@ -73,17 +73,31 @@ def verdict(rules: Sequence[Rule], null_verdict: str = "quarantine", at: At = F.
     raise ValueError(f"null_verdict must be 'quarantine' or 'drop', not {null_verdict!r}")
 
 
-def reasons(rules: Sequence[Rule], at: At = F.col) -> Column:
-    """Names of the rules a row breaks, in rule order; empty for a valid row."""
-    broken = [
-        F.when(~F.coalesce(rule.condition(at), F.lit(False)), F.lit(rule.name)) for rule in rules
+def failures(rules: Sequence[Rule], at: At = F.col) -> Column:
+    """The broken rules as a bit mask, rule 0 in the lowest bit; 0 for a valid row.
+
+    One number says both whether a row is valid and why not, so each rule is evaluated once and the
+    generated code stays short enough for the JVM to compile it.
+    """
+    if len(rules) > 62:
+        raise ValueError("a mask has room for 62 rules; join some of them into one")
+    bits = [
+        F.when(rule.condition(at), 0).otherwise(F.lit(1 << i).cast("bigint"))
+        for i, rule in enumerate(rules)
     ]
-    return F.array_compact(F.array(*broken))
+    return reduce(lambda left, right: left + right, bits)
 
 
-def reason_text(rules: Sequence[Rule], at: At = F.col) -> Column:
-    """``reasons`` as one comma-separated string; NULL for a valid row. ``concat_ws`` skips NULLs."""
-    broken = [
-        F.when(~F.coalesce(rule.condition(at), F.lit(False)), F.lit(rule.name)) for rule in rules
+def names(mask: Column, rules: Sequence[Rule], more: Sequence[str] = ()) -> Column:
+    """The names in a mask as one comma-separated string; NULL for 0. ``more`` names higher bits."""
+    labels = [rule.name for rule in rules] + list(more)
+    found = [
+        F.when(mask.bitwiseAND(1 << i) != 0, F.lit(label)) for i, label in enumerate(labels)
     ]
-    return F.nullif(F.concat_ws(",", *broken), F.lit(""))
+    return F.when(mask != 0, F.concat_ws(",", *found))
+
+
+def reasons(rules: Sequence[Rule], at: At = F.col) -> Column:
+    """Names of the rules a row breaks, in rule order; empty for a valid row."""
+    broken = [F.when(~F.coalesce(r.condition(at), F.lit(False)), F.lit(r.name)) for r in rules]
+    return F.array_compact(F.array(*broken))

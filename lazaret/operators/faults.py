@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lazaret.functions.codec import encode
+from lazaret.functions.once import with_columns_once
+
 # What is written on the wire in place of a value that is not a number.
 INVALID_TEXT = "invalid_value"
 
@@ -41,49 +44,53 @@ def plan(
     seed: int = 42,
 ) -> DataFrame:
     """Add ``fault``, and for a row to damage ``kind`` (missing_field, invalid_value) and ``field``."""
-    with_digest = df.withColumn("_digest", digest(key, seed))
     d = F.col("_digest")
     slot = F.substring(d, 6, 2)
-    field = F.lit(fields[-1])
-    for name, limit in reversed(list(zip(fields[:-1], field_limits(fields)))):
-        field = F.when(slot < limit, name).otherwise(field)
+    name = F.lit(fields[-1])
+    for other, limit in reversed(list(zip(fields[:-1], field_limits(fields)))):
+        name = F.when(slot < limit, other).otherwise(name)
+    kind = F.when(F.substring(d, 5, 1) < "8", "missing_field").otherwise("invalid_value")
     fault = F.substring(d, 1, 4) < rate_limit(rate)
-    return with_digest.withColumns(
-        {
-            "fault": fault,
-            "kind": F.when(
-                fault,
-                F.when(F.substring(d, 5, 1) < "8", "missing_field").otherwise("invalid_value"),
-            ),
-            "field": F.when(fault, field),
-        }
+    return with_columns_once(
+        df.withColumn("_digest", digest(key, seed)),
+        {"fault": fault, "kind": F.when(fault, kind), "field": F.when(fault, name)},
     ).drop("_digest")
 
 
-def inject(df: DataFrame, fields: Sequence[str], wire: bool = False) -> DataFrame:
+def inject(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Carry out the plan on ``fields``.
 
     A missing field becomes NULL, which ``to_json`` leaves out. An invalid number gets a negative
-    sign; anything else, also an absent number, becomes the text ``invalid_value``. A typed column
-    cannot hold that text, so there an absent number stays NULL; ``wire=True`` turns the fields into
-    text and writes it.
+    sign, any other value becomes the text ``invalid_value``. A typed column cannot hold that text in
+    place of an absent number; ``wire_record`` can.
     """
     columns = {}
     for name in fields:
-        here = F.col("field") == name
-        numeric = isinstance(df.schema[name].dataType, T.NumericType)
-        value = F.col(name)
-        if numeric and not wire:
-            invalid = -F.abs(value)
-        elif numeric:
-            invalid = F.coalesce((-F.abs(value)).cast("string"), F.lit(INVALID_TEXT))
-        else:
-            invalid = F.lit(INVALID_TEXT)
-        if wire:
-            value = value.cast("string")
+        here, value = F.col("field") == name, F.col(name)
+        invalid = -F.abs(value) if _is_number(df, name) else F.lit(INVALID_TEXT)
         columns[name] = (
             F.when(here & (F.col("kind") == "missing_field"), F.lit(None))
             .when(here & (F.col("kind") == "invalid_value"), invalid)
             .otherwise(value)
         )
     return df.withColumns(columns)
+
+
+def wire_record(df: DataFrame, schema: T.StructType, fields: Sequence[str]) -> Column:
+    """The JSON of an injected row: numbers stay numbers, and where the plan wanted an invalid number
+    but there was none, the field is the text ``invalid_value``."""
+    record = encode(df, schema)
+    for name in fields:
+        if _is_number(df, name):
+            absent = (
+                (F.col("kind") == "invalid_value")
+                & (F.col("field") == name)
+                & F.col(name).isNull()
+            )
+            as_text = encode(df, schema, replace={name: F.lit(INVALID_TEXT)})
+            record = F.when(absent, as_text).otherwise(record)
+    return record
+
+
+def _is_number(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.NumericType)

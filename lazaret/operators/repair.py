@@ -9,22 +9,40 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lazaret.functions.cleaning import Policy
+from lazaret.functions.cleaning import Policy, clean_number
+from lazaret.functions.once import with_columns_once
 
 
-def repaired_columns(df: DataFrame, policies: Sequence[Policy]) -> dict[str, Column]:
-    """The repaired form of each column that has a policy, by name.
+def with_repairs(
+    df: DataFrame, policies: Sequence[Policy], prefix: str = "_fixed_"
+) -> DataFrame:
+    """Add the repaired form of each column that has a policy, under ``prefix``.
 
     A policy that cleans starts from the text as it came in where the rows carry it, because the
-    typed column is already NULL for a text such as ``$12.50``.
+    typed column is already NULL for a text such as ``$12.50``. All texts of one way of cleaning go
+    through one array function, so the generated code does not grow with the number of columns.
     """
     texts = df.schema["text"].dataType.fieldNames() if _has_text(df) else []
-    return {
-        p.column: p.apply(
-            F.col("text")[p.column] if p.clean and p.column in texts else F.col(p.column)
-        ).try_cast(df.schema[p.column].dataType)
-        for p in policies
-    }
+    started = {p.column: F.col(p.column) for p in policies}
+    arrays = {}
+    for way in sorted({p.clean for p in policies if p.clean}):
+        columns = [p.column for p in policies if p.clean == way]
+        dirty = F.array(
+            *(F.col("text")[c] if c in texts else F.col(c).cast("string") for c in columns)
+        )
+        arrays[f"_{way}"] = F.transform(dirty, _cleaner(way))
+        started |= {c: F.col(f"_{way}")[i] for i, c in enumerate(columns)}
+    cleaned = with_columns_once(df, arrays) if arrays else df
+    return cleaned.withColumns(
+        {
+            prefix + p.column: p.finish(started[p.column]).try_cast(df.schema[p.column].dataType)
+            for p in policies
+        }
+    ).drop(*arrays)
+
+
+def _cleaner(way: str):
+    return lambda text: clean_number(text, way)
 
 
 def _has_text(df: DataFrame) -> bool:
@@ -32,8 +50,11 @@ def _has_text(df: DataFrame) -> bool:
 
 
 def repair(df: DataFrame, policies: Sequence[Policy]) -> DataFrame:
-    """Apply all policies in one projection."""
-    return df.withColumns(repaired_columns(df, policies))
+    """Apply all policies."""
+    fixed = {p.column for p in policies}
+    return with_repairs(df, policies).select(
+        *(F.col(f"_fixed_{c}").alias(c) if c in fixed else F.col(c) for c in df.columns)
+    )
 
 
 def overlay(

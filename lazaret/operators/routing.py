@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lazaret.functions.rules import At, Rule, conjunction, reason_text, verdict
+from lazaret.functions.rules import At, Rule, conjunction, failures, names, verdict
+from lazaret.functions.once import with_columns_once
 from lazaret.sources import storage
 
 # Fixed value: the error stored with a row whose retries are used up.
@@ -16,20 +17,29 @@ RETRIES_EXCEEDED = "Max retries exceeded"
 MAX_RETRIES = 3
 
 
+# Fixed value: the reason given for a message that is no JSON object.
+DECODE = "decode"
+
+
+def broken(df: DataFrame, rules: Sequence[Rule], at: At = F.col) -> Column:
+    """Mask of the broken rules (``functions.rules.failures``); a malformed message has a bit of its
+    own after the rules."""
+    mask = failures(rules, at)
+    if "malformed" in df.columns:
+        return F.when(F.col("malformed"), F.lit(1 << len(rules)).cast("bigint")).otherwise(mask)
+    return mask
+
+
+def broken_names(mask: Column, rules: Sequence[Rule]) -> Column:
+    return names(mask, rules, [DECODE])
+
+
 def is_valid(df: DataFrame, rules: Sequence[Rule], null_verdict: str = "quarantine") -> Column:
     """Verdict of a row; a malformed message (see ``functions.codec``) is never valid."""
     valid = verdict(rules, null_verdict)
     return ~F.col("malformed") & valid if "malformed" in df.columns else valid
 
 
-def broken_rules(df: DataFrame, rules: Sequence[Rule], at: At = F.col) -> Column:
-    """Comma-separated names of the broken rules, ``decode`` for a malformed message."""
-    text = reason_text(rules, at)
-    if "malformed" in df.columns:
-        return F.when(F.col("malformed"), F.lit("decode")).otherwise(text)
-    return text
-
-
 def judge(df: DataFrame, rules: Sequence[Rule], null_verdict: str = "quarantine") -> DataFrame:
     """Add ``is_valid``."""
     return df.withColumn("is_valid", is_valid(df, rules, null_verdict))
@@ -55,17 +65,21 @@ def triage(df: DataFrame, rules: Sequence[Rule], null_verdict: str = "quarantine
 
     Under ``null_verdict="drop"`` rows judged NULL have no route.
     """
-    judged = judge(df, rules, null_verdict)
+    judged = with_columns_once(df, {"_broken": broken(df, rules)})
+    mask = F.col("_broken")
+    unknown = F.lit(False)
+    if null_verdict == "drop":
+        unknown = is_valid(df, rules, "drop").isNull()
     earlier = F.col("failed_rules") if "failed_rules" in df.columns else F.lit(None)
     return judged.withColumns(
         {
-            "route": F.when(F.col("is_valid"), "processed").when(~F.col("is_valid"), "dlq"),
+            "route": F.when(mask == 0, "processed").when(~unknown, "dlq"),
             # a valid row keeps the reasons of its last failed visit, if any
-            "failed_rules": F.when(F.col("is_valid"), earlier.cast("string")).otherwise(
-                broken_rules(df, rules)
+            "failed_rules": F.when(mask == 0, earlier.cast("string")).otherwise(
+                broken_names(mask, rules)
             ),
         }
-    ).drop("is_valid")
+    ).drop("_broken")
 
 
 def next_count(null_count: str = "zero") -> Column:

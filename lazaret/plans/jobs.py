@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lazaret.contracts import DLQ
-from lazaret.functions.codec import decode, encode
+from lazaret.functions.codec import decode
 from lazaret.operators import events, faults, metrics
 from lazaret.operators.unions import union_all
 from lazaret.plans.presets import Preset
@@ -64,11 +64,11 @@ def messages(
         }
     )
     planned = faults.plan(placed, preset.key, preset.fault_fields, rate, seed)
-    damaged = faults.inject(planned, preset.fault_fields, wire=True)
+    damaged = faults.inject(planned, preset.fault_fields)
     counted = damaged.withColumn("retry_count", F.lit(0))
     return counted.select(
         F.lit(None).cast("string").alias("key"),
-        encode(counted, preset.schema).alias("value"),
+        faults.wire_record(counted, preset.schema, preset.fault_fields).alias("value"),
         F.lit(topic).alias("topic"),
         "partition",
         "offset",
@@ -92,13 +92,15 @@ def publish(
 
 def quarantine_rows(df: DataFrame) -> DataFrame:
     """Quarantine messages as rows of the DLQ table, with their text, reasons and retry count."""
-    read = decode(df, T.StructType([]), "text")
-    return read.withColumns(
-        {
-            "msg_offset": F.col("offset"),
-            "payload": F.coalesce("value", F.lit("")),
-            "error": F.col("failed_rules"),
-        }
+    place = ("topic", "partition", "timestamp")
+    message = F.col("message")
+    return decode(df, T.StructType([])).select(
+        "message_id",
+        *(message[c].alias(c) for c in place),
+        message["offset"].alias("msg_offset"),
+        F.coalesce("raw", message["value"], F.lit("")).alias("payload"),
+        F.coalesce("failed_rules", F.when(F.col("malformed"), "decode")).alias("error"),
+        "retry_count",
     )
 
 

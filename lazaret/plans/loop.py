@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lazaret.functions.cleaning import Policy
-from lazaret.functions.rules import Rule, verdict
-from lazaret.operators.repair import repaired_columns
+from lazaret.functions.rules import Rule
+from lazaret.functions.once import with_columns_once
+from lazaret.operators.repair import with_repairs
 from lazaret.operators.routing import (
     MAX_RETRIES,
     RETRIES_EXCEEDED,
-    broken_rules,
+    broken,
+    broken_names,
     fan_out,
-    is_valid,
     next_count,
     retry_route,
 )
@@ -41,42 +42,36 @@ def resolve(
     """
     if "retry_count" not in df.columns:
         df = df.withColumn("retry_count", F.lit(0))
-    fixed = repaired_columns(df, policies)
+    fixed = [p.column for p in policies]
 
     def after(name: str):
         return F.col(_FIXED + name) if name in fixed else F.col(name)
 
-    checked = df.withColumns(
-        {
-            "_valid": is_valid(df, rules),
-            "_broken": broken_rules(df, rules),
-            "_count": next_count(),
-            **{_FIXED + name: c for name, c in fixed.items()},
-        }
-    )
-    valid, last_visit = F.col("_valid"), F.col("_count") >= max_retries
-    readable = ~F.col("malformed") if "malformed" in df.columns else F.lit(True)
-    outcome = (
-        F.when(valid, "processed")
-        .when(last_visit, "failed")
-        .when(readable & verdict(rules, at=after), "repaired")
-        .otherwise("failed")
+    mended = with_repairs(df, policies, _FIXED)
+    checked = with_columns_once(
+        mended, {"_now": broken(df, rules), "_then": broken(df, rules, after)}
     )
-    ended = checked.withColumn("outcome", outcome)
-    o = F.col("outcome")
+    now, then, count = F.col("_now"), F.col("_then"), next_count()
+    valid, last_visit, cured = now == 0, count >= max_retries, then == 0
     earlier = F.col("failed_rules") if "failed_rules" in df.columns else F.lit(None)
-    return ended.withColumns(
+    # the mask of the last check that failed
+    last = F.when(last_visit | cured, now).otherwise(then)
+    return checked.withColumns(
         {
+            "outcome": F.when(valid, "processed")
+            .when(last_visit, "failed")
+            .when(cured, "repaired")
+            .otherwise("failed"),
             "retry_count": F.when(valid, F.coalesce("retry_count", F.lit(0)))
-            .when((o == "repaired") | last_visit, F.col("_count"))
+            .when(last_visit | cured, count)
             .otherwise(F.lit(max_retries)),
-            "failed_rules": F.when(valid, earlier.cast("string"))
-            .when((o == "repaired") | last_visit, F.col("_broken"))
-            .otherwise(broken_rules(df, rules, after)),
-            "error": F.when(o == "failed", F.lit(RETRIES_EXCEEDED)).cast("string"),
+            "failed_rules": F.when(valid, earlier.cast("string")).otherwise(
+                broken_names(last, rules)
+            ),
+            "error": F.when(~valid & (last_visit | ~cured), F.lit(RETRIES_EXCEEDED)),
             **{name: F.when(valid, F.col(name)).otherwise(after(name)) for name in fixed},
         }
-    ).drop("_valid", "_broken", "_count", *(_FIXED + name for name in fixed))
+    ).drop("_now", "_then", *(_FIXED + name for name in fixed))
 
 
 def visit(
@@ -90,22 +85,24 @@ def visit(
     Adds ``route``: processed, retry or failed.
     """
     earlier = F.col("failed_rules") if "failed_rules" in df.columns else F.lit(None)
-    judged = df.withColumns({"_valid": is_valid(df, rules), "_count": next_count()}).withColumn(
-        "failed_rules",
-        F.when(F.col("_valid"), earlier.cast("string")).otherwise(broken_rules(df, rules)),
-    )
-    valid, count = F.col("_valid"), F.col("_count")
+    mended = with_repairs(df, policies, _FIXED)
+    judged = with_columns_once(mended, {"_now": broken(df, rules)})
+    now, count = F.col("_now"), next_count()
+    valid = now == 0
     fixed = {
-        name: F.when(valid, F.col(name)).otherwise(c)
-        for name, c in repaired_columns(judged, policies).items()
+        p.column: F.when(valid, F.col(p.column)).otherwise(F.col(_FIXED + p.column))
+        for p in policies
     }
     return judged.withColumns(
         {
             "route": F.when(valid, "processed").otherwise(retry_route(count, max_retries)),
             "retry_count": F.when(valid, F.coalesce("retry_count", F.lit(0))).otherwise(count),
+            "failed_rules": F.when(valid, earlier.cast("string")).otherwise(
+                broken_names(now, rules)
+            ),
             **fixed,
         }
-    ).drop("_valid", "_count")
+    ).drop("_now", *(_FIXED + name for name in fixed))
 
 
 def iterate(

@@ -19,7 +19,7 @@ class Topic:
     With ``servers`` it is a Kafka topic. Otherwise ``path`` is its folder; a reader may name
     several folders in a glob pattern. ``options`` are passed on to the reader: for Kafka for
     instance ``minPartitions`` to split a hot partition over tasks and ``maxOffsetsPerTrigger``, for
-    a folder ``maxFilesPerTrigger``.
+    a folder ``maxFilesPerTrigger`` and ``maxFileAge``, which stands for the topic's retention.
     """
 
     name: str

@@ -118,8 +118,13 @@ class Separate:
 
     def emit(self, stage: str, df: DataFrame, batch_id: int) -> None:
         def stored(rows: DataFrame) -> DataFrame:
-            place = rows.withColumns({"msg_offset": F.col("offset"), "payload": F.col("value")})
-            return place.select(*place.columns, "data.*")
+            own = [f"data.{f}" for f in rows.schema["data"].dataType.fieldNames()]
+            return rows.select(
+                *("message_id", "topic", "partition", "retry_count", "failed_rules", "error"),
+                F.col("offset").alias("msg_offset"),
+                F.col("value").alias("payload"),
+                *(own if stage == "validate" else []),
+            )
 
         if stage == "validate":
             branches = {
@@ -200,13 +205,11 @@ def _outgoing(df: DataFrame, p: Pipeline) -> DataFrame:
 
 
 def validate_batch(df: DataFrame, batch_id: int, p: Pipeline) -> None:
-    if not df.isEmpty():
-        p.sinks.emit("validate", validated(df, p), batch_id)
+    p.sinks.emit("validate", validated(df, p), batch_id)
 
 
 def repair_batch(df: DataFrame, batch_id: int, p: Pipeline) -> None:
-    if not df.isEmpty():
-        p.sinks.emit("repair", repaired(df, p), batch_id)
+    p.sinks.emit("repair", repaired(df, p), batch_id)
 
 
 def _start(stream: DataFrame, name: str, work, p: Pipeline, trigger: dict) -> StreamingQuery:
