@@ -17,7 +17,7 @@ from lazaret.catalog.inputs import (
     reasons_sql,
     table,
 )
-from lazaret.contracts import DLQ, PROCESSED, Contract, enforce, violations
+from lazaret.contracts import DLQ, PROCESSED, Contract, enforce, schema_of, violations
 from lazaret.functions.codec import decode
 from lazaret.functions.identity import message_id
 from lazaret.operators.routing import fan_out, triage
@@ -146,7 +146,7 @@ def _identified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_EVENTS_TABLE = PROCESSED.with_fields(T.StructType.fromDDL("event_id bigint, event_type string"))
+_EVENTS_TABLE = PROCESSED.with_fields(schema_of(event_id="long", event_type="string"))
 _APPENDED = ["message_id", "topic", "partition", "msg_offset", "event_id", "event_type"]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lazaret.catalog.inputs import RATE, event_messages, event_place, events, lineitem_ctes, table
+from lazaret.contracts import schema_of
 from lazaret.functions import cleaning, identity
 from lazaret.functions.cleaning import Policy
 from lazaret.functions.codec import decode, encode
@@ -28,7 +29,7 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field of the JSON text column, summed."""
     wire = table(spark, sf_dir, "events").select("event_type", F.col("props").alias("value"))
-    read = decode(wire, T.StructType.fromDDL("k int"), "typed")
+    read = decode(wire, schema_of(k="integer"), "typed")
     return read.groupBy("event_type").agg(F.sum("k").alias("sum_k"), F.count("k").alias("n"))
 
 
@@ -238,7 +239,7 @@ WITH placed AS (
   SELECT event_id, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset",
     (event_id // 3) % 7 AS k
   FROM events)
-SELECT partition, "offset", k IN (0, 2, 3) AS malformed, k IN (0, 3) AS has_raw,
+SELECT partition, "offset", k IN (0, 2, 3) AS malformed, k IN (0, 2, 3) AS has_raw,
   CASE WHEN k IN (0, 2, 3) THEN 'decode' WHEN k = 1 THEN
     'event_id:not_null,ts:not_null,user_id:not_null,event_type:one_of,value:at_least' END
     AS failed_rules,

@@ -10,40 +10,45 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ENVELOPE = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("timestamp", T.TimestampType()),
-    ]
+
+def schema_of(**types: str) -> T.StructType:
+    """A schema from names and simple type names; unlike DDL text it needs no session."""
+    schema = T.StructType()
+    for name, kind in types.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
+ENVELOPE = schema_of(
+    key="string",
+    value="string",
+    topic="string",
+    partition="integer",
+    offset="long",
+    timestamp="timestamp",
 )
 
 # The fields of a trip message, in order, with their types.
-TRIP = T.StructType(
-    [
-        T.StructField("VendorID", T.IntegerType()),
-        T.StructField("tpep_pickup_datetime", T.StringType()),
-        T.StructField("tpep_dropoff_datetime", T.StringType()),
-        T.StructField("passenger_count", T.IntegerType()),
-        T.StructField("trip_distance", T.FloatType()),
-        T.StructField("pickup_longitude", T.FloatType()),
-        T.StructField("pickup_latitude", T.FloatType()),
-        T.StructField("RateCodeID", T.IntegerType()),
-        T.StructField("store_and_fwd_flag", T.StringType()),
-        T.StructField("dropoff_longitude", T.FloatType()),
-        T.StructField("dropoff_latitude", T.FloatType()),
-        T.StructField("payment_type", T.IntegerType()),
-        T.StructField("fare_amount", T.FloatType()),
-        T.StructField("extra", T.FloatType()),
-        T.StructField("mta_tax", T.FloatType()),
-        T.StructField("tip_amount", T.FloatType()),
-        T.StructField("tolls_amount", T.FloatType()),
-        T.StructField("improvement_surcharge", T.FloatType()),
-        T.StructField("total_amount", T.FloatType()),
-    ]
+TRIP = schema_of(
+    VendorID="integer",
+    tpep_pickup_datetime="string",
+    tpep_dropoff_datetime="string",
+    passenger_count="integer",
+    trip_distance="float",
+    pickup_longitude="float",
+    pickup_latitude="float",
+    RateCodeID="integer",
+    store_and_fwd_flag="string",
+    dropoff_longitude="float",
+    dropoff_latitude="float",
+    payment_type="integer",
+    fare_amount="float",
+    extra="float",
+    mta_tax="float",
+    tip_amount="float",
+    tolls_amount="float",
+    improvement_surcharge="float",
+    total_amount="float",
 )
 
 
@@ -67,17 +72,21 @@ class Contract:
         return Contract(self.name, schema, self.required, self.unique, self.defaults)
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 # Table names, columns, required columns and defaults.
 DLQ = Contract(
     "dlq_messages",
-    _schema(
-        "message_id string, topic string, partition int, msg_offset bigint, timestamp timestamp,"
-        " payload string, error string, retry_count int, status string,"
-        " created_at timestamp, updated_at timestamp"
+    schema_of(
+        message_id="string",
+        topic="string",
+        partition="integer",
+        msg_offset="long",
+        timestamp="timestamp",
+        payload="string",
+        error="string",
+        retry_count="integer",
+        status="string",
+        created_at="timestamp",
+        updated_at="timestamp",
     ),
     ("message_id", "topic", "partition", "msg_offset", "timestamp", "payload"),
     defaults={
@@ -89,17 +98,28 @@ DLQ = Contract(
 )
 PROCESSED = Contract(
     "processed_messages",
-    _schema(
-        "message_id string, topic string, partition int, msg_offset bigint, processed_at timestamp"
+    schema_of(
+        message_id="string",
+        topic="string",
+        partition="integer",
+        msg_offset="long",
+        processed_at="timestamp",
     ),
     ("message_id", "topic", "partition", "msg_offset"),
     defaults={"processed_at": F.current_timestamp},
 )
 FAILED = Contract(
     "failed_messages",
-    _schema(
-        "message_id string, topic string, partition int, msg_offset bigint, error string,"
-        " retry_count int, failed_at timestamp, failed_rules string, payload string"
+    schema_of(
+        message_id="string",
+        topic="string",
+        partition="integer",
+        msg_offset="long",
+        error="string",
+        retry_count="integer",
+        failed_at="timestamp",
+        failed_rules="string",
+        payload="string",
     ),
     ("message_id", "topic", "partition", "msg_offset", "error", "retry_count"),
     defaults={"failed_at": F.current_timestamp},

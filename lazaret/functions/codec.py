@@ -93,7 +93,8 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
         "retry_count": data["retry_count"],
         "message_id": F.coalesce(data["message_id"], first_seen),
         "failed_rules": data["failed_rules"],
-        "raw": F.coalesce(data["raw"], F.when(unreadable, message["value"])),
+        # an absent value is kept as an empty text, so that it stays malformed on later visits
+        "raw": F.coalesce(data["raw"], F.when(unreadable, F.coalesce(message["value"], F.lit("")))),
         "malformed": unreadable | data["raw"].isNotNull(),
     }
     if mode == "text":

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 from lazaret import contracts
+from lazaret.contracts import schema_of
 from lazaret.functions.cleaning import Policy
 from lazaret.functions.rules import Rule, at_least, between, not_null, one_of
 
@@ -74,10 +75,18 @@ def with_cleaning(policies: Sequence[Policy], clean: str) -> tuple[Policy, ...]:
 
 
 LINEITEM = Preset(
-    schema=T.StructType.fromDDL(
-        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
-        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
-        " l_returnflag string, l_linestatus string, l_shipdate string"
+    schema=schema_of(
+        l_orderkey="long",
+        l_partkey="long",
+        l_suppkey="long",
+        l_linenumber="integer",
+        l_quantity="double",
+        l_extendedprice="double",
+        l_discount="double",
+        l_tax="double",
+        l_returnflag="string",
+        l_linestatus="string",
+        l_shipdate="string",
     ),
     rules=(
         not_null("l_suppkey"),
@@ -105,8 +114,13 @@ LINEITEM = Preset(
 )
 
 EVENTS = Preset(
-    schema=T.StructType.fromDDL(
-        "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+    schema=schema_of(
+        event_id="long",
+        ts="string",
+        user_id="long",
+        event_type="string",
+        value="double",
+        props="string",
     ),
     rules=(
         not_null("event_id"),
@@ -124,8 +138,12 @@ EVENTS = Preset(
 )
 
 CUSTOMER = Preset(
-    schema=T.StructType.fromDDL(
-        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    schema=schema_of(
+        c_custkey="long",
+        c_name="string",
+        c_nationkey="integer",
+        c_acctbal="double",
+        c_mktsegment="string",
     ),
     rules=(at_least("c_acctbal", 0),),
     policies=(Policy("c_acctbal", absolute=True),),

@@ -34,9 +34,24 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lazaret/{label}-{uuid.uuid4().hex}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, so that a stream can be started on a topic nobody has written to yet."""
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
+def is_pattern(path: str) -> bool:
+    return any(c in path for c in "*?[{")
 
 
 def is_committed(spark: SparkSession, path: str) -> bool:

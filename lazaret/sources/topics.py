@@ -52,6 +52,8 @@ def topic_stream(spark: SparkSession, topic: Topic, starting: str = "earliest")
     if topic.is_kafka:
         raw = spark.readStream.format("kafka").options(**read_options(topic, starting)).load()
         return _as_envelope(raw)
+    if not storage.is_pattern(topic.path):
+        storage.make_folder(spark, topic.path)
     return (
         spark.readStream.schema(ENVELOPE)
         .option("recursiveFileLookup", True)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lazaret.contracts import ENVELOPE, PROCESSED, Contract
+from lazaret.contracts import ENVELOPE, PROCESSED, Contract, schema_of
 from lazaret.functions.cleaning import Policy
 from lazaret.functions.codec import decode, encode
 from lazaret.functions.rules import Rule
@@ -41,8 +41,11 @@ from lazaret.sources import storage
 from lazaret.sources.tables import Table, append_table, scan
 from lazaret.sources.topics import Topic, append_topic, topic_stream
 
-HISTORY = T.StructType.fromDDL(
-    "message_id string, retry_count int, failed_rules string, error string"
+HISTORY = schema_of(
+    message_id="string",
+    retry_count="integer",
+    failed_rules="string",
+    error="string",
 )
 
 
@@ -165,7 +168,7 @@ class Pipeline:
 
 def processed_contract(schema: T.StructType, contract: Contract = PROCESSED) -> Contract:
     """The processed table with the message's own fields and its retry history."""
-    history = T.StructType.fromDDL("retry_count int, failed_rules string")
+    history = schema_of(retry_count="integer", failed_rules="string")
     return contract.with_fields(T.StructType([*history.fields, *schema.fields]))
 
 
@@ -204,39 +207,41 @@ def _outgoing(df: DataFrame, p: Pipeline) -> DataFrame:
     )
 
 
-def validate_batch(df: DataFrame, batch_id: int, p: Pipeline) -> None:
-    p.sinks.emit("validate", validated(df, p), batch_id)
+def validating(spark: SparkSession, p: Pipeline) -> DataFrame:
+    """The source topic as a stream of routed rows."""
+    return validated(topic_stream(spark, p.sinks.source(), p.starting), p)
 
 
-def repair_batch(df: DataFrame, batch_id: int, p: Pipeline) -> None:
-    p.sinks.emit("repair", repaired(df, p), batch_id)
+def retrying(spark: SparkSession, p: Pipeline) -> DataFrame:
+    """The quarantine topic as a stream of repaired, counted and routed rows."""
+    return repaired(topic_stream(spark, p.sinks.quarantine(), p.starting), p)
 
 
-def _start(stream: DataFrame, name: str, work, p: Pipeline, trigger: dict) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(lambda df, batch_id: work(df, batch_id, p)).option(
-        "checkpointLocation", f"{p.checkpoint}/{name}"
-    )
+def _start(rows: DataFrame, stage: str, p: Pipeline, trigger: dict) -> StreamingQuery:
+    """The rows are transformed as a stream, so the plan is made once; a batch is only fanned out."""
+    writer = rows.writeStream.foreachBatch(
+        lambda batch, batch_id: p.sinks.emit(stage, batch, batch_id)
+    ).option("checkpointLocation", f"{p.checkpoint}/{stage}")
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def validate_stream(spark: SparkSession, p: Pipeline, **trigger: Any) -> StreamingQuery:
     """Start the validate stream; without a trigger batches follow each other at once."""
-    stream = topic_stream(spark, p.sinks.source(), p.starting)
-    return _start(stream, "validate", validate_batch, p, trigger)
+    return _start(validating(spark, p), "validate", p, trigger)
 
 
 def retry_stream(spark: SparkSession, p: Pipeline, **trigger: Any) -> StreamingQuery:
     """Start the repair-and-retry stream."""
-    stream = topic_stream(spark, p.sinks.quarantine(), p.starting)
-    return _start(stream, "repair", repair_batch, p, trigger)
+    return _start(retrying(spark, p), "repair", p, trigger)
 
 
 def drain(spark: SparkSession, p: Pipeline) -> list[StreamingQuery]:
     """Run both streams in turn over what is there until no message is left in the loop."""
+    stages = {"validate": validating(spark, p), "repair": retrying(spark, p)}
     runs: list[StreamingQuery] = []
     for _ in range(p.max_retries):
-        for start in (validate_stream, retry_stream):
-            query = start(spark, p, availableNow=True)
+        for stage, rows in stages.items():
+            query = _start(rows, stage, p, {"availableNow": True})
             query.awaitTermination()
             runs.append(query)
     return runs
