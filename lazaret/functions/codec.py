@@ -1,9 +1,9 @@
 """JSON messages to rows and back.
 
-A wire record is one JSON object: the fields of a contract plus the bookkeeping below. ``text``
-mode reads each field as text first and types it afterwards, so the text of a field that does not
-fit its type is still there to be repaired. ``typed`` mode reads straight into the contract's
-types, where such a field is NULL and its text gone.
+A wire record is one JSON object: the fields of a contract plus the bookkeeping below. Messages are
+read straight into the contract's types, where a field that does not fit is NULL. ``typed`` mode
+leaves it at that, and the text of such a field is gone. ``text`` mode reads a message with an unfit
+field once more as text, so that the text is still there to be repaired.
 """
 
 from __future__ import annotations
@@ -43,23 +43,12 @@ _STRICT = {
 }
 
 
-def _wire_schema(schema: T.StructType, mode: str) -> T.StructType:
-    if mode == "text":
-        fields = [T.StructField(name, T.StringType()) for name in schema.fieldNames()]
-    elif mode == "typed":
-        fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
-    else:
-        raise ValueError(f"mode must be 'text' or 'typed', not {mode!r}")
-    corrupt = T.StructField(_CORRUPT, T.StringType())
-    return T.StructType([*fields, *BOOKKEEPING.fields, corrupt])
-
-
 def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame:
     """Parse ``value`` and flatten it.
 
     The result has the envelope's columns as the struct ``message``, the contract's typed fields,
     and ``retry_count``, ``message_id``, ``failed_rules``, ``raw`` and ``malformed``; ``text`` mode
-    adds ``text``, a struct of the fields as read. A message that is no JSON object is malformed and
+    adds ``text``, the fields as text where one of them did not fit, else NULL. A message that is no JSON object is malformed and
     keeps its text in ``raw``, also on later visits.
     """
     clash = set(schema.fieldNames()) & RESERVED
@@ -69,46 +58,64 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
     envelope = [c for c in ENVELOPE_COLUMNS if c in df.columns]
     whole = F.struct(*(value.alias(c) if c == "value" else F.col(c) for c in envelope))
     parsed = with_columns_once(
-        df, {"message": whole, "_data": F.from_json(value, _wire_schema(schema, mode), _STRICT)}
+        df, {"message": whole, "_data": _parse(value, schema, "typed")}
     ).drop(*envelope)
 
     data, message = F.col("_data"), F.col("message")
-    unreadable = data.isNull() | data[_CORRUPT].isNotNull()
-    if mode == "typed":
-        # a field of the wrong type also fills the corrupt column; only broken JSON counts
-        unreadable = data.isNull() | (
-            data[_CORRUPT].isNotNull() & F.try_parse_json(message["value"]).isNull()
-        )
-    columns = {
-        f.name: data[f.name].try_cast(f.dataType) if mode == "text" else data[f.name]
-        for f in schema.fields
-    }
+    # set for broken JSON, and also where a field does not fit its type
+    unfit = data.isNull() | data[_CORRUPT].isNotNull()
     place = ("topic", "partition", "offset")
     first_seen = (
         message_id(*(message[c] for c in place))
         if set(place) <= set(envelope)
         else F.lit(None).cast("string")
     )
-    columns |= {
-        "retry_count": data["retry_count"],
-        "message_id": F.coalesce(data["message_id"], first_seen),
-        "failed_rules": data["failed_rules"],
+    if mode == "typed":
+        unreadable = unfit & F.try_parse_json(message["value"]).isNull()
+        columns = {name: data[name] for name in schema.fieldNames()}
+        books = {name: data[name] for name in BOOKKEEPING.fieldNames()}
+    elif mode == "text":
+        # only these few messages are read once more, as text
+        again = F.when(unfit, _parse(message["value"], schema, "text"))
+        parsed = with_columns_once(parsed, {"text": again})
+        text = F.col("text")
+        unreadable = data.isNull() | text[_CORRUPT].isNotNull()
+        columns = {
+            f.name: F.coalesce(data[f.name], text[f.name].try_cast(f.dataType))
+            for f in schema.fields
+        }
+        books = {
+            f.name: F.coalesce(data[f.name], text[f.name].try_cast(f.dataType))
+            for f in BOOKKEEPING.fields
+        }
+    else:
+        raise ValueError(f"mode must be 'text' or 'typed', not {mode!r}")
+    columns |= books | {
+        "message_id": F.coalesce(books["message_id"], first_seen),
         # an absent value is kept as an empty text, so that it stays malformed on later visits
-        "raw": F.coalesce(data["raw"], F.when(unreadable, F.coalesce(message["value"], F.lit("")))),
-        "malformed": unreadable | data["raw"].isNotNull(),
+        "raw": F.coalesce(books["raw"], F.when(unreadable, F.coalesce(message["value"], F.lit("")))),
+        "malformed": unreadable | books["raw"].isNotNull(),
     }
-    if mode == "text":
-        columns["text"] = F.struct(*(data[name].alias(name) for name in schema.fieldNames()))
     return parsed.withColumns(columns).drop("_data")
 
 
+def _parse(value: Column, schema: T.StructType, mode: str) -> Column:
+    """The JSON text as a struct of the contract's fields, the bookkeeping and the corrupt text."""
+    fields = [
+        T.StructField(f.name, T.StringType() if mode == "text" else f.dataType)
+        for f in [*schema.fields, *BOOKKEEPING.fields]
+    ]
+    wire = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json(value, wire, _STRICT)
+
+
 def encode(
     df: DataFrame, schema: T.StructType, replace: Mapping[str, Column] | None = None
 ) -> Column:
     """The wire record of each row: the fields in contract order, then the bookkeeping the rows have.
 
     NULL fields are left out. When the rows carry ``text`` (see ``decode``), fields are written as
-    text, and one whose typed value is NULL as the text that came in, so nothing is lost on the way.
+    text, one whose typed value is NULL as the text that came in, so nothing is lost on the way.
     ``replace`` gives other columns for some fields.
     """
     fields = {name: F.col(name) for name in schema.fieldNames()}

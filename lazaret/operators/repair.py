@@ -28,7 +28,12 @@ def with_repairs(
     for way in sorted({p.clean for p in policies if p.clean}):
         columns = [p.column for p in policies if p.clean == way]
         dirty = F.array(
-            *(F.col("text")[c] if c in texts else F.col(c).cast("string") for c in columns)
+            *(
+                F.coalesce(F.col("text")[c], F.col(c).cast("string"))
+                if c in texts
+                else F.col(c).cast("string")
+                for c in columns
+            )
         )
         arrays[f"_{way}"] = F.transform(dirty, _cleaner(way))
         started |= {c: F.col(f"_{way}")[i] for i, c in enumerate(columns)}

@@ -23,7 +23,9 @@ def test_decode_encode_round_trip(spark):
     wire = first.select(encode(first, SCHEMA).alias("value"))
     second = decode(wire, SCHEMA)
     columns = SCHEMA.fieldNames()
-    assert first.select(*columns, "text").collect() == second.select(*columns, "text").collect()
+    assert first.select(*columns).collect() == second.select(*columns).collect()
+    again = second.select(encode(second, SCHEMA).alias("value"))
+    assert wire.collect() == again.collect()
 
 
 def test_binary_values_are_read(spark):
@@ -36,6 +38,7 @@ def test_text_mode_keeps_what_does_not_fit(spark):
     assert r["fare_amount"] is None and r["text"]["fare_amount"] == "$12.50"
     assert r["passenger_count"] is None and r["text"]["passenger_count"] == "1.0"
     assert r["total_amount"] == pytest.approx(17.05) and not r["malformed"]
+    assert decode(messages(spark, trip()), SCHEMA).first()["text"] is None
 
 
 def test_typed_mode_loses_it(spark):
