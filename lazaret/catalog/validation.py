@@ -14,6 +14,7 @@ from lazaret.catalog.inputs import (
 )
 from lazaret.functions.rules import reasons, verdict
 from lazaret.operators import faults
+from lazaret.operators.metrics import rule_counts
 from lazaret.operators.routing import split, triage
 from lazaret.plans.presets import CUSTOMER, LINEITEM
 
@@ -57,8 +58,15 @@ def invalid_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per broken rule."""
-    broken = damaged_lineitem(spark, sf_dir).select(F.explode(reasons(LINEITEM.rules)).alias("rule"))
-    return broken.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    return rule_counts(damaged_lineitem(spark, sf_dir), LINEITEM.rules)
+
+
+def reason_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per list of broken rules."""
+    listed = damaged_lineitem(spark, sf_dir).select(reasons(LINEITEM.rules).alias("broken"))
+    return listed.groupBy(F.array_join("broken", " ").alias("broken")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
 def row_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +98,7 @@ QUERIES = {
     "valid_scan": valid_scan,
     "invalid_scan": invalid_scan,
     "rule_failures": rule_failures,
+    "reason_lists": reason_lists,
     "row_reasons": row_reasons,
     "fault_plan": fault_plan,
     "fault_rows": fault_rows,
@@ -116,6 +125,10 @@ FROM lineitem WHERE {LINEITEM_RULES}""",
 WITH {lineitem_ctes()},
 broken AS (SELECT unnest(string_split({reasons_sql("lineitem")}, ',')) AS rule FROM damaged)
 SELECT rule, count(*) AS n FROM broken GROUP BY rule""",
+    "reason_lists": f"""
+WITH {lineitem_ctes()}
+SELECT coalesce(replace({reasons_sql("lineitem")}, ',', ' '), '') AS broken, count(*) AS n
+FROM damaged GROUP BY 1""",
     "row_reasons": f"""
 WITH {lineitem_ctes()}
 SELECT l_orderkey, l_partkey, {reasons_sql("lineitem")} AS failed_rules

@@ -7,6 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lazaret.functions.once import with_columns_once
+from lazaret.functions.rules import Rule
+from lazaret.operators.routing import DECODE, broken
+
 
 def depth(df: DataFrame, count: str = "offsets") -> DataFrame:
     """Messages per topic partition.
@@ -67,6 +71,24 @@ def alerts(
     )
 
 
+def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows per broken rule, without the rules nobody broke.
+
+    One row of counters per task is shuffled; no row is expanded into its reasons. Malformed
+    messages count under ``decode``.
+    """
+    labels = [rule.name for rule in rules]
+    if "malformed" in df.columns:
+        labels.append(DECODE)
+    mask = F.col("_broken")
+    counters = [
+        F.count_if(mask.bitwiseAND(1 << i) != 0).alias(label) for i, label in enumerate(labels)
+    ]
+    counted = with_columns_once(df, {"_broken": broken(df, rules)}).agg(*counters)
+    tall = counted.unpivot([], [F.col(f"`{label}`") for label in labels], "rule", "n")
+    return tall.filter("n > 0")
+
+
 def share(part: int, whole: int) -> float:
     """Percentage, 0 for an empty whole."""
     return 100.0 * part / whole if whole else 0.0

@@ -14,11 +14,14 @@ from lazaret.functions.codec import decode
 from lazaret.operators import events, faults, metrics
 from lazaret.operators.unions import union_all
 from lazaret.plans.presets import Preset
-from lazaret.sources.readers import read_many
+from lazaret.sources.readers import read_csv, read_many
 from lazaret.sources.tables import Table, append_table, scan, snapshot, write_dataset
 from lazaret.sources.topics import Topic, append_topic, topic_table
 from lazaret.streaming.streams import Pipeline, retry_stream
 
+# Fixed value: how many rows a publish run of a file takes by default.
+MAX_RECORDS = 100_000
+
 
 def batch_load(
     spark: SparkSession,
@@ -90,6 +93,18 @@ def publish(
     return metrics.run_summary(seen.get, time.monotonic() - start)
 
 
+def publish_csv(
+    spark: SparkSession,
+    path: str,
+    preset: Preset,
+    topic: Topic,
+    limit: int | None = MAX_RECORDS,
+    **options,
+) -> dict:
+    """Publish the first rows of a CSV file or folder; ``limit=None`` publishes all of it."""
+    return publish(read_csv(spark, path, preset.schema, limit), preset, topic, **options)
+
+
 def quarantine_rows(df: DataFrame) -> DataFrame:
     """Quarantine messages as rows of the DLQ table, with their text, reasons and retry count."""
     place = ("topic", "partition", "timestamp")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The file formats that are found and landed.
@@ -89,30 +89,24 @@ def land_raw(
 
     A dataset is a file such as ``trips.csv``, or a folder of files such as ``trips.parquet``. Two
     of one name in different places are an error rather than one overwriting the other. CSV is
-    carried as text columns, so no value is reformatted. Returns the landed path of each name.
+    carried as text columns, so no value is reformatted. Only the names of the datasets come to the
+    driver. Returns the landed path of each name.
     """
-    found: dict[str, str] = {}
-    for row in discover(spark, root, formats).select("path").toLocalIterator():
-        path = PurePosixPath(row["path"])
-        folder = path.parent.suffix.lstrip(".") in formats
-        dataset = path.parent if folder else path
-        if found.setdefault(dataset.name, _address(dataset)) != _address(dataset):
-            raise ValueError(f"two datasets are named {dataset.name}")
-    landed = {}
-    for name, path in found.items():
+    suffixes = "|".join(formats)
+    # the folder a part file lies in when that is named like a dataset, else the file itself
+    folder = F.regexp_extract("path", rf"^(.*\.(?:{suffixes}))/[^/]*$", 1)
+    dataset = F.when(folder != "", folder).otherwise(F.col("path"))
+    found = discover(spark, root, formats).select(dataset.alias("path")).distinct()
+    landed: dict[str, str] = {}
+    for row in found.orderBy("path").toLocalIterator():
+        path = row["path"]
+        name = path.rsplit("/", 1)[1]
+        if name in landed:
+            raise ValueError(f"two datasets are named {name}")
         landed[name] = f"{target}/raw/{name}"
-        if name.endswith("csv"):
-            df = spark.read.option("header", True).csv(path)
-            df.write.mode("overwrite").option("header", True).csv(landed[name])
+        if name.endswith(".csv"):
+            rows = spark.read.option("header", True).csv(path)
+            rows.write.mode("overwrite").option("header", True).csv(landed[name])
         else:
             spark.read.parquet(path).write.mode("overwrite").parquet(landed[name])
     return landed
-
-
-def _address(path: PurePosixPath) -> str:
-    """A URI such as ``file:///a`` whose slashes were merged by the path class, whole again."""
-    text = str(path)
-    scheme, colon, rest = text.partition(":/")
-    return f"{scheme}:///{rest.lstrip('/')}" if colon and scheme == "file" else (
-        f"{scheme}://{rest.lstrip('/')}" if colon else text
-    )

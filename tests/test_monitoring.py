@@ -2,12 +2,14 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from trips import envelope
 
+from lazaret.functions.codec import decode
 from lazaret.operators import events, metrics
 from lazaret.plans import jobs
-from lazaret.plans.presets import EVENTS
+from lazaret.plans.presets import EVENTS, TRIP
 from lazaret.sources.tables import scan
-from lazaret.sources.topics import Topic, append_topic
+from lazaret.sources.topics import Topic, append_topic, topic_table
 from lazaret.streaming.streams import Hub, Pipeline, validate_stream
 
 
@@ -41,6 +43,13 @@ def test_status(spark):
     assert {r["topic"]: r["messages"] for r in rows} == {"t": 3, "u": 1}
 
 
+def test_rule_counts(spark):
+    read = decode(envelope(spark), TRIP.schema)
+    got = {r["rule"]: r["n"] for r in metrics.rule_counts(read, TRIP.rules).collect()}
+    assert got["decode"] == 3 and got["RateCodeID:one_of"] == 3
+    assert got["fare_amount:at_least"] == 5
+
+
 def test_run_summary():
     got = metrics.run_summary({"records": 200, "damaged": 3}, 4.0)
     assert got["records_per_second"] == 50.0 and got["damaged_percent"] == 1.5
@@ -116,3 +125,19 @@ def test_depth_of_a_folder_topic_counts_rows(spark, folder):
     )
     append_topic(rows, topic, 0)
     assert jobs.check_depth(spark, topic).filter("topic IS NULL").first()["depth"] == 4
+
+
+def test_publish_csv(spark, folder):
+    rows = spark.range(50).selectExpr(
+        "id AS event_id", "'2024-01-01 00:00:00' AS ts", "id AS user_id", "'click' AS event_type",
+        "cast(id AS double) AS value", "'x' AS props",
+    )
+    rows.write.option("header", True).csv(f"{folder}/csv")
+    topic = Topic("events", f"{folder}/events")
+    summary = jobs.publish_csv(spark, f"{folder}/csv", EVENTS, topic, limit=20, rate=1.0)
+    assert (summary["records"], summary["damaged"]) == (20, 20)
+    summary = jobs.publish_csv(spark, f"{folder}/csv", EVENTS, topic, None, batch_id=1)
+    assert summary["records"] == 50 and topic_table(spark, topic).count() == 70
+    # places are unique and messages carry a retry count
+    stored = topic_table(spark, topic)
+    assert stored.filter("value LIKE '%\"retry_count\":0%'").count() == 70
