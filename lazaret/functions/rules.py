@@ -81,23 +81,18 @@ def failures(rules: Sequence[Rule], at: At = F.col) -> Column:
     """
     if len(rules) > 62:
         raise ValueError("a mask has room for 62 rules; join some of them into one")
-    bits = [
-        F.when(rule.condition(at), 0).otherwise(F.lit(1 << i).cast("bigint"))
-        for i, rule in enumerate(rules)
-    ]
+    bits = [F.when(rule.condition(at), 0).otherwise(1 << i) for i, rule in enumerate(rules)]
     return reduce(lambda left, right: left + right, bits)
 
 
 def names(mask: Column, rules: Sequence[Rule], more: Sequence[str] = ()) -> Column:
     """The names in a mask as one comma-separated string; NULL for 0. ``more`` names higher bits."""
     labels = [rule.name for rule in rules] + list(more)
-    found = [
-        F.when(mask.bitwiseAND(1 << i) != 0, F.lit(label)) for i, label in enumerate(labels)
-    ]
+    found = [F.when(mask.bitwiseAND(1 << i) != 0, label) for i, label in enumerate(labels)]
     return F.when(mask != 0, F.concat_ws(",", *found))
 
 
 def reasons(rules: Sequence[Rule], at: At = F.col) -> Column:
     """Names of the rules a row breaks, in rule order; empty for a valid row."""
-    broken = [F.when(~F.coalesce(r.condition(at), F.lit(False)), F.lit(r.name)) for r in rules]
+    broken = [F.when(~F.coalesce(r.condition(at), F.lit(False)), r.name) for r in rules]
     return F.array_compact(F.array(*broken))

@@ -26,7 +26,7 @@ def broken(df: DataFrame, rules: Sequence[Rule], at: At = F.col) -> Column:
     own after the rules."""
     mask = failures(rules, at)
     if "malformed" in df.columns:
-        return F.when(F.col("malformed"), F.lit(1 << len(rules)).cast("bigint")).otherwise(mask)
+        return F.when(F.col("malformed"), 1 << len(rules)).otherwise(mask)
     return mask
 
 

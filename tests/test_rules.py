@@ -96,3 +96,13 @@ def test_conjunction_reaches_the_scan(spark, rows, folder):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = plan.split("PushedFilters: [")[1]
     assert "GreaterThanOrEqual(b,0)" in pushed and "In(d, [N,Y])" in pushed
+
+
+def test_many_rules(spark, rows):
+    """Bits above the range of an int."""
+    many = [between("b", i, 100) for i in range(40)]
+    found = rows.filter("id = 1").select(failures(many).alias("mask"))
+    assert found.first()["mask"] == sum(1 << i for i in range(2, 40))
+    assert rows.select(names(failures(many), many).alias("n")).first()["n"].count(",") == 37
+    with pytest.raises(ValueError):
+        failures(many * 2)
