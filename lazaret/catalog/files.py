@@ -5,12 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lazaret.catalog.inputs import (
     LINEITEM_RULES,
     damaged_lineitem,
-    event_messages,
     event_place,
     events,
     lineitem_ctes,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lazaret.catalog.inputs import RATE, event_messages, event_place, events, lineitem_ctes, table
 from lazaret.contracts import schema_of

@@ -48,8 +48,8 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
 
     The result has the envelope's columns as the struct ``message``, the contract's typed fields,
     and ``retry_count``, ``message_id``, ``failed_rules``, ``raw`` and ``malformed``; ``text`` mode
-    adds ``text``, the fields as text where one of them did not fit, else NULL. A message that is no JSON object is malformed and
-    keeps its text in ``raw``, also on later visits.
+    adds ``text``, the fields as text where one of them did not fit, else NULL. A message that is no
+    JSON object is malformed and keeps its text in ``raw``, also on later visits.
     """
     clash = set(schema.fieldNames()) & RESERVED
     if clash:

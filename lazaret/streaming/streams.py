@@ -9,14 +9,16 @@
                 failed table
 
 Either stream may stop and start at any time: offsets are in its checkpoint, and a batch that is
-repeated after a loss writes the same place again (``sinks``).
+repeated after a loss finds its committed output or writes the same place again.
+
+``Hub`` and ``Separate`` say where the routes end; a pipeline takes either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from typing import Any, Protocol
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +51,6 @@ HISTORY = schema_of(
 )
 
 
-class Sinks(Protocol):
-    """Where the routes of the two streams end."""
-
-    def source(self) -> Topic: ...
-
-    def quarantine(self) -> Topic: ...
-
-    def emit(self, stage: str, df: DataFrame, batch_id: int) -> None: ...
-
-
 @dataclass(frozen=True)
 class Hub:
     """All topics and tables in one folder of Parquet files.
