@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lazaret.llm import decontaminate, ngram_join, packing, quality
+from lazaret.llm import chat, decontaminate, html_crf, licenses, ngram_join, packing, quality, sharding, url_rules, warc
+from lazaret.llm.tables import cut
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,7 +33,55 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, model).select("doc_id", *quality.STATISTICS, "base_failed", "kept", "margin")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_decontaminate, op5_pack, op9_quality)}
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_read(spark, sf_dir, "pages"))
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    windows = cut(chat.format_chats(rows.unionByName(extra)), "windows")
+    return chat.read_windows(windows)
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    labels = _read(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    rules = url_rules.mine(pages.join(labels, "page_id"))
+    return url_rules.judge(pages, rules)
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(_read(spark, sf_dir, "documents"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.fit(pages))
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_join,
+        op2_warc,
+        op3_decontaminate,
+        op4_chat,
+        op5_pack,
+        op6_url_rules,
+        op7_licenses,
+        op8_html,
+        op9_quality,
+        op10_shards,
+    )
+}
 
 _NGRAM_JOIN = r"""
 WITH RECURSIVE
@@ -69,4 +118,48 @@ SELECT r.doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(other) AS
 FROM reach r JOIN lists USING (doc_id) GROUP BY r.doc_id
 """
 
-ORACLES = {"op1_ngram_join": _NGRAM_JOIN}
+_WARC = """
+WITH hashed AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS original FROM hashed)
+SELECT
+    page_id, payload_bytes,
+    array_to_string(flatten(list_transform(range(8), lambda g: list_transform([15, 10, 5, 0], lambda s:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               CAST(((CAST('0x' || substr(hex, CAST(5 * g + 1 AS INTEGER), 5) AS BIGINT) >> s) & 31) + 1 AS INTEGER), 1)))), '') AS payload_digest,
+    CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = original THEN NULL ELSE original END AS refers_to
+FROM first
+"""
+
+
+def _licenses_sql() -> str:
+    rows = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
+    words = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"
+    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return f"""
+    WITH templates(license, t) AS (VALUES {rows}),
+    known AS (SELECT license, {pairs} AS b FROM (SELECT license, {words.format("t")} AS w FROM templates)),
+    lines AS (
+        SELECT doc_id, generate_subscripts(l, 1) - 1 AS line, unnest(l) AS t
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+    ),
+    seen AS (SELECT doc_id, line, {pairs} AS b FROM (SELECT doc_id, line, {words.format("t")} AS w FROM lines)),
+    shared AS (
+        SELECT doc_id, line, license, any_value(na) AS na, any_value(nb) AS nb, count(*) AS n
+        FROM (SELECT doc_id, line, len(b) AS na, unnest(b) AS p FROM seen)
+        JOIN (SELECT license, len(b) AS nb, unnest(b) AS p FROM known) USING (p)
+        GROUP BY ALL
+    ),
+    scored AS (SELECT *, 2 * n / (na + nb) AS dice FROM shared),
+    best AS (
+        SELECT * FROM scored WHERE dice >= 0.8
+        QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1
+    )
+    SELECT doc_id, license, count(*) AS n_matches, max(dice) AS best_dice, min(line) AS first_line
+    FROM best GROUP BY doc_id, license
+    """
+
+
+ORACLES = {"op1_ngram_join": _NGRAM_JOIN, "op2_warc": _WARC, "op7_licenses": _licenses_sql()}
