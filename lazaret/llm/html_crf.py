@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lazaret.llm.tables import sampled_ids
+
 # Kinds of HTML elements.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -427,8 +429,11 @@ def training_set(pages: list[str | None]) -> list[tuple[list[list[str]], list[in
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_rows: int = 120) -> Field:
     """A field trained on the patterns and at most ``sample_rows`` pages, those with the smallest hash of their id."""
-    sample = pages.select(id_col, html_col).filter(F.col(html_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(sample_rows)
-    return train(training_set([r[html_col] for r in sample.collect()]))
+    pages = pages.select(id_col, html_col).filter(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
+    # Ids first: pages come to the driver only for the sample, which the limit bounds.
+    ids = [r[id_col] for r in sampled_ids(pages.select(id_col).distinct(), id_col, sample_rows).collect()]
+    sample = pages.filter(F.col(id_col).isin(ids)).dropDuplicates([id_col]).collect()
+    return train(training_set([r[html_col] for r in sorted(sample, key=lambda r: r[id_col])]))
 
 
 def main_text(page: str | None, model: Field) -> str:
