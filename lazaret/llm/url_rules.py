@@ -131,7 +131,8 @@ def matches(rows: DataFrame, key: str, items_col: str, rules: DataFrame) -> Data
         F.min(F.struct("in_rules", "token")).alias("m"), F.first("items").alias("needs")
     ).select(F.col("m.token").alias("token"), "rule_id", "needs")
     own = rows.select(F.col(key), F.col(items_col).alias("_own"), F.explode(items_col).alias("token"))
-    return own.join(index, "token").filter(F.size(F.array_except("needs", "_own")) == 0).select(key, "rule_id")
+    # Neither side is bounded, and written tables are much larger in memory than on disk: no broadcast.
+    return own.join(index.hint("merge"), "token").filter(F.size(F.array_except("needs", "_own")) == 0).select(key, "rule_id")
 
 
 def judge(
