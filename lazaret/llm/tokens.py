@@ -10,6 +10,7 @@ import functools
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import regex
 from lazaret.llm.text import slices
 
 #: Words kept with their ids, per worker.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
 
 #: Words of letters, digits and marks of Latin scripts, which have one normal form and letter by letter a lower case.
 _PLAIN = re.compile("[\x21-\x7b\x7d\x7e\xa1-\u012f\u0131-\u0233]+")
@@ -75,7 +76,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
-        self._parts: dict[str, list[int]] = {}
+        self._parts: dict[str, bytes] = {}
         self._ids = [np.zeros(0, self.kind)]
         self._edges = [np.zeros(1, np.int64)]
 
@@ -87,20 +88,24 @@ class Encoder:
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         tokenize, letters, find = self.tokenizer.model.tokenize, self._letters, self._pattern.findall
         plain, parts = _PLAIN.fullmatch, self._parts
-        ids: list[int] = []
-        edges = [0]
-        for word in words:
+        out: list[bytes] = []
+        ends = np.empty(len(words) + 1, np.int64)
+        ends[0] = n = 0
+        pack = (lambda ids: np.array(ids, self.kind).tobytes()) if self.width == 4 else (lambda ids: array("H", ids).tobytes())
+        for i, word in enumerate(words, 1):
             if plain(word):
                 word = word.lower()
                 for part in (word,) if word.isalpha() else find(word):
                     got = parts.get(part)
                     if got is None:
-                        got = parts[part] = [x.id for x in tokenize(part if part.isascii() else part.translate(letters))]
-                    ids += got
+                        got = parts[part] = pack([x.id for x in tokenize(part if part.isascii() else part.translate(letters))])
+                    out.append(got)
+                    n += len(got)
             else:
-                ids += self.tokenizer.encode(word, add_special_tokens=False).ids
-            edges.append(len(ids))
-        return np.array(ids, self.kind), np.diff(np.array(edges, np.int64))
+                out.append(pack(self.tokenizer.encode(word, add_special_tokens=False).ids))
+                n += len(out[-1])
+            ends[i] = n
+        return np.frombuffer(b"".join(out), self.kind), np.diff(ends) // self.width
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         """The numbers of words in the store; new ones are encoded."""
