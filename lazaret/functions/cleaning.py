@@ -11,11 +11,12 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters removed before a text is read as a number.
-NOT_NUMERIC = {
-    "exponent": "[^0-9.eE+-]",
-    "strip": "[^0-9.-]",
-}
+# Fixed value: what "strip" removes before a text is read as a number.
+NOT_NUMERIC = "[^0-9.-]"
+
+#: What "exponent" takes out first, thousands commas and currency signs, and what is a number then.
+_GROUPING = r"(?<=[0-9]),(?=[0-9])|\p{Sc}"
+_NUMBER = r"([-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)"
 
 # The type a cleaned text is read as. "strip" reads single precision.
 READ_AS = {
@@ -25,17 +26,22 @@ READ_AS = {
 
 
 def clean_number(c: Column, clean: str = "exponent") -> Column:
-    """Text or number to number, with other characters removed; NULL when nothing readable is left.
+    """Text or number to number; NULL when there is none to read.
 
-    ``exponent`` keeps exponents and signs and reads double precision. ``strip`` keeps digits,
-    points and minus signs only, so ``1.0E7`` turns into 1.07; it exists for comparison.
+    ``exponent`` reads the one number in the text, with sign and exponent, in double precision; a text with
+    several numbers, such as a date, has none. ``strip`` keeps digits, points and minus signs only, so ``1.0E7``
+    turns into 1.07; it exists for comparison.
     """
-    return F.regexp_replace(c.cast("string"), NOT_NUMERIC[clean], "").try_cast(READ_AS[clean])
+    text = c.cast("string")
+    if clean == "strip":
+        return F.regexp_replace(text, NOT_NUMERIC, "").try_cast(READ_AS[clean])
+    numbers = F.regexp_extract_all(F.regexp_replace(text, _GROUPING, ""), F.lit(_NUMBER), F.lit(1))
+    return F.when(F.size(numbers) == 1, F.get(numbers, 0).try_cast(READ_AS[clean]))
 
 
 def to_int(c: Column, target: str = "int") -> Column:
-    """Truncate to an integer type; NULL when out of range or not a number."""
-    return c.try_cast("double").try_cast(target)
+    """Truncate to an integer type, exactly where the value is an integer; NULL when out of range or not a number."""
+    return F.coalesce(c.try_cast(target), c.try_cast("double").try_cast(target))
 
 
 def default(c: Column, value: Any) -> Column:

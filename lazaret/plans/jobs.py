@@ -19,7 +19,7 @@ from lazaret.sources.tables import Table, append_table, scan, snapshot, write_da
 from lazaret.sources.topics import Topic, append_topic, topic_table
 from lazaret.streaming.streams import Pipeline, retry_stream
 
-# Fixed value: how many rows a publish run of a file takes by default.
+# Fixed value: how many rows a bounded publish run of a file takes, for callers that want one.
 MAX_RECORDS = 100_000
 
 
@@ -98,10 +98,10 @@ def publish_csv(
     path: str,
     preset: Preset,
     topic: Topic,
-    limit: int | None = MAX_RECORDS,
+    limit: int | None = None,
     **options,
 ) -> dict:
-    """Publish the first rows of a CSV file or folder; ``limit=None`` publishes all of it."""
+    """Publish a CSV file or folder, all of it unless ``limit`` bounds the rows."""
     return publish(read_csv(spark, path, preset.schema, limit), preset, topic, **options)
 
 

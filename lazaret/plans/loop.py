@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lazaret.functions.cleaning import Policy
 from lazaret.functions.rules import Rule
@@ -123,15 +124,19 @@ def iterate(
     pending = df if "retry_count" in df.columns else df.withColumn("retry_count", F.lit(0))
     routes = ("processed", "retry", "failed")
     for n in range(max_retries + 1):
-        counts = fan_out(visit(pending, rules, policies, max_retries), root, n, routes)
-        done = spark.read.option("basePath", root).parquet(f"{root}/batch={n}")
+        visited = visit(pending, rules, policies, max_retries)
+        # The schema is known, so a round without rows can be read too.
+        schema = T.StructType([f for f in visited.schema if f.name != "batch"]).add("batch", T.IntegerType())
+        counts = fan_out(visited, root, n, routes)
+        done = spark.read.schema(schema).option("basePath", root).parquet(f"{root}/batch={n}")
         pending = done.filter(F.col("route") == "retry").drop("route", "batch")
         if counts is not None and counts["retry"] == 0:
             break
         if counts is None and pending.isEmpty():
             break
     ended = (
-        spark.read.option("basePath", root)
+        spark.read.schema(schema)
+        .option("basePath", root)
         .parquet(*(f"{root}/batch={i}" for i in range(n + 1)))
         .filter(F.col("route") != "retry")
     )

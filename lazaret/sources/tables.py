@@ -119,9 +119,10 @@ def _stored_near(rows: DataFrame, table: Table) -> DataFrame | None:
 
 
 def snapshot(df: DataFrame, root: str, name: str | None = None) -> str:
-    """CSV with a header under ``root/NAME``, by default named after the current time."""
+    """CSV with a header under ``root/NAME``, by default named after the current time; blanks around values stay."""
     if name is None:
         name = df.sparkSession.range(1).select(stamp()).first()[0]
     path = f"{root}/{name}"
-    df.write.option("header", True).option("escape", '"').csv(path)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.option("header", True).option("escape", '"').options(**kept).csv(path)
     return path

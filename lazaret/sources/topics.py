@@ -57,6 +57,8 @@ def topic_stream(spark: SparkSession, topic: Topic, starting: str = "earliest")
     return (
         spark.readStream.schema(ENVELOPE)
         .option("recursiveFileLookup", True)
+        # Files are read however late they are published; a retention is the caller's choice.
+        .option("maxFileAge", "36500d")
         .options(**topic.options)
         .parquet(topic.path)
     )

@@ -164,3 +164,11 @@ def test_repaired_values(spark, folder):
     # what was wrong stays on record
     assert rows["fare_negative"]["failed_rules"] == "fare_amount:at_least"
     assert rows["base"]["failed_rules"] is None
+
+
+def test_the_loop_of_no_rows(spark, folder):
+    from lazaret.functions.rules import not_null
+    from lazaret.plans.loop import iterate
+
+    ended = iterate(spark.createDataFrame([], "id int, name string"), [not_null("id")], [], f"{folder}/rounds")
+    assert ended.count() == 0

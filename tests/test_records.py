@@ -171,3 +171,26 @@ def test_injection_on_the_wire(spark):
 
 def test_base_message_has_the_contract_fields():
     assert list(BASE)[:-1] == SCHEMA.fieldNames()
+
+
+def test_texts_with_letters_and_several_numbers(spark):
+    texts = {
+        "2 passengers": 2.0,
+        "3 people": 3.0,
+        "12.50 EUR": 12.5,
+        "-$5": -5.0,
+        "$1,234.50": 1234.5,
+        "1.5e3": 1500.0,
+        "2016-01-02": None,
+        "1.2.3": None,
+        "n/a": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r.t: r.n for r in rows.select("t", clean_number(F.col("t")).alias("n")).collect()}
+    assert found == texts
+
+
+def test_long_integers_stay(spark):
+    rows = spark.sql("SELECT 9007199254740993L AS n, '9007199254740993' AS t, '7.9' AS u")
+    row = rows.select(*(to_int(F.col(c), "bigint").alias(c) for c in rows.columns)).first()
+    assert (row.n, row.t, row.u) == (9007199254740993, 9007199254740993, 7)

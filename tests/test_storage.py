@@ -207,3 +207,12 @@ def test_work_folder_is_under_the_shared_root(spark):
     assert path != storage.work_folder(spark, "x")
     if named:
         assert path.startswith(named)
+
+
+def test_a_snapshot_keeps_blanks_and_line_ends(spark, folder):
+    from lazaret.sources.tables import snapshot
+
+    rows = [(1, '  {bad "'), (2, "a\nb "), (3, "x,y")]
+    path = snapshot(spark.createDataFrame(rows, "id int, payload string"), folder, "backup")
+    read = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    assert sorted((int(r.id), r.payload) for r in read.collect()) == rows
