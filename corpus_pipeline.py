@@ -1,8 +1,9 @@
 """The corpus pipeline: quality rules, near duplicates, benchmark decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written and read again as the next one's docs.
-All but the last return the columns of documents. ORACLE_SQL is None: a forest and a tokenizer are beyond SQL, so
-``tests/llm/test_pipeline.py`` holds run() against a brute-force version.
+All but the last return the columns of documents. ORACLE_SQL is None: a forest and a tokenizer are beyond SQL. The stages'
+operators are held against brute-force versions in ``tests/llm/test_operators.py``, and ``tests/llm/test_pipeline.py`` checks that
+run() packs every token of the documents that the stages keep.
 """
 
 from __future__ import annotations
