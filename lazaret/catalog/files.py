@@ -24,7 +24,7 @@ from lazaret.plans import jobs
 from lazaret.plans.presets import LINEITEM
 from lazaret.sources.readers import discover, land_raw, read_csv
 from lazaret.sources.storage import work_folder
-from lazaret.sources.tables import Table, append_table, scan
+from lazaret.sources.tables import Table, append_table, rejects, scan
 from lazaret.sources.topics import Topic, topic_table
 
 _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -149,11 +149,12 @@ _APPENDED = ["message_id", "topic", "partition", "msg_offset", "event_id", "even
 
 
 def _append_twice(rows: DataFrame, target: Table) -> None:
-    """Two batches that overlap, the second one sent twice."""
-    even, rest = rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1")
-    append_table(even, target, 0)
-    append_table(rest, target, 1)
-    append_table(rest, target, 1)
+    """Three batches that overlap, the second one sent twice; the last one holds every row."""
+    even = rows.filter("event_id % 2 = 0")
+    append_table(rows.filter("event_id % 3 != 0"), target, 0)
+    append_table(even, target, 1)
+    append_table(even, target, 1)
+    append_table(rows, target)
 
 
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,14 +193,27 @@ def contract_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("message_id", "partition", "msg_offset", "event_id")
 
 
-def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows the table would refuse, by the columns they lack."""
-    rows = _identified_events(spark, sf_dir).withColumns(
+def _incomplete_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _identified_events(spark, sf_dir).withColumns(
         {
             "topic": F.when(F.col("event_type") != "view", F.col("topic")),
             "msg_offset": F.when(F.col("user_id") % 4 != 0, F.col("msg_offset")),
         }
     )
+
+
+def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with missing values appended: what the table holds, and what it refused with the reason."""
+    target = Table(_EVENTS_TABLE, work_folder(spark, "contract_rejects"))
+    append_table(_incomplete_events(spark, sf_dir), target)
+    held = scan(spark, target).withColumn("violation", F.lit(None).cast("string"))
+    columns = ["event_id", "topic", "msg_offset", "violation"]
+    return held.select(*columns).unionByName(rejects(spark, target).select(*columns))
+
+
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the table would refuse, by the columns they lack."""
+    rows = _incomplete_events(spark, sf_dir)
     return violations(rows, PROCESSED).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -259,6 +273,7 @@ QUERIES = {
     "jdbc_append": jdbc_append,
     "contract_dedupe": contract_dedupe,
     "contract_violations": contract_violations,
+    "contract_rejects": contract_rejects,
     "dlq_lookup": dlq_lookup,
     "backup_csv": backup_csv,
 }
@@ -334,6 +349,14 @@ WITH lacking AS (
     CASE WHEN user_id % 4 = 0 THEN 'msg_offset' END), '') AS violation
   FROM events)
 SELECT violation, count(*) AS n FROM lacking WHERE violation IS NOT NULL GROUP BY violation""",
+    "contract_rejects": """
+WITH lacking AS (
+  SELECT event_id, CASE WHEN event_type != 'view' THEN 'events' END AS topic,
+    CASE WHEN user_id % 4 != 0 THEN event_id // 3 END AS msg_offset
+  FROM events)
+SELECT *, nullif(concat_ws(',', CASE WHEN topic IS NULL THEN 'topic' END,
+  CASE WHEN msg_offset IS NULL THEN 'msg_offset' END), '') AS violation
+FROM lacking""",
     "dlq_lookup": f"""
 WITH {_QUARANTINED}
 SELECT topic, status, error, 0 AS retry_count, count(*) AS n, count(*) AS created

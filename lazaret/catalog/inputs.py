@@ -53,11 +53,9 @@ def _fault_ctes(
 
     ``fields`` maps a field to its SQL for an invalid value, None for a number.
     """
-    names = list(fields)
-    slots = "".join(
-        f" WHEN substr(h, 6, 2) < '{limit}' THEN '{name}'"
-        for name, limit in zip(names, faults.field_limits(names))
-    )
+    names = "[" + ", ".join(f"'{f}'" for f in fields) + "]"
+    chosen = f"{names}[CAST('0x' || substr(h, 10, 8) AS BIGINT) * {len(fields)} // 4294967296 + 1]"
+    hit = f"CAST('0x' || substr(h, 1, 8) AS BIGINT) < {rate} * 4294967296.0"
     replaced = ",\n".join(
         f"CASE WHEN field = '{f}' AND kind = 'missing_field' THEN NULL"
         f" WHEN field = '{f}' AND kind = 'invalid_value' THEN {invalid or f'-abs({f})'}"
@@ -68,10 +66,10 @@ def _fault_ctes(
     return f"""
 hashed AS (SELECT *, md5('42:' || {digest}) AS h FROM {source}),
 planned AS (
-  SELECT *, substr(h, 1, 4) < '{faults.rate_limit(rate)}' AS fault,
-    CASE WHEN substr(h, 1, 4) < '{faults.rate_limit(rate)}' THEN
-      CASE WHEN substr(h, 5, 1) < '8' THEN 'missing_field' ELSE 'invalid_value' END END AS kind,
-    CASE WHEN substr(h, 1, 4) < '{faults.rate_limit(rate)}' THEN CASE{slots} END END AS field
+  SELECT *, {hit} AS fault,
+    CASE WHEN {hit} THEN
+      CASE WHEN substr(h, 9, 1) < '8' THEN 'missing_field' ELSE 'invalid_value' END END AS kind,
+    CASE WHEN {hit} THEN {chosen} END AS field
   FROM hashed),
 damaged AS (SELECT * REPLACE ({replaced}) FROM planned)"""
 

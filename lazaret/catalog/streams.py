@@ -98,6 +98,20 @@ def stream_loop_separate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ends(processed, sinks.table(spark, "failed"))
 
 
+def publish_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publishes into one topic, places left to the publisher: where every message ends, once."""
+    root = work_folder(spark, "publish_twice")
+    hub = Hub(root, "events")
+    rows = events(spark, sf_dir)
+    for half in (0, 1):
+        part = rows.filter(F.col("event_id") % 2 == half)
+        jobs.publish(part, EVENTS, hub.published(), rate=0.0)
+    p = Pipeline.of(EVENTS, hub, f"{root}/checkpoints")
+    drain(spark, p)
+    ends = _ends(hub.table(spark, "processed", p.schema), hub.table(spark, "failed", p.schema))
+    return ends.groupBy("outcome").agg(F.countDistinct("message_id").alias("messages"))
+
+
 def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of every message at the end of the loop."""
     p = _hub(spark, sf_dir, "stream_repaired")
@@ -112,6 +126,7 @@ QUERIES = {
     "stream_loop": stream_loop,
     "stream_loop_separate": stream_loop_separate,
     "stream_repaired": stream_repaired,
+    "publish_twice": publish_twice,
 }
 
 _FIXED = {"user_id": "coalesce(user_id, 1)", "value": "abs(value)"}
@@ -148,6 +163,13 @@ SELECT message_id, 1 AS retry_count, why AS failed_rules, {_FIXED["user_id"]} AS
 FROM judged WHERE NOT ok""",
     "stream_loop": _LOOP,
     "stream_loop_separate": _LOOP,
+    "publish_twice": f"""
+WITH {event_ctes(0.0)},
+ends AS (
+  SELECT CASE WHEN coalesce({EVENT_RULES}, false) THEN 'processed'
+    WHEN coalesce({_FIXED_RULES}, false) THEN 'repaired' ELSE 'failed' END AS outcome
+  FROM damaged)
+SELECT outcome, count(*) AS messages FROM ends GROUP BY outcome""",
     "stream_repaired": f"""
 WITH {_JUDGED}
 SELECT event_id, CASE WHEN ok THEN user_id ELSE {_FIXED["user_id"]} END AS user_id, event_type,

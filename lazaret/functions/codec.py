@@ -1,6 +1,7 @@
 """JSON messages to rows and back.
 
-A wire record is one JSON object: the fields of a contract plus the bookkeeping below. Messages are
+A wire record is one JSON object: the fields of a contract, the retry count, and what else the engine
+keeps about a message under one key of its own, so that a record's other fields are never taken for it. Messages are
 read straight into the contract's types, where a field that does not fit is NULL. ``typed`` mode
 leaves it at that, and the text of such a field is gone. ``text`` mode reads a message with an unfit
 field once more as text, so that the text is still there to be repaired.
@@ -19,18 +20,15 @@ from lazaret.functions.once import with_columns_once
 
 ENVELOPE_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")
 
-# Bookkeeping that travels in the wire record next to the contract's fields.
-BOOKKEEPING = T.StructType(
-    [
-        T.StructField("retry_count", T.IntegerType()),
-        T.StructField("message_id", T.StringType()),
-        T.StructField("failed_rules", T.StringType()),
-        T.StructField("raw", T.StringType()),
-    ]
+# The count travels next to the contract's fields, the history under a key of its own.
+COUNT = T.StructField("retry_count", T.IntegerType())
+HISTORY_KEY = "_lazaret"
+HISTORY = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("message_id", "failed_rules", "raw")]
 )
 
-# Names of the columns that ``decode`` adds.
-RESERVED = {*BOOKKEEPING.fieldNames(), "message", "malformed", "text"}
+# Names of the columns that ``decode`` adds, and of the history's key.
+RESERVED = {COUNT.name, *HISTORY.fieldNames(), HISTORY_KEY, "message", "malformed", "text"}
 
 _CORRUPT = "_corrupt"
 
@@ -48,8 +46,8 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
 
     The result has the envelope's columns as the struct ``message``, the contract's typed fields,
     and ``retry_count``, ``message_id``, ``failed_rules``, ``raw`` and ``malformed``; ``text`` mode
-    adds ``text``, the fields as text where one of them did not fit, else NULL. A message that is no
-    JSON object is malformed and keeps its text in ``raw``, also on later visits.
+    adds ``text``, the fields as text where one of them did not fit, else NULL. A message that is not
+    one JSON object and nothing else is malformed and keeps its text in ``raw``, also on later visits.
     """
     clash = set(schema.fieldNames()) & RESERVED
     if clash:
@@ -72,8 +70,7 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
     )
     if mode == "typed":
         unreadable = unfit & F.try_parse_json(message["value"]).isNull()
-        columns = {name: data[name] for name in schema.fieldNames()}
-        books = {name: data[name] for name in BOOKKEEPING.fieldNames()}
+        columns = {name: data[name] for name in [*schema.fieldNames(), COUNT.name]}
     elif mode == "text":
         # only these few messages are read once more, as text
         again = F.when(unfit, _parse(message["value"], schema, "text"))
@@ -82,37 +79,53 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
         unreadable = data.isNull() | text[_CORRUPT].isNotNull()
         columns = {
             f.name: F.coalesce(data[f.name], text[f.name].try_cast(f.dataType))
-            for f in schema.fields
-        }
-        books = {
-            f.name: F.coalesce(data[f.name], text[f.name].try_cast(f.dataType))
-            for f in BOOKKEEPING.fields
+            for f in [*schema.fields, COUNT]
         }
     else:
         raise ValueError(f"mode must be 'text' or 'typed', not {mode!r}")
-    columns |= books | {
-        "message_id": F.coalesce(books["message_id"], first_seen),
+    parsed = with_columns_once(parsed, {"_unreadable": unreadable | _has_more(message["value"], mode)})
+    unreadable = F.col("_unreadable")
+    history = data[HISTORY_KEY]
+    columns |= {
+        "message_id": F.coalesce(history["message_id"], first_seen),
+        "failed_rules": history["failed_rules"],
         # an absent value is kept as an empty text, so that it stays malformed on later visits
-        "raw": F.coalesce(books["raw"], F.when(unreadable, F.coalesce(message["value"], F.lit("")))),
-        "malformed": unreadable | books["raw"].isNotNull(),
+        "raw": F.coalesce(history["raw"], F.when(unreadable, F.coalesce(message["value"], F.lit("")))),
+        "malformed": unreadable | history["raw"].isNotNull(),
     }
-    return parsed.withColumns(columns).drop("_data")
+    return parsed.withColumns(columns).drop("_data", "_unreadable")
+
+
+def _has_more(value: Column, mode: str) -> Column:
+    """Whether anything follows the first JSON value, which the parser would not look at; in ``text`` mode
+    also whether that value is no object. Typed reading sees an empty record there.
+
+    A text from one brace to one closing brace, at its end, has nothing more. Others are parsed once
+    more as the first element of an array, behind which the array's second element has to come.
+    """
+    simple = value.rlike(r"^\s*\{[^}]*\}\s*$")
+    array = F.from_json(F.concat(F.lit("["), value, F.lit(f',"{HISTORY_KEY}"]')), "array<string>", _STRICT)
+    single = F.coalesce(F.array_position(array, HISTORY_KEY) == 2, F.lit(False))
+    if mode == "text":
+        single &= value.rlike(r"^\s*\{")
+    return F.when(value.isNull() | simple, False).otherwise(~single)
 
 
 def _parse(value: Column, schema: T.StructType, mode: str) -> Column:
     """The JSON text as a struct of the contract's fields, the bookkeeping and the corrupt text."""
     fields = [
         T.StructField(f.name, T.StringType() if mode == "text" else f.dataType)
-        for f in [*schema.fields, *BOOKKEEPING.fields]
+        for f in [*schema.fields, COUNT]
     ]
-    wire = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    own = [T.StructField(HISTORY_KEY, HISTORY), T.StructField(_CORRUPT, T.StringType())]
+    wire = T.StructType([*fields, *own])
     return F.from_json(value, wire, _STRICT)
 
 
 def encode(
     df: DataFrame, schema: T.StructType, replace: Mapping[str, Column] | None = None
 ) -> Column:
-    """The wire record of each row: the fields in contract order, then the bookkeeping the rows have.
+    """The wire record of each row: the fields in contract order, then the count and history the rows have.
 
     NULL fields are left out. When the rows carry ``text`` (see ``decode``), fields are written as
     text, one whose typed value is NULL as the text that came in, so nothing is lost on the way.
@@ -122,5 +135,9 @@ def encode(
     if "text" in df.columns:
         fields = {n: F.coalesce(c.cast("string"), F.col("text")[n]) for n, c in fields.items()}
     fields |= replace or {}
-    fields |= {name: F.col(name) for name in BOOKKEEPING.fieldNames() if name in df.columns}
+    if COUNT.name in df.columns:
+        fields[COUNT.name] = F.col(COUNT.name)
+    history = [F.col(name) for name in HISTORY.fieldNames() if name in df.columns]
+    if history:
+        fields[HISTORY_KEY] = F.struct(*history)
     return F.to_json(F.struct(*(c.alias(name) for name, c in fields.items())))

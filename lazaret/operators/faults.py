@@ -6,6 +6,7 @@ in any engine that has MD5.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,13 +28,13 @@ def digest(key: Sequence[str], seed: int) -> Column:
 
 
 def rate_limit(rate: float) -> str:
-    """Four hex digits; a digest whose first four sort below them is damaged."""
-    return "g" if rate >= 1 else f"{int(rate * 65536):04x}"
+    """Eight hex digits; a digest whose first eight sort below them is damaged."""
+    return "g" if rate >= 1 else f"{math.ceil(rate * 2**32):08x}"
 
 
 def field_limits(fields: Sequence[str]) -> list[str]:
-    """Two hex digits per field: the upper ends of equal slices of 00..ff, the last one open."""
-    return [f"{round(256 * i / len(fields)):02x}" for i in range(1, len(fields))] + ["g"]
+    """Eight hex digits per field: the upper ends of equal slices of their range, the last one open."""
+    return [f"{-(-i * 2**32 // len(fields)):08x}" for i in range(1, len(fields))] + ["g"]
 
 
 def plan(
@@ -45,12 +46,12 @@ def plan(
 ) -> DataFrame:
     """Add ``fault``, and for a row to damage ``kind`` (missing_field, invalid_value) and ``field``."""
     d = F.col("_digest")
-    slot = F.substring(d, 6, 2)
-    name = F.lit(fields[-1])
-    for other, limit in reversed(list(zip(fields[:-1], field_limits(fields)))):
-        name = F.when(slot < limit, other).otherwise(name)
-    kind = F.when(F.substring(d, 5, 1) < "8", "missing_field").otherwise("invalid_value")
-    fault = F.substring(d, 1, 4) < rate_limit(rate)
+    slot = F.substring(d, 10, 8)
+    name = F
+    for field, limit in zip(fields, field_limits(fields)):
+        name = name.when(slot < limit, F.lit(field))
+    kind = F.when(F.substring(d, 9, 1) < "8", "missing_field").otherwise("invalid_value")
+    fault = F.substring(d, 1, 8) < rate_limit(rate)
     return with_columns_once(
         df.withColumn("_digest", digest(key, seed)),
         {"fault": fault, "kind": F.when(fault, kind), "field": F.when(fault, name)},

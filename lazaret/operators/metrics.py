@@ -105,14 +105,3 @@ def run_summary(counts: Mapping[str, int], seconds: float, of: str = "records")
         **summary,
         **{f"{name}_percent": share(n, total) for name, n in summary.items()},
     }
-
-
-def stream_summary(progress: Mapping | None) -> dict:
-    """The same summary from the last progress of a streaming query."""
-    if progress is None:
-        return {"records": 0, "seconds": 0.0, "records_per_second": 0.0}
-    return {
-        "records": progress["numInputRows"],
-        "seconds": progress["durationMs"].get("triggerExecution", 0) / 1000.0,
-        "records_per_second": progress["processedRowsPerSecond"],
-    }

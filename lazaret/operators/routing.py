@@ -113,25 +113,24 @@ def route_counts(routes: Sequence[str]) -> list[Column]:
     return [F.count_if(F.col("route") == route).alias(route) for route in routes]
 
 
-def fan_out(df: DataFrame, root: str, batch_id: int, routes: Sequence[str]) -> dict[str, int] | None:
+def fan_out(
+    df: DataFrame, root: str, batch_id: int | str, routes: Sequence[str]
+) -> dict[str, int] | None:
     """Write all routes of one batch in one pass, to ``root/batch=N/route=R``.
 
-    One job without a shuffle or a cache, and all routes appear together when it commits. A batch
-    that is already committed is left as it is, so a replay changes nothing; None says so.
-    Otherwise returns the rows per route. Rows without a route are not written.
+    One job without a shuffle or a cache, and all routes appear together by one rename. A batch
+    that is there already is left as it is, so a replay changes nothing; None says so. The number
+    therefore has to name the same rows for ever. Otherwise returns the rows per route. Rows
+    without a route are not written.
     """
-    path = f"{root}/batch={batch_id}"
-    if storage.is_committed(df.sparkSession, path):
-        return None
     seen = Observation()
-    (
-        df.observe(seen, *route_counts(routes))
-        .filter(F.col("route").isNotNull())
-        .write.mode("overwrite")
-        .partitionBy("route")
-        .parquet(path)
+    routed = df.observe(seen, *route_counts(routes)).filter(F.col("route").isNotNull())
+    written = storage.write_whole(
+        df.sparkSession,
+        f"{root}/batch={batch_id}",
+        lambda path: routed.write.partitionBy("route").parquet(path),
     )
-    return seen.get
+    return seen.get if written else None
 
 
 def fan_out_to(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from lazaret.contracts import DLQ
 from lazaret.functions.codec import decode
+from lazaret.functions.identity import message_id
 from lazaret.operators import events, faults, metrics
 from lazaret.operators.unions import union_all
 from lazaret.plans.presets import Preset
@@ -48,12 +51,16 @@ def messages(
     rate: float = faults.FAILURE_RATE,
     seed: int = 42,
     partitions: int = 3,
+    publication: str | None = None,
 ) -> DataFrame:
     """Rows as messages with a retry count of 0, some of them damaged, with the envelope's columns.
 
     ``fault`` stays as a column for counting. A folder has no broker to assign places, so partition
-    and offset are columns of the caller or a hash of the key and a running number.
+    and offset are columns of the caller or a hash of the key and a running number. Such a number
+    starts anew in each run, so these messages carry an identity from the number and the name of the
+    ``publication``, by default a new one.
     """
+    running = offset is None
     key = F.xxhash64(*preset.key)
     placed = df.withColumns(
         {
@@ -69,6 +76,9 @@ def messages(
     planned = faults.plan(placed, preset.key, preset.fault_fields, rate, seed)
     damaged = faults.inject(planned, preset.fault_fields)
     counted = damaged.withColumn("retry_count", F.lit(0))
+    if running:
+        place = F.lit(f"{topic}|{publication or uuid.uuid4().hex}")
+        counted = counted.withColumn("message_id", message_id(place))
     return counted.select(
         F.lit(None).cast("string").alias("key"),
         faults.wire_record(counted, preset.schema, preset.fault_fields).alias("value"),
@@ -81,15 +91,21 @@ def messages(
 
 
 def publish(
-    df: DataFrame, preset: Preset, topic: Topic, batch_id: int = 0, **options
+    df: DataFrame, preset: Preset, topic: Topic, batch_id: int | str | None = None, **options
 ) -> dict:
-    """Publish a table as messages; returns the run's summary with the count and share damaged."""
+    """Publish a table as messages; returns the run's summary with the count and share damaged.
+
+    Each call is a batch of its own. A job that may be repeated gives its batch a name; a name that
+    is in the topic already raises ``FileExistsError``, as the rows may be others.
+    """
+    batch = uuid.uuid4().hex if batch_id is None else batch_id
     seen = Observation()
-    rows = messages(df, preset, topic.name, **options).observe(
+    rows = messages(df, preset, topic.name, publication=f"publisher/{batch}", **options).observe(
         seen, F.count(F.lit(1)).alias("records"), F.count_if("fault").alias("damaged")
     )
     start = time.monotonic()
-    append_topic(rows.drop("fault"), topic, batch_id, "publisher")
+    if not append_topic(rows.drop("fault"), topic, batch, "publisher"):
+        raise FileExistsError(f"batch {batch} of the publisher is in topic {topic.name} already")
     return metrics.run_summary(seen.get, time.monotonic() - start)
 
 
@@ -119,16 +135,21 @@ def quarantine_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def record_quarantine(spark: SparkSession, topic: Topic, table: Table, batch_id: int = 0) -> None:
-    """Store what is in the quarantine topic in the DLQ table."""
-    append_table(quarantine_rows(topic_table(spark, topic)), table, batch_id)
+def record_quarantine(
+    spark: SparkSession, topic: Topic, table: Table, batch_id: int | str | None = None
+) -> dict[str, int] | None:
+    """Store what is in the quarantine topic and not yet in the DLQ table."""
+    return append_table(quarantine_rows(topic_table(spark, topic)), table, batch_id)
 
 
 def reprocess(spark: SparkSession, pipeline: Pipeline) -> dict:
     """Repair and retry what is in the quarantine now, then stop; returns the run's summary."""
-    query = retry_stream(spark, pipeline, availableNow=True)
-    query.awaitTermination()
-    return metrics.stream_summary(query.lastProgress)
+    totals: Counter = Counter()
+    start = time.monotonic()
+    retry_stream(spark, pipeline, totals, availableNow=True).awaitTermination()
+    routes = {route: totals[route] for route in ("retry", "failed")}
+    counts = {"records": sum(routes.values()), **routes}
+    return metrics.run_summary(counts, time.monotonic() - start)
 
 
 def check_depth(

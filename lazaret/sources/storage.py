@@ -1,4 +1,4 @@
-"""Paths: the shared work folder and whether a written folder is complete."""
+"""Paths: the shared work folder, and folders that appear whole."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +45,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def has_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path fits a glob pattern."""
+    fs, target = _file_system(spark, pattern)
+    return bool(fs.globStatus(target))
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder, so that a stream can be started on a topic nobody has written to yet."""
     fs, target = _file_system(spark, path)
@@ -54,6 +61,32 @@ def is_pattern(path: str) -> bool:
     return any(c in path for c in "*?[{")
 
 
-def is_committed(spark: SparkSession, path: str) -> bool:
-    """Whether a job that wrote this folder has finished."""
-    return exists(spark, f"{path}/_SUCCESS")
+def hidden_beside(path: str) -> str:
+    """A new folder name next to ``path`` that readers of the parent do not see."""
+    return f"{path.rsplit('/', 1)[0]}/_staging/{uuid.uuid4().hex}"
+
+
+def reveal(spark: SparkSession, hidden: str, path: str) -> bool:
+    """Rename a finished folder to the name readers look for; False if that name is taken.
+
+    The rename is one step in HDFS and on local disks. A store without one needs a table format or Kafka.
+    """
+    fs, source = _file_system(spark, hidden)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(target):
+        return False
+    if not fs.rename(source, target):
+        raise OSError(f"{hidden} could not be renamed to {path}")
+    return True
+
+
+def write_whole(spark: SparkSession, path: str, write: Callable[[str], None]) -> bool:
+    """Let ``write`` fill a hidden folder and reveal it as ``path``; False if that is there already.
+
+    So a folder that can be seen is complete, and one whose job broke off is never read.
+    """
+    if exists(spark, path):
+        return False
+    hidden = hidden_beside(path)
+    write(hidden)
+    return reveal(spark, hidden, path)

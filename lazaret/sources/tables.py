@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lazaret.contracts import Contract, conform, enforce, missing_required
+from lazaret.contracts import Contract, conform, enforce, missing_required, violations
 from lazaret.functions.identity import stamp
 from lazaret.sources import storage
 from lazaret.sources.readers import read_table
@@ -38,9 +40,13 @@ def scan(spark: SparkSession, table: Table) -> DataFrame:
     schema = table.contract.schema
     if table.url is not None:
         return read_table(
-            spark, url=table.url, table=table.contract.name, properties=table.properties
+            spark,
+            url=table.url,
+            table=table.contract.name,
+            properties=table.properties,
+            predicates=_identity_ranges(table),
         ).select(*schema.fieldNames())
-    if not storage.exists(spark, table.path):
+    if not storage.has_match(spark, f"{table.path}/batch=*"):
         return spark.createDataFrame([], schema)
     return (
         spark.read.schema(schema)
@@ -50,28 +56,98 @@ def scan(spark: SparkSession, table: Table) -> DataFrame:
     )
 
 
-def append_table(df: DataFrame, table: Table, batch_id: int) -> None:
-    """Append a batch, once.
+def append_table(
+    df: DataFrame, table: Table, batch_id: int | str | None = None
+) -> dict[str, int] | None:
+    """Append a batch, once; returns the rows ``offered`` and ``rejected``, None for a repeated batch.
 
-    Rows are projected to the contract and rows that break it are left out (see
-    ``contracts.violations``). A folder gets one subfolder per batch and keeps a committed one as it
-    is. A database gets only rows whose identity is not stored yet, in one transaction per task, so
-    a batch that broke off half way is completed by its repetition.
+    Rows are projected to the contract. One that lacks a required value is rejected: it goes to the
+    rejects (``rejects``) with the reason. Rows whose identity is stored already, by whatever batch,
+    are left out, so a table needs one writer at a time. Without a number the batch gets a new name;
+    a number has to name the same rows for ever.
+
+    A folder gets one subfolder per batch, which appears whole. A database gets its rows in one
+    transaction per task, and a batch that broke off half way is completed by its repetition; its
+    rejects are then written again.
     """
-    rows = conform(df, table.contract)
+    batch = uuid.uuid4().hex if batch_id is None else batch_id
+    spark, contract = df.sparkSession, table.contract
+    path = f"{table.path}/batch={batch}"
+    if table.url is None and storage.exists(spark, path):
+        return None
+    seen = Observation()
+    rows = conform(df, contract)
+    counted = rows.observe(
+        seen,
+        F.count(F.lit(1)).alias("offered"),
+        F.count_if(missing_required(contract).isNotNull()).alias("rejected"),
+    )
+    if table.url is not None:
+        create_table(spark, table)
+        fresh = enforce(counted, contract, scan(spark, table))
+        _write_database(fresh, table, contract.name)
+    else:
+        staged = storage.hidden_beside(path)
+        unique = enforce(counted, contract)
+        unique.write.partitionBy(*table.partition_by).parquet(staged)
+        staged = _without_stored(spark, table, staged)
+    counts = seen.get
+    if counts.get("rejected"):
+        _append_rejects(rows, table, batch)
     if table.url is None:
-        path = f"{table.path}/batch={batch_id}"
-        if not storage.is_committed(df.sparkSession, path):
-            unique = enforce(rows, table.contract)
-            unique.write.mode("overwrite").partitionBy(*table.partition_by).parquet(path)
+        storage.reveal(spark, staged, path)
+    return counts
+
+
+def _without_stored(spark: SparkSession, table: Table, staged: str) -> str:
+    """The folder of a batch less the identities stored before; ``staged`` itself if there are none.
+
+    The identities stored are cut to those of the batch first. A batch is small beside the table, and
+    the planner then sends the batch's identities to the scan instead of shuffling the table's.
+    """
+    if not storage.has_match(spark, f"{table.path}/batch=*"):
+        return staged
+    key, columns = table.contract.unique, table.contract.schema.fieldNames()
+    batch = spark.read.schema(table.contract.schema).parquet(staged).select(*columns)
+    again = scan(spark, table).select(key).join(batch.select(key), key, "left_semi")
+    if again.isEmpty():
+        return staged
+    rest = storage.hidden_beside(f"{table.path}/batch")
+    fresh = batch.join(again, key, "left_anti").select(*columns)
+    fresh.write.partitionBy(*table.partition_by).parquet(rest)
+    return rest
+
+
+def _append_rejects(rows: DataFrame, table: Table, batch: int | str) -> None:
+    refused = violations(rows, table.contract)
+    if table.url is not None:
+        _write_database(refused, table, f"{table.contract.name}_rejects")
         return
-    create_table(df.sparkSession, table)
-    fresh = enforce(rows, table.contract, _stored_near(rows, table))
-    fresh.write.jdbc(
-        table.url, table.contract.name, mode="append", properties=dict(table.properties)
+    storage.write_whole(
+        rows.sparkSession,
+        f"{table.path}/rejects/batch={batch}",
+        lambda path: refused.write.parquet(path),
     )
 
 
+def rejects(spark: SparkSession, table: Table) -> DataFrame:
+    """The rows the contract refused: its columns and ``violation``, the required ones that lacked a value."""
+    schema = T.StructType(
+        [*table.contract.schema.fields, T.StructField("violation", T.StringType())]
+    )
+    if table.url is not None:
+        name, properties = f"{table.contract.name}_rejects", table.properties
+        return read_table(spark, url=table.url, table=name, properties=properties)
+    if not storage.exists(spark, f"{table.path}/rejects"):
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).option("basePath", f"{table.path}/rejects")
+    return found.parquet(f"{table.path}/rejects/batch=*").select(*schema.fieldNames())
+
+
+def _write_database(df: DataFrame, table: Table, name: str) -> None:
+    df.write.jdbc(table.url, name, mode="append", properties=dict(table.properties))
+
+
 def create_table(spark: SparkSession, table: Table) -> None:
     """Create the database table of a contract unless it exists.
 
@@ -86,36 +162,16 @@ def create_table(spark: SparkSession, table: Table) -> None:
     ).jdbc(table.url, table.contract.name, mode="ignore", properties=dict(table.properties))
 
 
-def _stored_near(rows: DataFrame, table: Table) -> DataFrame | None:
-    """Stored identities within the offset ranges this batch covers; None for an empty batch.
+def _identity_ranges(table: Table) -> list[str]:
+    """Predicates that cut a database table by the first character of its identities, which are hex digests.
 
-    One range per topic partition comes to the driver, and each is read by a task of its own, so a
-    long table is not read whole for a small batch.
+    Each range is read by a task of its own. Any text falls into one of them.
     """
-    ranges = (
-        rows.filter(missing_required(table.contract).isNull())
-        .groupBy("topic", "partition")
-        .agg(F.min("msg_offset").alias("low"), F.max("msg_offset").alias("high"))
-        .collect()
-    )
-    if not ranges:
-        return None
     mark = "`" if table.url.startswith(("jdbc:mysql", "jdbc:mariadb")) else '"'
-    topic, partition, offset = (f"{mark}{c}{mark}" for c in ("topic", "partition", "msg_offset"))
-    predicates = []
-    for r in ranges:
-        name = r["topic"].replace("'", "''")
-        predicates.append(
-            f"{topic} = '{name}' AND {partition} = {r['partition']}"
-            f" AND {offset} BETWEEN {r['low']} AND {r['high']}"
-        )
-    return read_table(
-        rows.sparkSession,
-        url=table.url,
-        table=table.contract.name,
-        properties=table.properties,
-        predicates=predicates,
-    )
+    key = f"{mark}{table.contract.unique}{mark}"
+    bounds = "123456789abcdef"
+    between = [f"{key} >= '{a}' AND {key} < '{b}'" for a, b in zip(bounds, bounds[1:])]
+    return [f"{key} < '1' OR {key} IS NULL", *between, f"{key} >= 'f'"]
 
 
 def snapshot(df: DataFrame, root: str, name: str | None = None) -> str:

@@ -76,19 +76,22 @@ def _as_envelope(raw: DataFrame) -> DataFrame:
     return raw.select(*(F.col(f.name).cast(f.dataType) for f in ENVELOPE.fields))
 
 
-def append_topic(df: DataFrame, topic: Topic, batch_id: int, producer: str = "main") -> None:
-    """Write messages to a topic.
-
-    Kafka sends are at least once: a repeated batch sends again, and readers drop the copies by
-    message identity. A folder keeps one subfolder per producer and batch and leaves a committed
-    one alone, so there a repeated batch adds nothing.
+def append_topic(
+    df: DataFrame, topic: Topic, batch_id: int | str, producer: str = "main"
+) -> bool:
+    """Write messages to a topic; False if the batch is there already.
+
+    Kafka sends are at least once: a repeated batch sends again, and the tables at the end drop the
+    copies by message identity. A folder keeps one subfolder per producer and batch, which appears
+    whole, and leaves one that is there alone, so there a repeated batch adds nothing.
     """
     if topic.is_kafka:
         rows = df.select("key", "value")
         rows.write.format("kafka").options(**write_options(topic)).save()
-        return
-    path = f"{topic.path}/producer={producer}/batch={batch_id}"
-    if storage.is_committed(df.sparkSession, path):
-        return
-    rows = df.withColumn("topic", F.lit(topic.name))
-    rows.select(*ENVELOPE.fieldNames()).write.mode("overwrite").parquet(path)
+        return True
+    rows = df.withColumn("topic", F.lit(topic.name)).select(*ENVELOPE.fieldNames())
+    return storage.write_whole(
+        df.sparkSession,
+        f"{topic.path}/producer={producer}/batch={batch_id}",
+        lambda path: rows.write.parquet(path),
+    )

@@ -9,13 +9,16 @@
                 failed table
 
 Either stream may stop and start at any time: offsets are in its checkpoint, and a batch that is
-repeated after a loss finds its committed output or writes the same place again.
+repeated after a loss finds its output or writes the same place again. Output is named after the
+checkpoint's identity and the batch, so a stream with a new checkpoint never takes the batches of an
+earlier one for its own.
 
 ``Hub`` and ``Separate`` say where the routes end; a pipeline takes either.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -78,9 +81,9 @@ class Hub:
     def quarantine(self) -> Topic:
         return Topic(f"{self.name}_dlq", f"{self.root}/{self._folders('validate', 'dlq')}")
 
-    def emit(self, stage: str, df: DataFrame, batch_id: int) -> None:
+    def emit(self, stage: str, df: DataFrame, batch_id: int | str) -> dict[str, int] | None:
         routes = ("processed", "dlq") if stage == "validate" else ("retry", "failed")
-        fan_out(df, f"{self.root}/{stage}", batch_id, routes)
+        return fan_out(df, f"{self.root}/{stage}", batch_id, routes)
 
     def table(self, spark: SparkSession, route: str, schema: T.StructType) -> DataFrame:
         """The processed or the failed rows: envelope, retry history and the fields as ``data``."""
@@ -89,7 +92,7 @@ class Hub:
         stored = T.StructType(
             [*ENVELOPE.fields, *HISTORY.fields, T.StructField("data", schema)]
         )
-        if not storage.exists(spark, root):
+        if not storage.has_match(spark, f"{root}/batch=*"):
             return spark.createDataFrame([], stored)
         rows = spark.read.schema(stored).option("basePath", root).parquet(f"{root}/batch=*")
         # the route is a folder name, so this filter leaves the other route's files unlisted
@@ -111,7 +114,7 @@ class Separate:
     def quarantine(self) -> Topic:
         return self.dlq_topic
 
-    def emit(self, stage: str, df: DataFrame, batch_id: int) -> None:
+    def emit(self, stage: str, df: DataFrame, batch_id: int | str) -> dict[str, int]:
         def stored(rows: DataFrame) -> DataFrame:
             own = [f"data.{f}" for f in rows.schema["data"].dataType.fieldNames()]
             return rows.select(
@@ -131,7 +134,7 @@ class Separate:
                 "retry": lambda d: append_topic(d, self.source_topic, batch_id, stage),
                 "failed": lambda d: append_table(stored(d), self.failed, batch_id),
             }
-        fan_out_to(df, branches)
+        return fan_out_to(df, branches)
 
     def table(self, spark: SparkSession, route: str) -> DataFrame:
         return scan(spark, self.processed if route == "processed" else self.failed)
@@ -209,31 +212,59 @@ def retrying(spark: SparkSession, p: Pipeline) -> DataFrame:
     return repaired(topic_stream(spark, p.sinks.quarantine(), p.starting), p)
 
 
-def _start(rows: DataFrame, stage: str, p: Pipeline, trigger: dict) -> StreamingQuery:
-    """The rows are transformed as a stream, so the plan is made once; a batch is only fanned out."""
-    writer = rows.writeStream.foreachBatch(
-        lambda batch, batch_id: p.sinks.emit(stage, batch, batch_id)
-    ).option("checkpointLocation", f"{p.checkpoint}/{stage}")
+def _start(
+    rows: DataFrame, stage: str, p: Pipeline, trigger: dict, totals: Counter | None = None
+) -> StreamingQuery:
+    """The rows are transformed as a stream, so the plan is made once; a batch is only fanned out.
+
+    ``totals`` takes up the rows of each route over all batches, and ``repeated`` batches.
+    """
+    checkpoint = f"{p.checkpoint}/{stage}"
+    run: list[str] = []
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        if not run:
+            run.append(_checkpoint_id(batch.sparkSession, checkpoint))
+        counts = p.sinks.emit(stage, batch, f"{run[0]}-{batch_id}")
+        if totals is not None:
+            totals.update({"repeated": 1} if counts is None else counts)
+
+    writer = rows.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def validate_stream(spark: SparkSession, p: Pipeline, **trigger: Any) -> StreamingQuery:
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity Spark gives a checkpoint when it is first used; it stays over restarts."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
+def validate_stream(
+    spark: SparkSession, p: Pipeline, totals: Counter | None = None, **trigger: Any
+) -> StreamingQuery:
     """Start the validate stream; without a trigger batches follow each other at once."""
-    return _start(validating(spark, p), "validate", p, trigger)
+    return _start(validating(spark, p), "validate", p, trigger, totals)
 
 
-def retry_stream(spark: SparkSession, p: Pipeline, **trigger: Any) -> StreamingQuery:
+def retry_stream(
+    spark: SparkSession, p: Pipeline, totals: Counter | None = None, **trigger: Any
+) -> StreamingQuery:
     """Start the repair-and-retry stream."""
-    return _start(retrying(spark, p), "repair", p, trigger)
+    return _start(retrying(spark, p), "repair", p, trigger, totals)
 
 
 def drain(spark: SparkSession, p: Pipeline) -> list[StreamingQuery]:
-    """Run both streams in turn over what is there until no message is left in the loop."""
+    """Run both streams in turn over what is there until no message is left in the loop.
+
+    That is so when a run of the repair stream sends nothing back. Every visit raises a message's
+    count, so it ends.
+    """
     stages = {"validate": validating(spark, p), "repair": retrying(spark, p)}
     runs: list[StreamingQuery] = []
-    for _ in range(p.max_retries):
+    while True:
+        totals: Counter = Counter()
         for stage, rows in stages.items():
-            query = _start(rows, stage, p, {"availableNow": True})
+            query = _start(rows, stage, p, {"availableNow": True}, totals)
             query.awaitTermination()
             runs.append(query)
-    return runs
+        if not totals["retry"] and not totals["repeated"]:
+            return runs

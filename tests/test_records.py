@@ -142,8 +142,10 @@ def test_fault_plan_is_repeatable_and_near_its_rate(spark):
 
 
 def test_fault_constants():
-    assert faults.rate_limit(0.01) == "028f" and faults.rate_limit(0.25) == "4000"
-    assert faults.field_limits(list("abcdef")) == ["2b", "55", "80", "ab", "d5", "g"]
+    assert faults.rate_limit(0.01) == "028f5c29" and faults.rate_limit(0.25) == "40000000"
+    assert faults.field_limits(list("abcdef")) == [
+        "2aaaaaab", "55555556", "80000000", "aaaaaaab", "d5555556", "g"
+    ]
 
 
 def test_injection_on_the_wire(spark):
@@ -194,3 +196,32 @@ def test_long_integers_stay(spark):
     rows = spark.sql("SELECT 9007199254740993L AS n, '9007199254740993' AS t, '7.9' AS u")
     row = rows.select(*(to_int(F.col(c), "bigint").alias(c) for c in rows.columns)).first()
     assert (row.n, row.t, row.u) == (9007199254740993, 9007199254740993, 7)
+
+
+def test_only_one_object_is_a_message(spark):
+    """Anything behind the object makes a message malformed; a record's own fields are no bookkeeping."""
+    whole = ['{"id":1}', ' {"id":1} \n', '{"id":1,"o":{"a":"}"}}', '{"id":1,"raw":"x","message_id":"m"}']
+    broken = [
+        '{"id":1}{"id":2}', '{"id":1} x', '{"id":1},{"id":2}', '{"id":1}}', '{"id":1}]', '{"id":1}]}',
+        '{"id":1,"o":{"a":1}} {', '', None, '[{"id":1}]', '1',
+    ]
+    rows = [(v, "t", 0, i) for i, v in enumerate(whole + broken)]
+    df = spark.createDataFrame(rows, "value string, topic string, partition int, offset bigint")
+    for mode in ("text", "typed"):
+        read = decode(df, schema_of(id="integer"), mode)
+        found = read.select("message.offset", "malformed", "id", "message_id").orderBy("offset").collect()
+        # typed reading takes an array or a number for a record without fields
+        refused = [True] * (len(broken) - 2) + [mode == "text"] * 2
+        assert [r["malformed"] for r in found] == [False] * len(whole) + refused
+        assert all(r["id"] == 1 for r in found[: len(whole)])
+        assert len({r["message_id"] for r in found}) == len(found)
+
+
+def test_small_rates_and_many_fields(spark):
+    """Rates below one in 65,536 damage rows, and each of 400 fields is chosen."""
+    rare = faults.plan(spark.range(3_000_000), ["id"], ["id"], 1e-5).filter("fault").count()
+    assert 10 <= rare <= 60
+    names = [f"f{i}" for i in range(400)]
+    wide = spark.range(20_000).select("id")
+    chosen = faults.plan(wide, ["id"], names, 1.0).select("field").distinct().count()
+    assert chosen == 400

@@ -10,7 +10,7 @@ from lazaret.contracts import DLQ, FAILED, PROCESSED, conform, enforce, schema_o
 from lazaret.operators.routing import fan_out, fan_out_to
 from lazaret.operators.unions import union_all
 from lazaret.plans import jobs
-from lazaret.sources import readers, storage
+from lazaret.sources import readers, storage, tables
 from lazaret.sources.tables import Table, append_table, scan, snapshot, write_dataset
 from lazaret.sources.topics import Topic, append_topic, read_options, topic_table, write_options
 
@@ -105,12 +105,45 @@ def test_append_table_once_per_batch(spark, folder):
     assert sorted(r["n"] for r in scan(spark, table).collect()) == [1, 2, 3]
 
 
-def test_unfinished_batch_is_written_again(spark, folder):
+def test_unfinished_batch_is_not_read_and_is_written_again(spark, folder):
     table = Table(PROCESSED.with_fields(schema_of(n="integer")), f"{folder}/t")
-    append_table(placed(spark, [1]), table, 0)
-    os.remove(f"{folder}/t/batch=0/_SUCCESS")
+    placed(spark, [1]).write.parquet(f"{folder}/t/_staging/broken_off")
+    assert scan(spark, table).count() == 0
     append_table(placed(spark, [1, 2]), table, 0)
     assert scan(spark, table).count() == 2
+    topic = Topic("t", f"{folder}/t")
+    assert topic_table(spark, topic).count() == 2
+
+
+def test_identity_is_unique_over_batches(spark, folder):
+    table = Table(PROCESSED.with_fields(schema_of(n="integer")), f"{folder}/t")
+    assert append_table(placed(spark, [1, 2, 2]), table, 0) == {"offered": 3, "rejected": 0}
+    append_table(placed(spark, [2, 3]), table, 1)
+    append_table(placed(spark, [1, 2, 3]), table)
+    append_table(placed(spark, [4]), table)
+    assert sorted(r["n"] for r in scan(spark, table).collect()) == [1, 2, 3, 4]
+
+
+def test_refused_rows_are_kept(spark, folder):
+    table = Table(PROCESSED.with_fields(schema_of(n="integer")), f"{folder}/t")
+    rows = placed(spark, [1, 2, 3]).withColumn("topic", F.when(F.col("n") > 1, "t"))
+    assert tables.rejects(spark, table).count() == 0
+    assert append_table(rows, table, 0) == {"offered": 3, "rejected": 1}
+    assert append_table(rows, table, 0) is None
+    assert scan(spark, table).count() == 2
+    found = tables.rejects(spark, table).collect()
+    assert [(r["n"], r["violation"]) for r in found] == [(1, "topic")]
+
+
+def test_same_identity_at_another_place_in_a_database(spark, folder):
+    url = "jdbc:derby:memory:" + os.path.basename(folder).replace("-", "_") + ";create=true"
+    table = Table(PROCESSED, url=url)
+    rows = placed(spark, range(3))
+    append_table(rows, table)
+    append_table(rows.withColumn("msg_offset", F.col("msg_offset") + 100), table)
+    assert scan(spark, table).count() == 3
+    append_table(rows.withColumn("partition", F.lit(None).cast("int")), table)
+    assert tables.rejects(spark, table).count() == 3
 
 
 def test_lookup_prunes_folders(spark, folder):
