@@ -58,7 +58,7 @@ HISTORY = schema_of(
 class Hub:
     """All topics and tables in one folder of Parquet files.
 
-    Each batch is one pass and one job: ``fan_out`` writes every route, and they appear together.
+    Each batch is one pass and one job: ``fan_out`` writes every route, and they appear together by one rename.
     Readers of a route read its folders alone, and only the columns they use.
     """
 
