@@ -23,7 +23,7 @@ from lazaret.sources.topics import Topic, append_topic
 
 def topic_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Depth per topic partition by offsets, with totals."""
-    return metrics.depth_totals(event_messages(spark, sf_dir))
+    return metrics.depth_totals(event_messages(spark, sf_dir, rate=0.0))
 
 
 def depth_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,8 +56,8 @@ def abs_value(c: Column) -> Column:
 class Policy:
     """How one column is repaired: clean the text, convert, fill NULL, drop the sign, in this order.
 
-    Every combination is idempotent: repairing a repaired value changes nothing. The loop's
-    closed form in ``plans.loop`` relies on that.
+    Repairing a repaired value changes nothing, unless the policy strips; the loop's closed form in
+    ``plans.loop`` relies on that.
     """
 
     column: str
@@ -66,6 +66,11 @@ class Policy:
     default: Any = None
     absolute: bool = False
 
+    @property
+    def idempotent(self) -> bool:
+        """Stripping takes a number's exponent away, so 1.0E7 becomes 1.07."""
+        return self.clean != "strip"
+
     def apply(self, c: Column) -> Column:
         return self.finish(c if self.clean is None else clean_number(c, self.clean))
 

@@ -123,21 +123,27 @@ def _parse(value: Column, schema: T.StructType, mode: str) -> Column:
 
 
 def encode(
-    df: DataFrame, schema: T.StructType, replace: Mapping[str, Column] | None = None
+    df: DataFrame, schema: T.StructType, instead: Mapping[str, Column] | None = None
 ) -> Column:
     """The wire record of each row: the fields in contract order, then the count and history the rows have.
 
     NULL fields are left out. When the rows carry ``text`` (see ``decode``), fields are written as
     text, one whose typed value is NULL as the text that came in, so nothing is lost on the way.
-    ``replace`` gives other columns for some fields.
+    ``instead`` gives texts for some fields, each written where it is not NULL; the field is NULL there.
     """
     fields = {name: F.col(name) for name in schema.fieldNames()}
     if "text" in df.columns:
         fields = {n: F.coalesce(c.cast("string"), F.col("text")[n]) for n, c in fields.items()}
-    fields |= replace or {}
+    instead = instead or {}
     if COUNT.name in df.columns:
         fields[COUNT.name] = F.col(COUNT.name)
     history = [F.col(name) for name in HISTORY.fieldNames() if name in df.columns]
     if history:
         fields[HISTORY_KEY] = F.struct(*history)
-    return F.to_json(F.struct(*(c.alias(name) for name, c in fields.items())))
+    written = []
+    for name, c in fields.items():
+        written.append(c.alias(name))
+        if name in instead:
+            # of the two fields of this name one is NULL, and so left out
+            written.append(instead[name].alias(name))
+    return F.to_json(F.struct(*written))

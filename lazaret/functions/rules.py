@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 At = Callable[[str], Column]
 
+#: Rules per mask, as many as a long has room for with one bit to spare.
+MASK_RULES = 62
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -73,23 +76,41 @@ def verdict(rules: Sequence[Rule], null_verdict: str = "quarantine", at: At = F.
     raise ValueError(f"null_verdict must be 'quarantine' or 'drop', not {null_verdict!r}")
 
 
-def failures(rules: Sequence[Rule], at: At = F.col) -> Column:
-    """The broken rules as a bit mask, rule 0 in the lowest bit; 0 for a valid row.
+def place(number: int) -> tuple[int, int]:
+    """In which mask a rule stands, and its bit there."""
+    mask, bit = divmod(number, MASK_RULES)
+    return mask, 1 << bit
 
-    One number says both whether a row is valid and why not, so each rule is evaluated once and the
-    generated code stays short enough for the JVM to compile it.
-    """
-    if len(rules) > 62:
-        raise ValueError("a mask has room for 62 rules; join some of them into one")
-    bits = [F.when(rule.condition(at), 0).otherwise(1 << i) for i, rule in enumerate(rules)]
-    return reduce(lambda left, right: left + right, bits)
 
+def failures(rules: Sequence[Rule], at: At = F.col) -> list[Column]:
+    """The broken rules as bit masks of ``MASK_RULES`` rules each, rule 0 in the lowest bit; all 0 for a valid row.
 
-def names(mask: Column, rules: Sequence[Rule], more: Sequence[str] = ()) -> Column:
-    """The names in a mask as one comma-separated string; NULL for 0. ``more`` names higher bits."""
-    labels = [rule.name for rule in rules] + list(more)
-    found = [F.when(mask.bitwiseAND(1 << i) != 0, label) for i, label in enumerate(labels)]
-    return F.when(mask != 0, F.concat_ws(",", *found))
+    The numbers say both whether a row is valid and why not, so each rule is evaluated once and the
+    generated code stays short enough for the JVM to compile it.
+    """
+    masks: list[Column] = []
+    for number, rule in enumerate(rules):
+        mask, bit = place(number)
+        own = F.when(rule.condition(at), 0).otherwise(bit)
+        if mask == len(masks):
+            masks.append(own)
+        else:
+            masks[mask] = masks[mask] + own
+    return masks
+
+
+def none_broken(masks: Sequence[Column]) -> Column:
+    return reduce(lambda left, right: left & right, (mask == 0 for mask in masks))
+
+
+def names(masks: Sequence[Column], rules: Sequence[Rule], more: Sequence[str] = ()) -> Column:
+    """The names in the masks as one comma-separated string; NULL for none. ``more`` names higher bits."""
+    found = []
+    for number, label in enumerate([*(rule.name for rule in rules), *more]):
+        mask, bit = place(number)
+        if mask < len(masks):
+            found.append(F.when(masks[mask].bitwiseAND(bit) != 0, label))
+    return F.when(~none_broken(masks), F.concat_ws(",", *found))
 
 
 def reasons(rules: Sequence[Rule], at: At = F.col) -> Column:

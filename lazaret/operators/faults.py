@@ -80,17 +80,12 @@ def inject(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 def wire_record(df: DataFrame, schema: T.StructType, fields: Sequence[str]) -> Column:
     """The JSON of an injected row: numbers stay numbers, and where the plan wanted an invalid number
     but there was none, the field is the text ``invalid_value``."""
-    record = encode(df, schema)
+    texts = {}
     for name in fields:
         if _is_number(df, name):
-            absent = (
-                (F.col("kind") == "invalid_value")
-                & (F.col("field") == name)
-                & F.col(name).isNull()
-            )
-            as_text = encode(df, schema, replace={name: F.lit(INVALID_TEXT)})
-            record = F.when(absent, as_text).otherwise(record)
-    return record
+            wanted = (F.col("kind") == "invalid_value") & (F.col("field") == name)
+            texts[name] = F.when(wanted & F.col(name).isNull(), F.lit(INVALID_TEXT))
+    return encode(df, schema, instead=texts)
 
 
 def _is_number(df: DataFrame, name: str) -> bool:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lazaret.functions.once import with_columns_once
-from lazaret.functions.rules import Rule
-from lazaret.operators.routing import DECODE, broken
+from lazaret.functions.rules import Rule, place
+from lazaret.operators.routing import DECODE, broken, columns_of
 
 
 def depth(df: DataFrame, count: str = "offsets") -> DataFrame:
@@ -80,11 +80,11 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     labels = [rule.name for rule in rules]
     if "malformed" in df.columns:
         labels.append(DECODE)
-    mask = F.col("_broken")
-    counters = [
-        F.count_if(mask.bitwiseAND(1 << i) != 0).alias(label) for i, label in enumerate(labels)
-    ]
-    counted = with_columns_once(df, {"_broken": broken(df, rules)}).agg(*counters)
+    counters = []
+    for number, label in enumerate(labels):
+        mask, bit = place(number)
+        counters.append(F.count_if(F.col(f"_broken{mask}").bitwiseAND(bit) != 0).alias(label))
+    counted = with_columns_once(df, columns_of(broken(df, rules), "_broken")).agg(*counters)
     tall = counted.unpivot([], [F.col(f"`{label}`") for label in labels], "rule", "n")
     return tall.filter("n > 0")
 

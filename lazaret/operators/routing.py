@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lazaret.functions.rules import At, Rule, conjunction, failures, names, verdict
+from lazaret.functions.rules import At, Rule, conjunction, failures, names, none_broken, place, verdict
 from lazaret.functions.once import with_columns_once
 from lazaret.sources import storage
 
@@ -21,17 +21,25 @@ MAX_RETRIES = 3
 DECODE = "decode"
 
 
-def broken(df: DataFrame, rules: Sequence[Rule], at: At = F.col) -> Column:
-    """Mask of the broken rules (``functions.rules.failures``); a malformed message has a bit of its
-    own after the rules."""
-    mask = failures(rules, at)
-    if "malformed" in df.columns:
-        return F.when(F.col("malformed"), 1 << len(rules)).otherwise(mask)
-    return mask
+def broken(df: DataFrame, rules: Sequence[Rule], at: At = F.col) -> list[Column]:
+    """Masks of the broken rules (``functions.rules.failures``); a malformed message has a bit of its
+    own after the rules, and no other."""
+    masks = failures(rules, at)
+    if "malformed" not in df.columns:
+        return masks
+    last, bit = place(len(rules))
+    masks += [F.lit(0)] * (last + 1 - len(masks))
+    malformed = F.col("malformed")
+    return [F.when(malformed, bit if k == last else 0).otherwise(m) for k, m in enumerate(masks)]
+
+
+def columns_of(masks: Sequence[Column], name: str) -> dict[str, Column]:
+    """Masks as the columns ``name0``, ``name1`` and so on."""
+    return {f"{name}{k}": mask for k, mask in enumerate(masks)}
 
 
-def broken_names(mask: Column, rules: Sequence[Rule]) -> Column:
-    return names(mask, rules, [DECODE])
+def broken_names(masks: Sequence[Column], rules: Sequence[Rule]) -> Column:
+    return names(masks, rules, [DECODE])
 
 
 def is_valid(df: DataFrame, rules: Sequence[Rule], null_verdict: str = "quarantine") -> Column:
@@ -65,21 +73,23 @@ def triage(df: DataFrame, rules: Sequence[Rule], null_verdict: str = "quarantine
 
     Under ``null_verdict="drop"`` rows judged NULL have no route.
     """
-    judged = with_columns_once(df, {"_broken": broken(df, rules)})
-    mask = F.col("_broken")
+    marks = columns_of(broken(df, rules), "_broken")
+    judged = with_columns_once(df, marks)
+    masks = [F.col(c) for c in marks]
+    valid = none_broken(masks)
     unknown = F.lit(False)
     if null_verdict == "drop":
         unknown = is_valid(df, rules, "drop").isNull()
     earlier = F.col("failed_rules") if "failed_rules" in df.columns else F.lit(None)
     return judged.withColumns(
         {
-            "route": F.when(mask == 0, "processed").when(~unknown, "dlq"),
+            "route": F.when(valid, "processed").when(~unknown, "dlq"),
             # a valid row keeps the reasons of its last failed visit, if any
-            "failed_rules": F.when(mask == 0, earlier.cast("string")).otherwise(
-                broken_names(mask, rules)
+            "failed_rules": F.when(valid, earlier.cast("string")).otherwise(
+                broken_names(masks, rules)
             ),
         }
-    ).drop("_broken")
+    ).drop(*marks)
 
 
 def next_count(null_count: str = "zero") -> Column:

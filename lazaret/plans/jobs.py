@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lazaret.contracts import DLQ
-from lazaret.functions.codec import decode
+from lazaret.functions.codec import decode, encode
 from lazaret.functions.identity import message_id
 from lazaret.operators import events, faults, metrics
 from lazaret.operators.unions import union_all
@@ -73,15 +73,22 @@ def messages(
             ),
         }
     )
-    planned = faults.plan(placed, preset.key, preset.fault_fields, rate, seed)
-    damaged = faults.inject(planned, preset.fault_fields)
+    if rate > 0:
+        planned = faults.plan(placed, preset.key, preset.fault_fields, rate, seed)
+        damaged = faults.inject(planned, preset.fault_fields)
+    else:  # no digest of each key for nothing
+        damaged = placed.withColumn("fault", F.lit(False))
     counted = damaged.withColumn("retry_count", F.lit(0))
     if running:
         place = F.lit(f"{topic}|{publication or uuid.uuid4().hex}")
         counted = counted.withColumn("message_id", message_id(place))
+    if rate > 0:
+        wire = faults.wire_record(counted, preset.schema, preset.fault_fields)
+    else:
+        wire = encode(counted, preset.schema)
     return counted.select(
         F.lit(None).cast("string").alias("key"),
-        faults.wire_record(counted, preset.schema, preset.fault_fields).alias("value"),
+        wire.alias("value"),
         F.lit(topic).alias("topic"),
         "partition",
         "offset",

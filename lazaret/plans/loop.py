@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lazaret.functions.cleaning import Policy
-from lazaret.functions.rules import Rule
+from lazaret.functions.rules import Rule, none_broken
 from lazaret.functions.once import with_columns_once
 from lazaret.operators.repair import with_repairs
 from lazaret.operators.routing import (
@@ -21,6 +21,7 @@ from lazaret.operators.routing import (
     RETRIES_EXCEEDED,
     broken,
     broken_names,
+    columns_of,
     fan_out,
     next_count,
     retry_route,
@@ -37,10 +38,13 @@ def resolve(
 ) -> DataFrame:
     """Where the loop ends for each row, in one pass over the rows without a shuffle.
 
-    Policies are idempotent, so a row that is invalid after its first repair stays invalid, and the
-    loop needs no rounds. Adds ``outcome`` (processed, repaired, failed), the final ``retry_count``,
+    Policies have to be idempotent; then a row that is invalid after its first repair stays invalid, and the
+    loop needs no rounds. Others are refused: ``iterate`` takes them. Adds ``outcome`` (processed, repaired, failed), the final ``retry_count``,
     ``failed_rules`` of the last failed check and ``error``; repaired columns carry repaired values.
     """
+    unstable = [p.column for p in policies if not p.idempotent]
+    if unstable:
+        raise ValueError(f"repairing {', '.join(unstable)} again may change the value again; use iterate")
     if "retry_count" not in df.columns:
         df = df.withColumn("retry_count", F.lit(0))
     fixed = [p.column for p in policies]
@@ -49,14 +53,14 @@ def resolve(
         return F.col(_FIXED + name) if name in fixed else F.col(name)
 
     mended = with_repairs(df, policies, _FIXED)
-    checked = with_columns_once(
-        mended, {"_now": broken(df, rules), "_then": broken(df, rules, after)}
-    )
-    now, then, count = F.col("_now"), F.col("_then"), next_count()
-    valid, last_visit, cured = now == 0, count >= max_retries, then == 0
+    marks = columns_of(broken(df, rules), "_now"), columns_of(broken(df, rules, after), "_then")
+    checked = with_columns_once(mended, marks[0] | marks[1])
+    now, then = ([F.col(c) for c in side] for side in marks)
+    count = next_count()
+    valid, last_visit, cured = none_broken(now), count >= max_retries, none_broken(then)
     earlier = F.col("failed_rules") if "failed_rules" in df.columns else F.lit(None)
-    # the mask of the last check that failed
-    last = F.when(last_visit | cured, now).otherwise(then)
+    # the masks of the last check that failed
+    last = [F.when(last_visit | cured, a).otherwise(b) for a, b in zip(now, then, strict=True)]
     return checked.withColumns(
         {
             "outcome": F.when(valid, "processed")
@@ -72,7 +76,7 @@ def resolve(
             "error": F.when(~valid & (last_visit | ~cured), F.lit(RETRIES_EXCEEDED)),
             **{name: F.when(valid, F.col(name)).otherwise(after(name)) for name in fixed},
         }
-    ).drop("_now", "_then", *(_FIXED + name for name in fixed))
+    ).drop(*marks[0], *marks[1], *(_FIXED + name for name in fixed))
 
 
 def visit(
@@ -87,9 +91,10 @@ def visit(
     """
     earlier = F.col("failed_rules") if "failed_rules" in df.columns else F.lit(None)
     mended = with_repairs(df, policies, _FIXED)
-    judged = with_columns_once(mended, {"_now": broken(df, rules)})
-    now, count = F.col("_now"), next_count()
-    valid = now == 0
+    marks = columns_of(broken(df, rules), "_now")
+    judged = with_columns_once(mended, marks)
+    now, count = [F.col(c) for c in marks], next_count()
+    valid = none_broken(now)
     fixed = {
         p.column: F.when(valid, F.col(p.column)).otherwise(F.col(_FIXED + p.column))
         for p in policies
@@ -103,7 +108,7 @@ def visit(
             ),
             **fixed,
         }
-    ).drop("_now", *(_FIXED + name for name in fixed))
+    ).drop(*marks, *(_FIXED + name for name in fixed))
 
 
 def iterate(
