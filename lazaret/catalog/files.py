@@ -85,22 +85,53 @@ def csv_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a bounded scan, each with all its values among the events: how many there are."""
+    path = f"{work_folder(spark, 'csv_head_rows')}/events.csv"
+    rows = events(spark, sf_dir).drop("props")
+    rows.write.option("header", True).csv(path)
+    first = read_csv(spark, path, rows.schema, limit=700)
+    return first.join(rows, rows.columns, "left_semi").agg(F.count(F.lit(1)).alias("n"))
+
+
+def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with columns in different orders, loaded under one declared schema."""
+    root = work_folder(spark, "csv_by_name")
+    schema = schema_of(
+        o_orderkey="long", o_custkey="long", o_orderstatus="string",
+        o_totalprice="double", o_orderdate="string", o_orderpriority="string",
+    )
+    return jobs.batch_load(spark, _write_order_csv(spark, sf_dir, root), f"{root}/orders", schema)
+
+
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV and Parquet found below a folder and landed in the raw zone: rows per dataset."""
+    """CSV and Parquet found below a folder and landed in the raw zone, all values; the CSV datasets of two folders share
+    a name and have texts with quotes, blanks at both ends and line ends."""
     root = work_folder(spark, "raw_landing")
-    paths = _write_order_csv(spark, sf_dir, f"{root}/in/a")
+    remark = F.concat(F.lit(' "'), "o_orderpriority", F.lit('",\n'), "o_orderstatus", F.lit(" "))
+    for i, half in enumerate(_order_halves(spark, sf_dir)):
+        kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        written = half.withColumn("remark", remark).write.option("header", True).option("escape", '"')
+        written.options(**kept).csv(f"{root}/in/half={i}/orders.csv")
     table(spark, sf_dir, "customer").write.parquet(f"{root}/in/b/c/customer.parquet")
-    landed = land_raw(spark, f"{root}/in", root)
-    assert len(landed) == len(paths) + 1
-    counts = [
-        (
-            spark.read.option("header", True).csv(path)
-            if name.endswith(".csv")
-            else spark.read.parquet(path)
-        ).agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n"))
-        for name, path in landed.items()
+    land_raw(spark, f"{root}/in", root)
+    texts = {"header": True, "multiLine": True, "escape": '"'}
+    orders = [
+        spark.read.options(**texts).csv(f"{root}/raw/half={i}/orders.csv").select(
+            F.lit(f"orders {i}").alias("dataset"),
+            F.col("o_orderkey").cast("bigint").alias("id"),
+            F.col("o_totalprice").cast("double").alias("amount"),
+            F.col("remark"),
+        )
+        for i in (0, 1)
     ]
-    return union_all(counts)
+    customers = spark.read.parquet(f"{root}/raw/b/c/customer.parquet").select(
+        F.lit("customer").alias("dataset"),
+        F.col("c_custkey").alias("id"),
+        F.col("c_acctbal").alias("amount"),
+        F.col("c_name").alias("remark"),
+    )
+    return union_all([*orders, customers])
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +258,8 @@ def _quarantine_table(spark: SparkSession, sf_dir: str, root: str) -> Table:
         F.lit(0).alias("partition"),
         F.col("l_orderkey").alias("msg_offset"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
-        F.to_json(F.struct("l_orderkey", "l_partkey")).alias("payload"),
+        # texts that came in need not be tidy
+        F.concat(F.lit("  "), F.to_json(F.struct("l_orderkey", "l_partkey")), F.lit(' ""\n ')).alias("payload"),
         F.col("failed_rules").alias("error"),
         F.when(F.col("l_linestatus") == "F", "RESOLVED").alias("status"),
     )
@@ -246,17 +278,22 @@ def dlq_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CSV snapshot of the DLQ table, read back."""
+    """A CSV snapshot of the DLQ table, read back, and whether all columns of each row are those of the table."""
     root = work_folder(spark, "backup_csv")
     target = _quarantine_table(spark, sf_dir, f"{root}/dlq")
     path = jobs.backup(spark, target, root)
     contract: Contract = DLQ
-    saved = spark.read.option("header", True).option("escape", '"').csv(path)
-    assert saved.columns == contract.schema.fieldNames()
-    read = saved.withColumn("p", F.from_json("payload", "l_orderkey bigint, l_partkey bigint"))
+    texts = {"header": True, "multiLine": True, "escape": '"'}
+    saved = spark.read.options(**texts).schema(contract.schema).option("enforceSchema", False).csv(path)
+    stored = scan(spark, target)
+    whole = F.struct(*contract.schema.fieldNames())
+    both = saved.select("*", whole.alias("_saved")).join(
+        stored.select("message_id", whole.alias("_stored")), "message_id", "left"
+    )
+    read = both.withColumn("p", F.from_json("payload", "l_orderkey bigint, l_partkey bigint"))
     return read.select(
-        "p.l_orderkey", "p.l_partkey", "topic", "status", "error",
-        F.col("retry_count").cast("int").alias("retry_count"),
+        "p.l_orderkey", "p.l_partkey", "topic", "status", "error", "retry_count", "payload",
+        F.col("_saved").eqNullSafe(F.col("_stored")).alias("intact"),
     )
 
 
@@ -265,6 +302,8 @@ QUERIES = {
     "union_missing": union_missing,
     "batch_load": batch_load,
     "csv_head": csv_head,
+    "csv_head_rows": csv_head_rows,
+    "csv_by_name": csv_by_name,
     "raw_landing": raw_landing,
     "file_listing": file_listing,
     "topic_publish": topic_publish,
@@ -290,6 +329,12 @@ rows AS (
     sha256('events|' || (event_id % 3) || '|' || (event_id // 3)) AS message_id
   FROM events)"""
 
+_LANDED = """
+SELECT 'orders ' || (o_orderkey % 2) AS dataset, o_orderkey AS id, o_totalprice AS amount,
+  ' "' || o_orderpriority || '",' || chr(10) || o_orderstatus || ' ' AS remark
+FROM orders
+UNION ALL SELECT 'customer', c_custkey, c_acctbal, c_name FROM customer"""
+
 _DATASETS = """
 SELECT 'orders_0.csv' AS dataset, count(*) AS n FROM orders WHERE o_orderkey % 2 = 0
 UNION ALL SELECT 'orders_1.csv', count(*) FROM orders WHERE o_orderkey % 2 = 1
@@ -315,7 +360,9 @@ FROM orders""",
     "csv_head": """
 SELECT least(700, count(*)) AS n, least(700, count(*)) AS typed, least(700, count(*)) AS v
 FROM events""",
-    "raw_landing": _DATASETS,
+    "csv_head_rows": "SELECT least(700, count(*)) AS n FROM events",
+    "csv_by_name": _ORDERS,
+    "raw_landing": _LANDED,
     "file_listing": f"SELECT dataset FROM ({_DATASETS}) WHERE n > 0",
     "topic_publish": f"""
 WITH {lineitem_ctes(0.01)}
@@ -363,5 +410,8 @@ SELECT topic, status, error, 0 AS retry_count, count(*) AS n, count(*) AS create
 FROM dead WHERE topic = 'lineitem_R' AND status = 'PENDING' GROUP BY topic, status, error""",
     "backup_csv": f"""
 WITH {_QUARANTINED}
-SELECT l_orderkey, l_partkey, topic, status, error, 0 AS retry_count FROM dead""",
+SELECT l_orderkey, l_partkey, topic, status, error, 0 AS retry_count,
+  '  {{"l_orderkey":' || l_orderkey || ',"l_partkey":' || l_partkey || '}} ""' || chr(10) || ' ' AS payload,
+  true AS intact
+FROM dead""",
 }

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import shutil
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lazaret.sources import storage
+
 # The file formats that are found and landed.
 FORMATS = ("csv", "parquet")
 
@@ -22,17 +29,25 @@ def read_csv(
     """CSV with a header row.
 
     Without a schema the types are inferred, which reads the data once more (``sampling`` of it).
-    With one, columns are matched to the header by position and nothing is read ahead. ``limit``
-    keeps the first rows in no particular order.
+    With one, its fields are found by name, whatever their order in the header, which alone is read ahead; those the
+    header lacks are not in the frame, and further columns of the file are left out. Several paths read together
+    have one header; another one is an error. ``limit`` keeps the first rows in no particular order.
     """
     reader = spark.read.option("header", True)
+    paths = path if isinstance(path, str) else list(path)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        header = reader.csv(paths).columns
+        known = {f.name.lower(): f for f in declared.fields}
+        own = [known.get(name.lower(), T.StructField(name, T.StringType())) for name in header]
+        typed = spark.read.option("header", True).schema(T.StructType(own)).option("enforceSchema", False)
+        present = {name.lower() for name in header}
+        df = typed.csv(paths).select(*(f"`{n}`" for n in declared.fieldNames() if n.lower() in present))
     else:
         reader = reader.option("inferSchema", True)
         if sampling is not None:
             reader = reader.option("samplingRatio", sampling)
-    df = reader.csv(path if isinstance(path, str) else list(path))
+        df = reader.csv(paths)
     return df if limit is None else df.limit(limit)
 
 
@@ -82,31 +97,52 @@ def any_files(spark: SparkSession, root: str, formats: Sequence[str] = FORMATS)
     return not discover(spark, root, formats).isEmpty()
 
 
+def _located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a full path and the path in it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(quote(path, safe=":/@"))
+
+
+def _copy_file(source: str, target: str) -> int:
+    """Copy the bytes of a file; it appears under its name when it is whole. Returns their number."""
+    here, path = _located(source)
+    there, name = _located(target)
+    folder = name.rsplit("/", 1)[0]
+    there.create_dir(folder, recursive=True)
+    part = f"{folder}/_{uuid.uuid4().hex}"
+    with here.open_input_stream(path) as data, there.open_output_stream(part) as copy:
+        shutil.copyfileobj(data, copy, 1 << 20)
+    if there.get_file_info(name).type != fs.FileType.NotFound:
+        there.delete_file(name)
+    there.move(part, name)
+    return there.get_file_info(name).size
+
+
 def land_raw(
     spark: SparkSession, root: str, target: str, formats: Sequence[str] = FORMATS
-) -> dict[str, str]:
-    """Copy each dataset found below ``root`` to ``target/raw/NAME``, format and content kept.
+) -> DataFrame:
+    """Copy each file found below ``root`` to the same place below ``target/raw``, byte for byte.
 
-    A dataset is a file such as ``trips.csv``, or a folder of files such as ``trips.parquet``. Two
-    of one name in different places are an error rather than one overwriting the other. CSV is
-    carried as text columns, so no value is reformatted. Only the names of the datasets come to the
-    driver. Returns the landed path of each name.
+    Returns ``path``, ``landed`` and ``length`` of the files, written to ``target/_landed`` as the record of the
+    run. The tasks copy, each file as a stream of blocks, so neither contents nor names pass through the driver.
+    A task that is repeated copies its files again; a file that is there already is replaced. Storage has to
+    be one that ``pyarrow.fs`` reaches, such as shared folders, HDFS and the usual object stores.
     """
-    suffixes = "|".join(formats)
-    # the folder a part file lies in when that is named like a dataset, else the file itself
-    folder = F.regexp_extract("path", rf"^(.*\.(?:{suffixes}))/[^/]*$", 1)
-    dataset = F.when(folder != "", folder).otherwise(F.col("path"))
-    found = discover(spark, root, formats).select(dataset.alias("path")).distinct()
-    landed: dict[str, str] = {}
-    for row in found.orderBy("path").toLocalIterator():
-        path = row["path"]
-        name = path.rsplit("/", 1)[1]
-        if name in landed:
-            raise ValueError(f"two datasets are named {name}")
-        landed[name] = f"{target}/raw/{name}"
-        if name.endswith(".csv"):
-            rows = spark.read.option("header", True).csv(path)
-            rows.write.mode("overwrite").option("header", True).csv(landed[name])
-        else:
-            spark.read.parquet(path).write.mode("overwrite").parquet(landed[name])
-    return landed
+    base, raw = storage.full_path(spark, root), storage.full_path(spark, f"{target}/raw")
+    record = f"{target}/_landed/{uuid.uuid4().hex}"
+
+    def copy(batches):
+        for batch in batches:
+            sources = batch.column("path").to_pylist()
+            landed = [f"{raw}/{source[len(base) :].lstrip('/')}" for source in sources]
+            sizes = [_copy_file(a, b) for a, b in zip(sources, landed, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array(landed), pa.array(sizes, pa.int64())],
+                names=["path", "landed", "length"],
+            )
+
+    schema = "path string, landed string, length long"
+    discover(spark, root, formats).select("path").mapInArrow(copy, schema).write.parquet(record)
+    return spark.read.schema(schema).parquet(record)

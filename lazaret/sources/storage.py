@@ -40,6 +40,12 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as listings give it."""
+    fs, target = _file_system(spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _file_system(spark, path)
     return fs.exists(target)

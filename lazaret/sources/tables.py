@@ -175,10 +175,12 @@ def _identity_ranges(table: Table) -> list[str]:
 
 
 def snapshot(df: DataFrame, root: str, name: str | None = None) -> str:
-    """CSV with a header under ``root/NAME``, by default named after the current time; blanks around values stay."""
+    """CSV with a header under ``root/NAME``, by default named after the current time; blanks around values stay, and so do
+    the microseconds of times."""
     if name is None:
         name = df.sparkSession.range(1).select(stamp()).first()[0]
     path = f"{root}/{name}"
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.option("header", True).option("escape", '"').options(**kept).csv(path)
+    writer = df.write.option("header", True).option("escape", '"').options(**kept)
+    writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
     return path

@@ -55,19 +55,48 @@ def test_batch_load_replaces(spark, folder):
         assert jobs.batch_load(spark, [a], f"{folder}/out").count() == 1
 
 
+def test_a_declared_schema_is_found_by_name(spark, folder):
+    a = write_text(folder, "a.csv", "a,b,more\n1,x,9\n")
+    b = write_text(folder, "b.csv", "B,A\ny,2\n")
+    schema = schema_of(a="integer", b="string")
+    loaded = jobs.batch_load(spark, [a, b], f"{folder}/out", schema)
+    assert loaded.dtypes == [("a", "int"), ("b", "string")]
+    assert sorted(map(tuple, loaded.collect())) == [(1, "x"), (2, "y")]
+    c = write_text(folder, "c.csv", "b\nz\n")
+    with pytest.raises(Exception, match="(?i)column|a"):
+        jobs.batch_load(spark, [a, c], f"{folder}/out2", schema)
+    assert jobs.batch_load(spark, [a, c], f"{folder}/out3", schema, allow_missing=True).count() == 2
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        readers.read_csv(spark, [a, b], schema).collect()
+
+
+def csv_names(folder, below):
+    """The CSV files below a folder, by their place in it."""
+    root = os.path.join(folder, below)
+    found = (os.path.join(at, name) for at, _, names in os.walk(root) for name in names)
+    return [os.path.relpath(path, root) for path in found if path.endswith(".csv")]
+
+
 def test_discovery_and_landing(spark, folder):
     write_text(folder, "in/x/a.csv", "a,b\n001,x\n")
     write_text(folder, "in/readme.txt", "no")
     spark.range(3).write.parquet(f"{folder}/in/y/z/ids.parquet")
     assert readers.any_files(spark, f"{folder}/in")
-    landed = readers.land_raw(spark, f"{folder}/in", f"{folder}/out")
-    assert set(landed) == {"a.csv", "ids.parquet"}
-    text = spark.read.option("header", True).csv(landed["a.csv"]).first()
-    assert text["a"] == "001"
-    assert spark.read.parquet(landed["ids.parquet"]).count() == 3
-    write_text(folder, "in/other/a.csv", "a\n1\n")
-    with pytest.raises(ValueError):
-        readers.land_raw(spark, f"{folder}/in", f"{folder}/out")
+    # quotes, blanks and line ends inside values, and one name in two folders
+    text = 'a,b\r\n"say ""hi"", ok"," x "\n"two\nlines",\n\n'
+    for place in ("y=1/q.csv", "y=2/q.csv", "odd name/ä%20+.csv"):
+        write_text(folder, f"in/{place}", text + place)
+    for _ in range(2):
+        landed = readers.land_raw(spark, f"{folder}/in", f"{folder}/out")
+        found = {r["landed"].split("/out/raw/")[1]: r["length"] for r in landed.collect()}
+        csv = {name for name in found if name.endswith(".csv")}
+        assert csv == {name for name in csv_names(folder, "in")} == set(csv_names(folder, "out/raw"))
+        for name, length in found.items():
+            with open(f"{folder}/in/{name}", "rb") as a, open(f"{folder}/out/raw/{name}", "rb") as b:
+                data = a.read()
+                assert data == b.read() and len(data) == length
+    assert spark.read.parquet(f"{folder}/out/raw/y/z/ids.parquet").count() == 3
+    assert readers.land_raw(spark, f"{folder}/in/odd name", f"{folder}/new", ["parquet"]).count() == 0
 
 
 def test_nothing_found(spark, folder):
