@@ -20,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lazaret.llm.tables import cut
+from lazaret.llm.tables import cut, numbered
 from lazaret.llm.text import NOT_ALNUM, Words, mix, slices, texts_of, words_of
 
 #: Fixed masks: 1 is compared, 0 ignored.
@@ -121,16 +121,18 @@ class Block:
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Block]:
     """Blocks of the benchmark of about BLOCK_WORDS words, one after the other; a longer item is a block of its own."""
     sized = benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # Half the bytes bound the words. The running total is over the items of the benchmark, not over the texts.
+    # Half the bytes bound the words.
     sized = cut(sized.withColumn("size", (F.octet_length("text") / 2).cast("long") + 1), "benchmark")
-    upto = F.sum("size").over(Window.orderBy("item", "text").rowsBetween(Window.unboundedPreceding, -1))
     total = sized.agg(F.sum("size")).first()[0] or 0
     if total <= BLOCK_WORDS:
         numbers, rows = [0], {0: sized.orderBy("item", "text")}
     else:
-        numbered = cut(sized.withColumn("block", (F.coalesce(upto, F.lit(0)) / BLOCK_WORDS).cast("long")), "benchmark")
-        numbers = sorted(r["block"] for r in numbered.select("block").distinct().collect())
-        rows = {b: numbered.filter(F.col("block") == b).orderBy("item", "text") for b in numbers}
+        # Running totals by task, as the benchmark may be too large for one.
+        ordered = sized.withColumn("key", F.lit(0)).repartitionByRange("item", "text").sortWithinPartitions("item", "text")
+        placed = numbered(ordered, "key", "size", "benchmark")
+        placed = cut(placed.withColumn("block", (F.col("before") / BLOCK_WORDS).cast("long")), "benchmark")
+        numbers = sorted(r["block"] for r in placed.select("block").distinct().collect())
+        rows = {b: placed.filter(F.col("block") == b).orderBy("item", "text") for b in numbers}
     for b in numbers:
         own = rows[b].select("item", "text").collect()
         yield Block.of([r["item"] for r in own], [r["text"] for r in own])

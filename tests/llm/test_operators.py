@@ -156,6 +156,10 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 300)
     assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(texts, benchmark).collect()) == [(i, i) for i in range(20)]
+    blocks = list(decontaminate.blocks_of(benchmark.repartition(3), "item_id", "text"))
+    assert [i for b in blocks for i in b.ids] == list(range(20))
+    # a block ends behind the item that fills it
+    assert len(blocks) > 3 and all(len(b.words) <= 300 + 30 for b in blocks)
 
 
 def test_chat_round_trip(spark):
