@@ -88,6 +88,12 @@ def message_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A random identifier for each line item: no two are alike."""
+    ids = table(spark, sf_dir, "lineitem").select(identity.random_id().alias("id"))
+    return ids.agg(F.countDistinct("id").alias("ids"), F.min(F.length("id")).alias("length"))
+
+
 def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO text, compact stamp and epoch milliseconds of each event's time."""
     ts = F.col("ts").cast("timestamp")
@@ -185,6 +191,7 @@ QUERIES = {
     "decode_text": decode_text,
     "decode_malformed": decode_malformed,
     "message_identity": message_identity,
+    "random_ids": random_ids,
     "time_texts": time_texts,
     "repair_numbers": repair_numbers,
     "repair_numbers_strip": repair_numbers_strip,
@@ -215,6 +222,7 @@ priced AS (
   FROM grouped)"""
 
 ORACLES = {
+    "random_ids": "SELECT count(*) AS ids, 36 AS length FROM lineitem",
     "json_round_trip": """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
 FROM events""",

@@ -11,7 +11,7 @@ from lazaret.functions.codec import decode
 from lazaret.plans import jobs
 from lazaret.plans.presets import EVENTS
 from lazaret.sources.storage import work_folder
-from lazaret.sources.tables import Table
+from lazaret.sources.tables import Table, scan
 from lazaret.sources.topics import Topic, topic_table
 from lazaret.streaming.streams import (
     Hub,
@@ -112,6 +112,53 @@ def publish_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ends.groupBy("outcome").agg(F.countDistinct("message_id").alias("messages"))
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loop run on one checkpoint three times, messages published in between and none before the last run: every message,
+    with how often it was processed or failed."""
+    root = work_folder(spark, "stream_restart")
+    hub = Hub(root, "events")
+    p = Pipeline.of(EVENTS, hub, f"{root}/checkpoints")
+    rows = events(spark, sf_dir)
+    for third in (0, 1, None):
+        if third is not None:
+            part = rows.filter(F.col("event_id") % 2 == third)
+            jobs.publish(part, EVENTS, hub.published(), rate=_RATE, **event_place())
+        drain(spark, p)
+    ends = _ends(hub.table(spark, "processed", p.schema), hub.table(spark, "failed", p.schema))
+    return ends.groupBy("message_id").agg(F.count(F.lit(1)).alias("times"), F.max("outcome").alias("outcome"))
+
+
+def record_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine recorded in the DLQ table, twice: its messages, each once."""
+    p = _hub(spark, sf_dir, "record_quarantine")
+    validate_stream(spark, p, availableNow=True).awaitTermination()
+    target = jobs.dlq_table(f"{p.sinks.root}/dlq_table")
+    for _ in range(2):
+        jobs.record_quarantine(spark, p.sinks.quarantine(), target)
+    return scan(spark, target).select("message_id", "partition", "msg_offset", "error", "retry_count", "status")
+
+
+def reprocess_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a reprocessing run: messages taken from the quarantine, sent back and given up."""
+    p = _hub(spark, sf_dir, "reprocess_totals")
+    validate_stream(spark, p, availableNow=True).awaitTermination()
+    summary = jobs.reprocess(spark, p)
+    kept = ("records", "retry", "failed", "retry_percent")
+    return spark.createDataFrame(
+        [tuple(summary[k] for k in kept)], "records bigint, retry bigint, failed bigint, retry_percent double"
+    )
+
+
+def publish_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file published whole, some of its rows damaged, and read back from the topic."""
+    root = work_folder(spark, "publish_csv")
+    events(spark, sf_dir).write.option("header", True).csv(f"{root}/events.csv")
+    topic = Topic("events", f"{root}/topic")
+    jobs.publish_csv(spark, f"{root}/events.csv", EVENTS, topic, rate=_RATE)
+    read = decode(topic_table(spark, topic), EVENTS.schema)
+    return read.select(*EVENTS.schema.fieldNames(), "retry_count")
+
+
 def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of every message at the end of the loop."""
     p = _hub(spark, sf_dir, "stream_repaired")
@@ -127,6 +174,10 @@ QUERIES = {
     "stream_loop_separate": stream_loop_separate,
     "stream_repaired": stream_repaired,
     "publish_twice": publish_twice,
+    "stream_restart": stream_restart,
+    "record_quarantine": record_quarantine,
+    "reprocess_totals": reprocess_totals,
+    "publish_csv": publish_csv,
 }
 
 _FIXED = {"user_id": "coalesce(user_id, 1)", "value": "abs(value)"}
@@ -170,6 +221,23 @@ ends AS (
     WHEN coalesce({_FIXED_RULES}, false) THEN 'repaired' ELSE 'failed' END AS outcome
   FROM damaged)
 SELECT outcome, count(*) AS messages FROM ends GROUP BY outcome""",
+    "stream_restart": f"""
+WITH {_JUDGED}
+SELECT message_id, CAST(1 AS BIGINT) AS times,
+  CASE WHEN ok THEN 'processed' WHEN ok_fixed THEN 'repaired' ELSE 'failed' END AS outcome
+FROM judged""",
+    "record_quarantine": f"""
+WITH {_JUDGED}
+SELECT message_id, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS msg_offset,
+  why AS error, 0 AS retry_count, 'PENDING' AS status
+FROM judged WHERE NOT ok""",
+    "reprocess_totals": f"""
+WITH {_JUDGED}
+SELECT count(*) AS records, count(*) AS retry, CAST(0 AS BIGINT) AS failed, 100.0::DOUBLE AS retry_percent
+FROM judged WHERE NOT ok""",
+    "publish_csv": f"""
+WITH {event_ctes(_RATE)}
+SELECT event_id, ts, user_id, event_type, value, props, 0 AS retry_count FROM damaged""",
     "stream_repaired": f"""
 WITH {_JUDGED}
 SELECT event_id, CASE WHEN ok THEN user_id ELSE {_FIXED["user_id"]} END AS user_id, event_type,
