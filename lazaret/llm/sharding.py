@@ -8,13 +8,16 @@ The median is found by histograms: groups are summed into bins per node, the bin
 bins again until it holds one value or under a thousandth of a shard; equal values are then cut by the hash of their text in the
 same way. Each round is one aggregation over the groups, all nodes at once; the driver sees bins of open nodes only.
 
-Null texts are one group; null dimensions count as 0; a group that alone outweighs a shard gets one for itself and the
-others share the rest. Repeated rows and ids are rows of their own. Extra columns are not read. An empty table gives no rows.
+Large groups are dealt first, the largest to the shard with the least bytes: those over ``LARGE`` of a shard, so at most 1 / ``LARGE`` a shard.
+The tree deals the others by the room that is left. A group that outweighs a shard has one for itself, and the others are
+even; a shard is empty only if there are fewer groups than shards.
+
+Null texts are one group; null dimensions count as 0. Repeated rows and ids are rows of their own. Extra columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
+import heapq
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +27,7 @@ from lazaret.llm.tables import cut, numbered
 
 BINS = 512
 TOLERANCE = 0.001
+LARGE = 0.05
 
 
 @dataclass
@@ -31,7 +35,9 @@ class _Node:
     """A node of the tree that waits for its split, and what is known of it."""
 
     number: int
-    shards: int
+    #: The shards under the node, from the left, and the bytes each has room for.
+    under: list[int]
+    room: list[float]
     weight: int = 0
     groups: int = 0
     #: The dimension split now and the interval that holds the median; weight before that interval.
@@ -46,7 +52,16 @@ class _Node:
 
     @property
     def goal(self) -> int:
-        return self.weight * (self.shards // 2) // self.shards
+        """Bytes of the left half of the shards."""
+        return int(self.weight * sum(self.room[: self.shards // 2]) / sum(self.room))
+
+    @property
+    def shards(self) -> int:
+        return len(self.under)
+
+    def halves(self) -> tuple[_Node, _Node]:
+        k = self.shards // 2
+        return _Node(2 * self.number, self.under[:k], self.room[:k]), _Node(2 * self.number + 1, self.under[k:], self.room[k:])
 
 
 def _is(node: _Node) -> Column:
@@ -106,16 +121,59 @@ def _split_points(points: DataFrame, nodes: list[_Node], tolerance: float) -> di
     return done
 
 
+def _large(points: DataFrame, shards: int, total: int) -> tuple[list[tuple[bytes, int]], list[float]]:
+    """(group, shard) of the groups over LARGE of a shard, and the bytes that each shard has room for besides."""
+    rest, left = total, shards
+    for r in points.orderBy(F.col("weight").desc(), "group").limit(shards).select("weight").collect():
+        if r["weight"] * left <= rest:
+            break
+        rest, left = rest - r["weight"], left - 1
+    # Those over a whole shard are out of ``rest``; with nothing left, each group has a shard.
+    least = LARGE * rest / left if left and rest else 0
+    large = points.filter(F.col("weight") > least).select("group", "weight").orderBy(F.col("weight").desc(), "group").collect()
+    heap, dealt = [(0, s) for s in range(shards)], []
+    for r in large:
+        weight, s = heap[0]
+        heapq.heapreplace(heap, (weight + r["weight"], s))
+        dealt.append((bytes(r["group"]), s))
+    # The level to which the others fill the shards.
+    held, others = sorted(heap), total - sum(r["weight"] for r in large)
+    below = level = 0.0
+    for k, (weight, _) in enumerate(held, 1):
+        below += weight
+        level = (others + below) / k
+        if k == shards or level <= held[k][0]:
+            break
+    room = [0.0] * shards
+    for weight, s in held:
+        room[s] = max(level - weight, 0.0)
+    return dealt, room
+
+
 def shard_groups(points: DataFrame, dimensions: list[str], shards: int, tolerance: float = TOLERANCE) -> DataFrame:
-    """Adds ``shard`` to points (group, weight, _hash and the dimensions); leaves of the tree are numbered from the left."""
+    """Adds ``shard`` to points (group, weight, _hash and the dimensions); shards are numbered from the left of the tree."""
+    total = points.agg(F.sum("weight")).first()[0]
+    if not total:
+        return points.withColumn("shard", F.lit(0))
+    dealt, room = _large(points, shards, total)
+    under, room = [s for s in range(shards) if room[s] > 0], [r for r in room if r > 0]
+    if not dealt:
+        return _tree(points, dimensions, under, room, tolerance)
+    table = cut(points.sparkSession.createDataFrame(dealt, "group binary, shard int"), "large")
+    own = points.join(table, "group")
+    return own.unionByName(_tree(points.join(table, "group", "left_anti"), dimensions, under, room, tolerance))
+
+
+def _tree(points: DataFrame, dimensions: list[str], under: list[int], room: list[float], tolerance: float) -> DataFrame:
     extents = [F.min(d).alias(f"{d}_lo") for d in dimensions] + [F.max(d).alias(f"{d}_hi") for d in dimensions]
     sized = [F.sum("weight").alias("w"), F.count("*").alias("n")]
     root = points.agg(*sized, *extents).first()
     if not root["n"]:
-        return points.withColumn("shard", F.lit(0))
+        return points.withColumn("shard", F.lit(0)).select(*points.columns, "shard")
+    columns = points.columns
     spread = {d: (root[f"{d}_hi"] - root[f"{d}_lo"]) or 1.0 for d in dimensions}
     points = points.withColumn("node", F.lit(1))
-    level, leaves = {1: _Node(1, shards)}, []
+    level, leaves = {1: _Node(1, under, room)}, []
     while level:
         facts = points.filter(F.col("node").isin(list(level))).groupBy("node").agg(*sized, *extents).collect()
         splits, rows = [], {r["node"]: r for r in facts}
@@ -138,16 +196,10 @@ def shard_groups(points: DataFrame, dimensions: list[str], shards: int, toleranc
             points = points.withColumn("node", F.when(moving, 2 * F.col("node") + right.cast("int")).otherwise(F.col("node")))
             points = cut(points, "tree")
             for n in splits:
-                _, left, groups = found[n.number]
-                # Shards by bytes, one at least on each side, and no more than one for a single group.
-                k = min(max(math.floor(n.shards * left / n.weight + 0.5), 1), n.shards - 1)
-                k = 1 if groups == 1 else n.shards - 1 if n.groups - groups == 1 else k
-                level[2 * n.number], level[2 * n.number + 1] = _Node(2 * n.number, k), _Node(2 * n.number + 1, n.shards - k)
-    # From the left: a node's number, shifted to the deepest level.
-    deepest = max(n.number.bit_length() for n in leaves)
-    leaves.sort(key=lambda n: n.number << (deepest - n.number.bit_length()))
-    order = {n.number: i for i, n in enumerate(leaves)}
-    return points.withColumn("shard", _choose(leaves, lambda n: F.lit(order[n.number]), F.lit(None)).cast("int"))
+                level |= {half.number: half for half in n.halves()}
+    # A group alone in a node of several shards goes where most room is.
+    own = {n.number: n.under[n.room.index(max(n.room))] for n in leaves}
+    return points.select(*columns, _choose(leaves, lambda n: F.lit(own[n.number]), F.lit(None)).cast("int").alias("shard"))
 
 
 def shard(
