@@ -33,6 +33,8 @@ from lazaret.llm.text import mix, slices, window_hashes, words_of
 
 #: Shingles that a task holds before it hands them on.
 CHUNK = 1_500_000
+#: Rows of a chunk at most.
+ROWS = 65_536
 
 
 def shingle_sets(words, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,10 +110,12 @@ def _shingle_blocks(docs: DataFrame, id_col: str, text_col: str, size: int, buck
 
         first_ref = (part << 40) + (chunk << 16)
         for batch in batches:
-            for piece, texts in slices(batch, text_col):
+            # A chunk's rows are numbered in two bytes, rows without words too.
+            for piece, texts in (x for a in range(0, len(batch), ROWS) for x in slices(batch.slice(a, ROWS), text_col)):
                 n = len(texts)
-                if held and (first + n > 65_536 or held_n > CHUNK):
-                    yield rows_to_batch(flush())
+                if first + n > ROWS or held_n > CHUNK:
+                    if held:
+                        yield rows_to_batch(flush())
                     held.clear()
                     chunk, first, held_n = chunk + 1, 0, 0
                     first_ref = (part << 40) + (chunk << 16)

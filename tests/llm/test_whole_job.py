@@ -4,11 +4,21 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from lazaret.llm import sharding
+from lazaret.llm import ngram_join, sharding
 from tests.llm.test_operators import prose
 
 
+def test_near_copies_behind_many_empty_rows(spark):
+    rng = random.Random(1)
+    base = prose(rng, 60)
+    empty = spark.range(70_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    pair = spark.createDataFrame([(70_000, base), (70_001, base + " end")], "doc_id long, text string")
+    found = ngram_join.near_duplicates(empty.union(pair).coalesce(1)).filter("id >= 70000").collect()
+    assert {(r["id"], r["component_id"]) for r in found} == {(70_000, 70_000), (70_001, 70_000)}
+
+
 @pytest.mark.parametrize(("share", "first"), [(1 / 3, -9000), (1 / 2, 1500)])
 def test_shards_beside_a_hot_group_are_even(spark, share, first):
     rng = random.Random(8)
