@@ -313,15 +313,17 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without the near duplicates: of each class the one with the smallest id stays.
 
-    Rows are told apart by id, so an id stands for one document; of rows with the same id one stays, whichever. Rows with a
-    null id cannot be told apart and stay.
+    Rows are told apart by a number of their own, so rows that share an id, or have none, are judged by their texts alone; a
+    null id stays only where a class has no other, and of rows with the same id in a class the first stays. Rows without a
+    word resemble nothing and stay.
     """
-    found = near_duplicates(docs, id_col, text_col, size, percent)
-    gone = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct()
-    gone = cut(gone, "gone")
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    again = cut(found.filter(F.col("id") == F.col("component_id")).groupBy("id").count().filter("count > 1").select("id"), "again")
-    if again.isEmpty():
-        return kept
-    doubled = kept.join(again, kept[id_col] == again["id"], "left_semi").dropDuplicates([id_col])
-    return kept.join(again, kept[id_col] == again["id"], "left_anti").unionByName(doubled)
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, "_row", text_col, size, percent)
+    # Rows that are not the first of their class, and those first ones.
+    later = cut(found.filter("id != component_id").select(F.col("id").alias("_row"), F.col("component_id").alias("_class")), "later")
+    first = later.select("_class").distinct().select(F.col("_class").alias("_row"), "_class")
+    members = later.unionByName(first).join(rows.select("_row", F.col(id_col).alias("_id")), "_row")
+    members = cut(members, "members")
+    best = members.groupBy("_class").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("b"))
+    gone = cut(members.join(best.select(F.col("b._row").alias("_row")), "_row", "left_anti").select("_row"), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

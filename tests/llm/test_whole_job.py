@@ -39,3 +39,18 @@ def test_few_groups_have_a_shard_each(spark):
     rows = [(i, "abc"[i % 3] * (10 + i % 3), "s") for i in range(30)]
     found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string"), 8).collect()
     assert Counter(Counter(r["shard"] for r in found).values()) == {10: 3}
+
+
+def test_one_of_each_goes_by_row(spark):
+    rng = random.Random(2)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [
+        (1, a), (1, b),  # one id, two texts
+        (2, a + " end"), (2, c), (9, c + " end"),  # 2 is a copy in one class and the first of another
+        (None, d), (None, d + " end"), (None, d),  # a class without ids
+        (None, b + " end"), (5, ""), (5, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
+    assert Counter(r[0] for r in kept) == Counter([1, 1, 2, None, 5, 5])
+    assert {r for r in kept if r[0] in (1, 2)} == {(1, a), (1, b), (2, c)}
