@@ -1,12 +1,12 @@
 """Benchmark decontamination by spaced seeds.
 
 Words are runs of letters and digits (ASCII marks part them, A-Z folded, other bytes stay). A mask is a fixed pattern of
-positions that count; those between are ignored, so that a seed still fits where words were replaced. Every position
+positions that count; those between are ignored, so that a seed still fits where words were replaced. Items of fewer than
+``SHORT`` words have two light masks besides, which fit wherever up to a quarter of such an item is replaced. Every position
 of every benchmark item and of every text is hashed under each mask; equal hashes are hits. Around a hit the words
 are compared along the item, not shifted: the overlap is the stretch with the best score (a match counts 1, another word
--``PENALTY``), and it holds when it has ``MIN_MATCHES`` matches, or all words of a shorter item, and at least ``MIN_SHARE`` of its words match.
-
-An item shorter than a mask is hashed whole, under a mask of its own length. An item of fewer than ``MIN_WORDS`` words says
+-``PENALTY``), and it holds when it has ``MIN_MATCHES`` matches and at least ``MIN_SHARE`` of its words match. Otherwise the whole item
+holds when ``MIN_SHARE`` of all its words match, or else the stretch with most matches that meets both bounds. An item of fewer than ``MIN_WORDS`` words says
 nothing and is left out. Null texts are empty. Repeated items and texts are compared each on their own.
 
 The benchmark is joined in blocks of a bounded number of words, each sent to the tasks; the texts are
@@ -29,7 +29,9 @@ from lazaret.llm.text import NOT_ALNUM, Words, mix, slices, texts_of, words_of
 
 #: Fixed masks: 1 is compared, 0 ignored.
 MASKS = ("11101100101101", "1101011100100111", "111001010011000111", "11110111")
-MIN_WORDS, MIN_MATCHES, PENALTY, MIN_SHARE = 6, 12, 2, 0.75
+#: For items of fewer than SHORT words: with a quarter of the words replaced, three in a row or two and two stay.
+LIGHT = ("111", "11011")
+MIN_WORDS, MIN_MATCHES, PENALTY, MIN_SHARE, SHORT = 6, 12, 2, 0.75, 25
 #: Words of the benchmark that one block holds, about 60 bytes each with its seeds.
 BLOCK_WORDS = 500_000
 _FILTER_BITS = 22
@@ -49,6 +51,17 @@ def _masked(words: Words, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return at, mix(h[at])
 
 
+def _longest(same: np.ndarray) -> tuple[int, int, int]:
+    """Start, end and matches of the stretch with most matches of which MIN_SHARE match (ties: the shortest, then the first)."""
+    sums = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - MIN_SHARE, -MIN_SHARE))])
+    # For each end the earliest start that leaves the share.
+    start = np.searchsorted(-np.minimum.accumulate(sums), -sums, side="left")
+    count = np.concatenate([[0], np.cumsum(same)])
+    matches = count - count[start]
+    end = int(np.lexsort((np.arange(len(sums)) - start, -matches))[0])
+    return int(start[end]), end, int(matches[end])
+
+
 @dataclass
 class Block:
     """Items of a benchmark: their words and seeds, sorted by hash."""
@@ -65,14 +78,13 @@ class Block:
     def of(ids: list, texts: list[str | None]) -> Block:
         words = words_of(texts_of(pa.array(texts, pa.string())), NOT_ALNUM)
         counts = np.diff(words.first)
-        shortest = min(map(len, MASKS))
-        masks = MASKS + tuple("1" * n for n in sorted(set(counts[(counts >= MIN_WORDS) & (counts < shortest)].tolist())))
+        short = (counts >= MIN_WORDS) & (counts < SHORT)
+        masks = MASKS + (LIGHT if short.any() else ())
         seeds, places = [], []
         for mask in masks:
             at, h = _masked(words, mask)
-            if mask not in MASKS:  # whole items of that length only
-                fits = counts[words.row[at]] == len(mask)
-                at, h = at[fits], h[fits]
+            fits = (short if mask in LIGHT else counts >= MIN_WORDS)[words.row[at]]
+            at, h = at[fits], h[fits]
             seeds.append(h)
             places.append(at)
         seeds, places = np.concatenate(seeds), np.concatenate(places)
@@ -96,6 +108,19 @@ class Block:
             theirs.append(self.places[np.repeat(low, n) + spread])
         return np.concatenate(mine), np.concatenate(theirs)
 
+    def _hopeful(self, words: Words, lines: np.ndarray) -> np.ndarray:
+        """Lines of long items, and those of short ones with enough matches in all; chance hits of light masks go here."""
+        a, b = self.first[lines[:, 1]], self.first[lines[:, 1] + 1]
+        keep = b - a >= SHORT
+        for part in np.array_split(np.flatnonzero(~keep), max(1, len(lines) // 50_000)):
+            row, shift = lines[part, 0], lines[part, 2]
+            at = a[part, None] + np.arange(SHORT)
+            there = at + shift[:, None]
+            inside = (at < b[part, None]) & (there >= words.first[row][:, None]) & (there < words.first[row + 1][:, None])
+            same = self.words[np.where(inside, at, 0)] == words.hash[np.where(inside, there, 0)]
+            keep[part] = (same & inside).sum(1) >= np.minimum(MIN_MATCHES, MIN_SHARE * (b - a)[part])
+        return keep
+
     def overlaps(self, words: Words) -> Iterator[tuple[int, int, int, int, int, int]]:
         """(row, item, first word in the text, first word in the item, words, matches) of each verified overlap."""
         mine, theirs = self.hits(words)
@@ -104,6 +129,7 @@ class Block:
         item = np.searchsorted(self.first, theirs, side="right") - 1
         # A line: a text, an item and the distance between them; its hits verify together.
         lines = np.unique(np.column_stack([words.row[mine], item, mine - theirs]), axis=0)
+        lines = lines[self._hopeful(words, lines)]
         for row, i, shift in lines.tolist():
             a, b = int(self.first[i]), int(self.first[i + 1])
             low = max(a, int(words.first[row]) - shift)
@@ -114,7 +140,15 @@ class Block:
             end = int(np.argmax(score - floor))
             start = int(np.flatnonzero(score[: end + 1] == floor[end])[-1])
             matches, n = int(same[start:end].sum()), end - start
-            if matches >= min(MIN_MATCHES, b - a) and matches >= MIN_SHARE * n:
+            if matches < MIN_MATCHES or matches < MIN_SHARE * n:
+                every = int(same.sum())
+                if every >= MIN_SHARE * (b - a):
+                    inside = np.flatnonzero(same)
+                    start, end, matches = int(inside[0]), int(inside[-1]) + 1, every
+                else:
+                    start, end, matches = _longest(same)
+                n = end - start
+            if matches >= MIN_SHARE * (b - a) or (matches >= MIN_MATCHES and matches >= MIN_SHARE * n):
                 yield row, i, low + shift + start - int(words.first[row]), low + start - a, n, matches
 
 

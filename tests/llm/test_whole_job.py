@@ -3,10 +3,12 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lazaret.llm import ngram_join, sharding
+from lazaret.llm import decontaminate, ngram_join, sharding
+from lazaret.llm.text import NOT_ALNUM, texts_of, words_of
 from tests.llm.test_operators import prose
 
 
@@ -54,3 +56,38 @@ def test_one_of_each_goes_by_row(spark):
     kept = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
     assert Counter(r[0] for r in kept) == Counter([1, 1, 2, None, 5, 5])
     assert {r for r in kept if r[0] in (1, 2)} == {(1, a), (1, b), (2, c)}
+
+
+@pytest.mark.parametrize(("n", "replaced"), [(6, 1), (8, 2), (12, 1), (12, 3), (13, 1), (15, 2), (15, 3), (16, 3), (20, 4), (24, 5), (24, 6), (6, 0)])
+def test_short_items_are_found_with_words_replaced(n, replaced):
+    rng = random.Random(n)
+    found = 0
+    for _ in range(200):
+        item = prose(rng, n).split()
+        for i in rng.sample(range(n), replaced):
+            item[i] = f"x{i}"
+        text = f"{prose(rng, 20)} {' '.join(item)} {prose(rng, 20)}"
+        for i in range(n):
+            if item[i] == f"x{i}":
+                item[i] = f"was{i}"
+        block = decontaminate.Block.of([1], [" ".join(item)])
+        found += bool(list(block.overlaps(words_of(texts_of(pa.array([text])), NOT_ALNUM))))
+    assert found == 200
+
+
+def test_short_items_are_not_found_by_chance():
+    rng = random.Random(3)
+    vocabulary = prose(rng, 30).split()
+    items = [" ".join(rng.choices(vocabulary, k=15)) for _ in range(200)]
+    text = " ".join(rng.choices(vocabulary, k=5000))
+    block = decontaminate.Block.of(list(range(200)), items)
+    assert not list(block.overlaps(words_of(texts_of(pa.array([text])), NOT_ALNUM)))
+
+
+def test_part_of_a_long_item_beside_a_worse_stretch():
+    rng = random.Random(4)
+    item = prose(rng, 80).split()
+    # 14 of 14 words, then two of three: the best stretch holds both and misses the share
+    said = [w if i < 14 or (i - 14) % 10 in (3, 4, 5, 6, 7, 8, 9) else "other" for i, w in enumerate(item)]
+    block = decontaminate.Block.of([1], [" ".join(item)])
+    assert list(block.overlaps(words_of(texts_of(pa.array([" ".join(said)])), NOT_ALNUM)))
