@@ -12,8 +12,9 @@ two bytes each for a small vocabulary, and are not shuffled unless the table of
 Targets: by default the sources' own shares, so all queues end together. Given other weights, queues run dry at
 different times; from then on the others share the windows by their weights. Every token is packed in any case.
 
-A null text is empty and still ends with the end id; a null source is a queue of its own; more than ``MAX_QUEUES``
-sources share that many queues by hash. Repeated rows and ids are packed each on their own. Extra columns are not read.
+A null text is empty and still ends with the end id; each source is a queue of its own at any number of them, and so is null.
+Names of queues stay in written tables; the driver and the tasks hold a few numbers per queue, and per different end that ``targets``
+give. Repeated rows and ids are packed each on their own. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,11 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lazaret.llm.tables import cut
+from lazaret.llm.tables import cut, numbered
 from lazaret.llm.tokens import encoder
 
-MAX_QUEUES = 1024
-
 
 def mul_div(a: np.ndarray, b: int | np.ndarray, c: int | np.ndarray) -> np.ndarray:
     """floor(a * b / c) for numbers from 0 whose result is below 2^50; c > 0. The product may pass 64 bits."""
@@ -50,26 +49,23 @@ class Schedule:
     """
 
     def __init__(self, totals: list[int]):
-        self.totals = totals
-        self.total = sum(totals)
-        #: For each queue the way down: (tokens left, tokens of the node, whether it is on the left).
-        self.ways: list[list[tuple[int, int, bool]]] = [[] for _ in totals]
-        stack = [(0, len(totals))]
-        while stack:
-            a, b = stack.pop()
-            if b - a < 2:
-                continue
+        #: Tokens of the queues before each; a node of the tree is a range of queues.
+        self.sums = np.concatenate([[0], np.cumsum(np.asarray(totals, np.int64))]).astype(np.int64)
+        self.total = int(self.sums[-1])
+
+    def way(self, queue: int) -> list[tuple[int, int, bool]]:
+        """The way down to a queue: (tokens left, tokens of the node, whether it is on the left)."""
+        out, a, b = [], 0, len(self.sums) - 1
+        while b - a > 1:
             m = (a + b) // 2
-            left, both = sum(totals[a:m]), sum(totals[a:b])
-            for q in range(a, b):
-                self.ways[q].append((left, both, q < m))
-            # Ways are filled from the top, so that each node comes before its children.
-            stack += [(m, b), (a, m)]
+            out.append((int(self.sums[m] - self.sums[a]), int(self.sums[b] - self.sums[a]), queue < m))
+            a, b = (a, m) if queue < m else (m, b)
+        return out
 
     def served(self, queue: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens served before each place of the stream: of this queue, and of the queues before it."""
         x, before = np.asarray(places, np.int64), np.zeros(len(places), np.int64)
-        for left, both, is_left in self.ways[queue]:
+        for left, both, is_left in self.way(queue):
             given = mul_div(x, left, both) if both else np.zeros_like(x)
             if is_left:
                 x = given
@@ -81,7 +77,7 @@ class Schedule:
     def place(self, queue: int, index: np.ndarray) -> np.ndarray:
         """The place in the stream of the queue's tokens with these numbers."""
         i = np.asarray(index, np.int64)
-        for left, both, is_left in reversed(self.ways[queue]):
+        for left, both, is_left in reversed(self.way(queue)):
             if is_left:
                 i = -mul_div_negative(i + 1, both, left) - 1
             else:
@@ -120,7 +116,8 @@ class Mixture:
         self.schedules = [Schedule(p) for p in parts]
         self.starts = np.concatenate([[0], np.cumsum([s.total for s in self.schedules])]).astype(np.int64)
         #: For each queue the number of its first token in each schedule.
-        self.firsts = [np.concatenate([[0], np.cumsum([p[q] for p in parts])]).astype(np.int64) for q in range(n)]
+        self.firsts = np.zeros((n, len(parts) + 1), np.int64)
+        np.cumsum(np.array(parts, np.int64).reshape(len(parts), n).T, axis=1, out=self.firsts[:, 1:])
 
     def pieces(self, queue: int, first: np.ndarray, length: np.ndarray, window: int) -> dict[str, np.ndarray]:
         """The pieces of rows that take ``length`` tokens of a queue from number ``first`` on.
@@ -163,10 +160,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
             T.StructField("ids", T.BinaryType()),
         ]
     )
-    queues = docs.select(F.col(queue_col).cast("string").alias("queue")).distinct()
     queue = F.col(queue_col).cast("string")
-    if queues.limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        queue = F.pmod(F.xxhash64(queue), F.lit(MAX_QUEUES)).cast("string")
 
     def run(batches):
         part, totals, encode = TaskContext.get().partitionId(), defaultdict(int), encoder(tokenizer)
@@ -207,13 +201,23 @@ def pack(
     table = encoded(docs, tokenizer, end_id, id_col, text_col, queue_col)
     sums = cut(table.groupBy("part", "queue").agg(F.sum("n").alias("n")), "queue-sums")
     earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(F.col("part").alias("_part"), F.col("queue").alias("_queue"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    # Queues are numbered by name, null first; the driver sees their tokens in that order.
+    named = sums.groupBy("queue").agg(F.sum("n").alias("n")).withColumn("key", F.lit(0))
+    queues = numbered(named.repartitionByRange("queue").sortWithinPartitions("queue"), "key", None, "queues")
+    queues = cut(queues.select(F.col("queue").alias("_name"), F.col("n").alias("_n"), F.col("before").alias("number")), "queues")
+    totals = [int(n) for n in queues.orderBy("number").select("_n").toPandas()["_n"]]
+    weights = None
+    if targets is not None:
+        weights = [0.0] * len(totals)
+        if targets:
+            given = docs.sparkSession.createDataFrame([(q, float(w)) for q, w in targets.items()], "queue string, weight double")
+            for r in given.join(queues, F.col("queue").eqNullSafe(F.col("_name"))).select("number", "weight").collect():
+                weights[r["number"]] = r["weight"]
+    mixture = Mixture(totals, weights)
+    base = sums.join(queues, F.col("queue").eqNullSafe(F.col("_name"))).select(
+        F.col("part").alias("_part"), F.col("queue").alias("_queue"), "number", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")
+    )
     base = cut(base, "queue-starts")
-    # One row per queue, at most MAX_QUEUES of them.
-    totals = sorted(((r["queue"], r["n"]) for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()), key=lambda x: (x[0] is not None, x[0] or ""))
-    number = {q: i for i, (q, _) in enumerate(totals)}
-    weights = None if targets is None else [float(targets.get(q, 0)) for q, _ in totals]
-    mixture = Mixture([n for _, n in totals], weights)
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),
@@ -226,7 +230,7 @@ def pack(
     def run(batches):
         width = encoder(tokenizer).width
         for batch in batches:
-            queues = np.array([number[q] for q in batch.column("queue").to_pylist()], np.int64)
+            queues = batch.column("number").to_numpy()
             first = (batch.column("before").to_numpy() + batch.column("base").to_numpy()).astype(np.int64)
             length = batch.column("n").to_numpy().astype(np.int64)
             for q in np.unique(queues):
@@ -264,7 +268,7 @@ def pack(
                     )
 
     joined = table.join(base, (F.col("part") == F.col("_part")) & F.col("queue").eqNullSafe(F.col("_queue")))
-    return joined.select("id", "queue", "before", "base", "n", "ids").mapInArrow(run, schema)
+    return joined.select("id", "queue", "number", "before", "base", "n", "ids").mapInArrow(run, schema)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

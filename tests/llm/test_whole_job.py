@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lazaret.llm import decontaminate, ngram_join, sharding
+from lazaret.llm import decontaminate, ngram_join, packing, sharding
 from lazaret.llm.text import NOT_ALNUM, texts_of, words_of
 from tests.llm.test_operators import prose
 
@@ -91,3 +91,19 @@ def test_part_of_a_long_item_beside_a_worse_stretch():
     said = [w if i < 14 or (i - 14) % 10 in (3, 4, 5, 6, 7, 8, 9) else "other" for i, w in enumerate(item)]
     block = decontaminate.Block.of([1], [" ".join(item)])
     assert list(block.overlaps(words_of(texts_of(pa.array([" ".join(said)])), NOT_ALNUM)))
+
+
+def test_every_source_has_its_queue(spark):
+    texts = [(i, "some words to pack here " * 4, f"s{i % 1500}" if i % 1500 else None) for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(3)
+    pieces = packing.pack(docs, "word_bpe_49k.json", window=256, targets={"s17": 2.0, None: 1.0, "not there": 1.0}).collect()
+    assert {r["queue"] for r in pieces} == {t[2] for t in texts}
+    tokens, early = Counter(), Counter()
+    for r in pieces:
+        tokens[r["queue"]] += r["length"]
+    # the two with targets come first, two tokens to one until the heavier ends
+    for r in pieces:
+        if r["sequence_id"] * 256 + r["offset"] < tokens[None] + tokens["s17"]:
+            early[r["queue"]] += r["length"]
+    assert len(set(tokens.values())) == 1 and set(early) == {"s17", None}
+    assert sum(tokens.values()) == sum(r["length"] for r in pieces)
