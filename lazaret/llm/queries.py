@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lazaret.llm import chat, decontaminate, html_crf, licenses, ngram_join, packing, quality, sharding, url_rules, warc
+from lazaret.llm import chat, decontaminate, html_crf, licenses, ngram_join, packing, quality, search, sharding, url_rules, warc
 from lazaret.llm.tables import cut
 
 
@@ -67,6 +67,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_read(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +84,7 @@ QUERIES = {
         op8_html,
         op9_quality,
         op10_shards,
+        op11_search,
     )
 }
 
@@ -162,4 +167,21 @@ def _licenses_sql() -> str:
     """
 
 
-ORACLES = {"op1_ngram_join": _NGRAM_JOIN, "op2_warc": _WARC, "op7_licenses": _licenses_sql()}
+_SEARCH = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents),
+q AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+held AS (SELECT item_id, t, count(*) AS qtf FROM (SELECT item_id, unnest(w) AS t FROM q) GROUP BY ALL),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+m AS (SELECT r, doc_id, 75 + (25 * len(w) * n) // l AS m FROM d, totals WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) SEMI JOIN held USING (t) GROUP BY ALL),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY t),
+scores AS (SELECT item_id, r, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS score
+    FROM held JOIN tf USING (t) JOIN weights USING (t) JOIN m USING (r) GROUP BY ALL),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scores JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES = {"op1_ngram_join": _NGRAM_JOIN, "op2_warc": _WARC, "op7_licenses": _licenses_sql(), "op11_search": _SEARCH}
