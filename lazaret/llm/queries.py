@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lazaret.llm import chat, decontaminate, html_crf, licenses, ngram_join, packing, quality, search, sharding, url_rules, warc
+from lazaret.llm import chat, decontaminate, dialogue, html_crf, licenses, ngram_join, packing, quality, search, sharding, toxicity, url_rules, warc
 from lazaret.llm.tables import cut
 
 
@@ -71,6 +71,16 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    return dialogue.repair(dialogue.damaged(rows), rows)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +95,8 @@ QUERIES = {
         op9_quality,
         op10_shards,
         op11_search,
+        op12_repair,
+        op13_toxicity,
     )
 }
 
