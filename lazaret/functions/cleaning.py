@@ -25,6 +25,9 @@ READ_AS = {
 }
 
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
 def clean_number(c: Column, clean: str = "exponent") -> Column:
     """Text or number to number; NULL when there is none to read.
 
@@ -32,11 +35,16 @@ def clean_number(c: Column, clean: str = "exponent") -> Column:
     several numbers, such as a date, has none. ``strip`` keeps digits, points and minus signs only, so ``1.0E7``
     turns into 1.07; it exists for comparison.
     """
+    return number_text(c, clean).try_cast(READ_AS[clean])
+
+
+def number_text(c: Column, clean: str = "exponent") -> Column:
+    """The text of the number in a text, which can still be read exactly; NULL when there is none."""
     text = c.cast("string")
     if clean == "strip":
-        return F.regexp_replace(text, NOT_NUMERIC, "").try_cast(READ_AS[clean])
+        return F.regexp_replace(text, NOT_NUMERIC, "")
     numbers = F.regexp_extract_all(F.regexp_replace(text, _GROUPING, ""), F.lit(_NUMBER), F.lit(1))
-    return F.when(F.size(numbers) == 1, F.get(numbers, 0).try_cast(READ_AS[clean]))
+    return F.when(F.size(numbers) == 1, F.get(numbers, 0))
 
 
 def to_int(c: Column, target: str = "int") -> Column:
@@ -71,15 +79,14 @@ class Policy:
         """Stripping takes a number's exponent away, so 1.0E7 becomes 1.07."""
         return self.clean != "strip"
 
-    def apply(self, c: Column) -> Column:
-        return self.finish(c if self.clean is None else clean_number(c, self.clean))
+    def convert(self, c: Column) -> Column:
+        """A value in the policy's type."""
+        if self.to in INTEGERS:
+            return to_int(c, self.to)
+        return c if self.to is None else c.try_cast(self.to)
 
     def finish(self, c: Column) -> Column:
-        """All steps after the cleaning."""
-        if self.to in ("tinyint", "smallint", "int", "bigint"):
-            c = to_int(c, self.to)
-        elif self.to is not None:
-            c = c.try_cast(self.to)
+        """The steps after the conversion."""
         if self.default is not None:
             c = default(c, self.default)
         if self.absolute:

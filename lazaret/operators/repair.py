@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lazaret.functions.cleaning import Policy, clean_number
+from lazaret.functions.cleaning import INTEGERS, Policy, clean_number, number_text
 from lazaret.functions.once import with_columns_once
 
 
@@ -18,36 +18,43 @@ def with_repairs(
 ) -> DataFrame:
     """Add the repaired form of each column that has a policy, under ``prefix``.
 
-    A policy that cleans starts from the text as it came in where the rows carry it, because the
-    typed column is already NULL for a text such as ``$12.50``. All texts of one way of cleaning go
-    through one array function, so the generated code does not grow with the number of columns.
+    A policy that cleans starts from the typed value where there is one, else from the text as it came in, where the rows carry
+    it, as for ``$12.50`` the typed column is NULL. Integers and decimals are read from the text of the number itself, so they
+    stay exact whatever their size; other numbers are read in the precision of the way of cleaning. All texts of one way go through
+    one array function, so the generated code does not grow with the number of columns.
     """
     texts = df.schema["text"].dataType.fieldNames() if _has_text(df) else []
-    started = {p.column: F.col(p.column) for p in policies}
+    converted = {p.column: p.convert(F.col(p.column)) for p in policies if not p.clean}
+    groups: dict[tuple[str, bool], list[Policy]] = {}
+    for p in policies:
+        if p.clean:
+            decimal = isinstance(df.schema[p.column].dataType, T.DecimalType)
+            groups.setdefault((p.clean, p.clean == "exponent" and (decimal or p.to in INTEGERS)), []).append(p)
     arrays = {}
-    for way in sorted({p.clean for p in policies if p.clean}):
-        columns = [p.column for p in policies if p.clean == way]
-        dirty = F.array(
-            *(
-                F.coalesce(F.col("text")[c], F.col(c).cast("string"))
-                if c in texts
-                else F.col(c).cast("string")
-                for c in columns
-            )
-        )
-        arrays[f"_{way}"] = F.transform(dirty, _cleaner(way))
-        started |= {c: F.col(f"_{way}")[i] for i, c in enumerate(columns)}
+    for (way, exact), own in groups.items():
+        written = [F.col(p.column).cast("string") for p in own]
+        if way == "strip":  # every value goes through its text as it came in
+            dirty = [F.coalesce(F.col("text")[p.column], w) if p.column in texts else w for p, w in zip(own, written)]
+        else:
+            dirty = [F.coalesce(w, F.col("text")[p.column]) if p.column in texts else w for p, w in zip(own, written)]
+        name = f"_{way}_{'exact' if exact else 'number'}"
+        arrays[name] = F.transform(F.array(*dirty), _cleaner(way, exact))
+        for i, p in enumerate(own):
+            found = F.col(name)[i]
+            if exact and p.to is None:
+                found = found.try_cast(df.schema[p.column].dataType)
+            converted[p.column] = p.convert(found)
     cleaned = with_columns_once(df, arrays) if arrays else df
     return cleaned.withColumns(
         {
-            prefix + p.column: p.finish(started[p.column]).try_cast(df.schema[p.column].dataType)
+            prefix + p.column: p.finish(converted[p.column]).try_cast(df.schema[p.column].dataType)
             for p in policies
         }
     ).drop(*arrays)
 
 
-def _cleaner(way: str):
-    return lambda text: clean_number(text, way)
+def _cleaner(way: str, exact: bool):
+    return lambda text: number_text(text, way) if exact else clean_number(text, way)
 
 
 def _has_text(df: DataFrame) -> bool:

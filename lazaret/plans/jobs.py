@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,13 @@ def batch_load(
     target: str,
     schema: T.StructType | str | None = None,
     allow_missing: bool = False,
+    csv: Mapping[str, str | bool] | None = None,
 ) -> DataFrame:
     """Read CSV files, unite them by column name, replace the Parquet dataset; returns it.
 
-    No shuffle. Giving the schema spares the pass that infers types.
+    No shuffle. Giving the schema spares the pass that infers types; ``csv`` are options of the reader.
     """
-    write_dataset(union_all(read_many(spark, paths, schema), allow_missing), target)
+    write_dataset(union_all(read_many(spark, paths, schema, csv), allow_missing), target)
     return spark.read.parquet(target)
 
 
@@ -48,12 +49,12 @@ def messages(
     partition: Column | None = None,
     offset: Column | None = None,
     timestamp: Column | None = None,
-    rate: float = faults.FAILURE_RATE,
+    rate: float = 0.0,
     seed: int = 42,
     partitions: int = 3,
     publication: str | None = None,
 ) -> DataFrame:
-    """Rows as messages with a retry count of 0, some of them damaged, with the envelope's columns.
+    """Rows as messages with a retry count of 0, with the envelope's columns; ``rate`` of them are damaged on purpose, by default none.
 
     ``fault`` stays as a column for counting. A folder has no broker to assign places, so partition
     and offset are columns of the caller or a hash of the key and a running number. Such a number
@@ -122,10 +123,11 @@ def publish_csv(
     preset: Preset,
     topic: Topic,
     limit: int | None = None,
+    csv: Mapping[str, str | bool] | None = None,
     **options,
 ) -> dict:
-    """Publish a CSV file or folder, all of it unless ``limit`` bounds the rows."""
-    return publish(read_csv(spark, path, preset.schema, limit), preset, topic, **options)
+    """Publish a CSV file or folder, all of it unless ``limit`` bounds the rows; ``csv`` are options of the reader."""
+    return publish(read_csv(spark, path, preset.schema, limit, options=csv), preset, topic, **options)
 
 
 def quarantine_rows(df: DataFrame) -> DataFrame:
@@ -164,11 +166,16 @@ def check_depth(
 ) -> DataFrame:
     """Depth of a topic per partition and in total, also appended to the event log when one is named.
 
-    A folder keeps a message's first place, so there rows are counted; Kafka numbers its messages.
+    A folder keeps a message's first place, so there rows are counted; Kafka numbers its messages. The messages are read
+    once; the depths, a row per topic partition, are kept. A topic without messages has a total of 0.
     """
-    counted = metrics.depth_totals(
+    totals = metrics.depth_totals(
         topic_table(spark, topic), count or ("offsets" if topic.is_kafka else "rows")
     )
+    rows = totals.collect()
+    if not any(r["topic"] is None for r in rows):
+        rows.append((None, None, 0))
+    counted = spark.createDataFrame(rows, totals.schema)
     if log is not None:
         total = counted.filter("topic IS NULL").select(F.col("depth").alias("dlq_size"))
         documents = events.log_rows(total, event="dlq_size")

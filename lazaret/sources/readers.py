@@ -18,6 +18,9 @@ from lazaret.sources import storage
 # The file formats that are found and landed.
 FORMATS = ("csv", "parquet")
 
+#: How CSV is read unless the caller says otherwise.
+RFC_4180 = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+
 
 def read_csv(
     spark: SparkSession,
@@ -25,22 +28,27 @@ def read_csv(
     schema: T.StructType | str | None = None,
     limit: int | None = None,
     sampling: float | None = None,
+    options: Mapping[str, str | bool] | None = None,
 ) -> DataFrame:
-    """CSV with a header row.
+    """CSV with a header row, quoted as RFC 4180 has it: a quote inside quotes is doubled, and quoted line ends belong to the value.
+
+    ``options`` of Spark's reader come before these. A file with quoted line ends cannot be cut into splits, so for large files
+    that are known to have none, ``{"multiLine": False}`` lets many tasks read one file.
 
     Without a schema the types are inferred, which reads the data once more (``sampling`` of it).
     With one, its fields are found by name, whatever their order in the header, which alone is read ahead; those the
     header lacks are not in the frame, and further columns of the file are left out. Several paths read together
     have one header; another one is an error. ``limit`` keeps the first rows in no particular order.
     """
-    reader = spark.read.option("header", True)
+    given = RFC_4180 | dict(options or {})
+    reader = spark.read.options(**given)
     paths = path if isinstance(path, str) else list(path)
     if schema is not None:
         declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         header = reader.csv(paths).columns
         known = {f.name.lower(): f for f in declared.fields}
         own = [known.get(name.lower(), T.StructField(name, T.StringType())) for name in header]
-        typed = spark.read.option("header", True).schema(T.StructType(own)).option("enforceSchema", False)
+        typed = spark.read.options(**given).schema(T.StructType(own)).option("enforceSchema", False)
         present = {name.lower() for name in header}
         df = typed.csv(paths).select(*(f"`{n}`" for n in declared.fieldNames() if n.lower() in present))
     else:
@@ -52,10 +60,13 @@ def read_csv(
 
 
 def read_many(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType | str | None = None,
+    options: Mapping[str, str | bool] | None = None,
 ) -> list[DataFrame]:
     """One frame per path, each with the columns and types of its own header."""
-    return [read_csv(spark, path, schema) for path in paths]
+    return [read_csv(spark, path, schema, options=options) for path in paths]
 
 
 def read_table(
@@ -97,12 +108,18 @@ def any_files(spark: SparkSession, root: str, formats: Sequence[str] = FORMATS)
     return not discover(spark, root, formats).isEmpty()
 
 
+# The schemes raw files are landed on, with the names Arrow has for them.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
 def _located(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a full path and the path in it."""
     scheme, _, rest = path.partition(":")
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    if scheme not in SCHEMES:
+        raise ValueError(f"raw files are landed on {', '.join(SCHEMES)}, not on {scheme}: read and write them with Spark")
+    return fs.FileSystem.from_uri(quote(f"{SCHEMES[scheme]}:{rest}", safe=":/@"))
 
 
 def _copy_file(source: str, target: str) -> int:
@@ -127,11 +144,15 @@ def land_raw(
 
     Returns ``path``, ``landed`` and ``length`` of the files, written to ``target/_landed`` as the record of the
     run. The tasks copy, each file as a stream of blocks, so neither contents nor names pass through the driver.
-    A task that is repeated copies its files again; a file that is there already is replaced. Storage has to
-    be one that ``pyarrow.fs`` reaches, such as shared folders, HDFS and the usual object stores.
+    A task that is repeated copies its files again; a file that is there already is replaced. Storage is reached through
+    ``pyarrow.fs`` on the schemes in ``SCHEMES``, with the credentials of the environment, not those of Spark; another scheme is an error
+    before anything is copied.
     """
     base, raw = storage.full_path(spark, root), storage.full_path(spark, f"{target}/raw")
     record = f"{target}/_landed/{uuid.uuid4().hex}"
+    for place in (base, raw):
+        if place.partition(":")[0] not in SCHEMES:
+            _located(place)
 
     def copy(batches):
         for batch in batches:

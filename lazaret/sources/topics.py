@@ -65,10 +65,12 @@ def topic_stream(spark: SparkSession, topic: Topic, starting: str = "earliest")
 
 
 def topic_table(spark: SparkSession, topic: Topic) -> DataFrame:
-    """All messages now in the topic, as a batch."""
+    """All messages now in the topic, as a batch; none where nothing was ever sent."""
     if topic.is_kafka:
         raw = spark.read.format("kafka").options(**read_options(topic)).load()
         return _as_envelope(raw)
+    if not storage.has_match(spark, topic.path):
+        return spark.createDataFrame([], ENVELOPE)
     return spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).parquet(topic.path)
 
 
