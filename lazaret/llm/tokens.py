@@ -1,7 +1,8 @@
 """Token ids of many texts with a public tokenizer file, whose path is a parameter.
 
-A tokenizer whose pieces never span white space gives a text the ids of its words, one after the other. Most words come
-again and again, so a worker keeps the ids of words it has met; when there are too many it starts anew.
+A tokenizer whose pieces never span white space gives a text the ids of its words, one after the other, and a plain word those
+of its letters, digits and marks. Most of these parts come again and again, so a worker keeps the ids of those it has met; when
+there are too many it starts anew.
 """
 
 from __future__ import annotations
@@ -10,14 +11,12 @@ import functools
 import json
 import os
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 
-from lazaret.llm.text import slices
+from lazaret.llm.text import LOWER, SPACE, Texts, slices
 
 #: Words kept with their ids, per worker.
 KNOWN_WORDS = 500_000
@@ -47,6 +46,55 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x21, 0x250)}
 
 
+def _classes() -> np.ndarray:
+    """Of each byte: 0 white space, 1 part of a letter, 2 digit, 3 other mark, 4 none of these in every word."""
+    out = np.full(256, 4, np.uint8)
+    out[0x21:0x7F] = 3
+    out[[ord("'"), ord("|")]] = 4
+    out[0x30:0x3A] = 2
+    out[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xC9)]] = 1
+    out[SPACE] = 0
+    return out
+
+
+_CLASS = _classes()
+# Two-byte characters from U+00C0 to U+023F that are no letters, have no lower case of one letter, or came late.
+_NO_LETTER = np.array([0xC397, 0xC3B7, 0xC4B0, *range(0xC8B4, 0xC8C0)], np.uint16)
+
+
+def parts_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and lengths of the parts of all words: runs of letters, single digits, runs of marks; and their bytes, A-Z folded.
+
+    A word with other characters, an apostrophe or a bar is one part and stays as it is, as how it is cut depends on more than single characters.
+    """
+    kind = _CLASS[texts.data]
+    n = len(kind)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), texts.data
+    inner = kind > 0
+    first = np.ones(n, bool)
+    first[1:] = ~inner[:-1]
+    edge = texts.offsets[:-1]
+    first[edge[edge < n]] = True
+    first &= inner
+    odd = kind == 4
+    lead = np.flatnonzero((texts.data[:-1] == 0xC3) | (texts.data[:-1] == 0xC4) | (texts.data[:-1] == 0xC8))
+    pairs = texts.data[lead].astype(np.uint16) << np.uint16(8) | texts.data[lead + 1]
+    odd[lead[np.isin(pairs, _NO_LETTER)]] = True
+    word = np.cumsum(first)  # of each byte, from 1
+    whole = np.zeros(int(word[-1]) + 1, bool)
+    whole[word[odd]] = True
+    cut = np.zeros(n, bool)
+    cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    cut &= inner & ~whole[word]
+    start = np.flatnonzero(first | cut)
+    # Bytes that are no white space belong to the part that began last.
+    spaces = np.concatenate([[0], np.cumsum(~inner)])
+    ends = np.append(start[1:], n)
+    packed = np.where(whole[word], texts.data, LOWER[texts.data])[inner]
+    return start, ends - start - (spaces[ends] - spaces[start]), packed
+
+
 class Encoder:
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,7 +124,6 @@ class Encoder:
 
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
-        self._parts: dict[str, bytes] = {}
         self._ids = [np.zeros(0, self.kind)]
         self._edges = [np.zeros(1, np.int64)]
 
@@ -85,27 +132,19 @@ class Encoder:
         counts = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter((i for x in got for i in x), self.kind, int(counts.sum())), counts
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        tokenize, letters, find = self.tokenizer.model.tokenize, self._letters, self._pattern.findall
-        plain, parts = _PLAIN.fullmatch, self._parts
-        out: list[bytes] = []
-        ends = np.empty(len(words) + 1, np.int64)
-        ends[0] = n = 0
-        pack = (lambda ids: np.array(ids, self.kind).tobytes()) if self.width == 4 else (lambda ids: array("H", ids).tobytes())
-        for i, word in enumerate(words, 1):
-            if plain(word):
-                word = word.lower()
-                for part in (word,) if word.isalpha() else find(word):
-                    got = parts.get(part)
-                    if got is None:
-                        got = parts[part] = pack([x.id for x in tokenize(part if part.isascii() else part.translate(letters))])
-                    out.append(got)
-                    n += len(got)
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize, letters, find, plain = self.tokenizer.model.tokenize, self._letters, self._pattern.findall, _PLAIN.fullmatch
+        out: list[int] = []
+        ends = [0]
+        for part in parts:
+            if plain(part):
+                part = part.lower()
+                for run in (part,) if part.isalpha() else find(part):
+                    out.extend([x.id for x in tokenize(run if run.isascii() else run.translate(letters))])
             else:
-                out.append(pack(self.tokenizer.encode(word, add_special_tokens=False).ids))
-                n += len(out[-1])
-            ends[i] = n
-        return np.frombuffer(b"".join(out), self.kind), np.diff(ends) // self.width
+                out.extend(self.tokenizer.encode(part, add_special_tokens=False).ids)
+            ends.append(len(out))
+        return np.array(out, self.kind), np.diff(np.array(ends, np.int64))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         """The numbers of words in the store; new ones are encoded."""
@@ -114,7 +153,7 @@ class Encoder:
         known = self._known
         new = [w for w in words if w not in known]
         if new:
-            ids, counts = self._encode_words(new)
+            ids, counts = self._encode_parts(new)
             first = len(known)
             known.update(zip(new, range(first, first + len(new)), strict=True))
             self._ids.append(ids)
@@ -125,9 +164,8 @@ class Encoder:
 
     def __call__(self, batch: pa.RecordBatch, text: str, end_id: int):
         """Parts of the batch, their ids (each text's with the end id behind) and each text's number of ids."""
-        for piece, _ in slices(batch, text):
-            texts = piece.column(text).fill_null("")
-            ids, counts = self._by_words(texts) if self.by_word else self._encode(texts.to_pylist())
+        for piece, texts in slices(batch, text):
+            ids, counts = self._by_parts(texts) if self.by_word else self._encode(piece.column(text).fill_null("").to_pylist())
             edges = np.concatenate([[0], np.cumsum(counts)])
             out = np.full(len(ids) + len(counts), end_id, self.kind)
             inner = np.ones(len(out), bool)
@@ -135,18 +173,20 @@ class Encoder:
             out[inner] = ids
             yield piece, out, counts + 1
 
-    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.ascii_split_whitespace(texts)
-        words = lists.flatten().dictionary_encode()
-        if not len(words):
+    def _by_parts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each text by those of its parts, each different part looked up once."""
+        start, length, packed = parts_of(texts)
+        if not len(start):
             return np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
-        numbers = self._numbers(words.dictionary.to_pylist())
-        # The ids of this part's different words, then of its words in order.
+        offsets = np.concatenate([[0], np.cumsum(length)])
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
+        numbers = self._numbers(found.dictionary.cast(pa.large_string()).to_pylist())
         edges = np.concatenate(self._edges) if len(self._edges) > 1 else self._edges[0]
         store = np.concatenate(self._ids) if len(self._ids) > 1 else self._ids[0]
-        known = pa.LargeListArray.from_arrays(pa.array(edges), pa.array(store))
-        found = known.take(pa.array(numbers[words.indices.to_numpy()]))
-        sums = found.offsets.to_numpy() - found.offsets[0].as_py()
-        per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.concatenate([[0], np.cumsum(per_text)])
-        return found.flatten().to_numpy(), sums[rows[1:]] - sums[rows[:-1]]
+        # The ids of this slice's different parts, then of its parts in order.
+        first, counts = edges[numbers], edges[numbers + 1] - edges[numbers]
+        which = found.indices.to_numpy()
+        sums = np.concatenate([[0], np.cumsum(counts[which])])
+        ids = store[np.repeat(first[which] - sums[:-1], counts[which]) + np.arange(sums[-1])]
+        rows = np.searchsorted(start, texts.offsets)
+        return ids, sums[rows[1:]] - sums[rows[:-1]]
