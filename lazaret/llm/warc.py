@@ -140,8 +140,15 @@ class _Stream:
         return out
 
 
+_DEFINITION = re.compile(rb"([12]) [0-9]+ [^\n]*\nURL IP-address ")
+
+
 def read_arc(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(version, place, header fields, content) of each record; version blocks set the version of what follows."""
+    """(version, place, header fields, content) of each record; version blocks set the version of what follows.
+
+    A version block is the first record, or a later ``filedesc://`` record whose content defines the fields of records, as in files put
+    together from others; its header has a field ``definition``. A page at such a URL is a record as any other.
+    """
     stream, version = _Stream(data), None
     while True:
         place = stream.place
@@ -151,22 +158,28 @@ def read_arc(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
         line = line.rstrip(b"\r")
         if not line:
             continue
-        if line.startswith(b"filedesc://"):
+        if version is None and line.startswith(b"filedesc://"):
             for v in ARC_FIELDS:
                 # A version block tells its version in its first line.
                 header = parse_header(line, v)
                 if header:
                     content = stream.take(int(header["length"]))
                     version = int(content.split(b" ", 1)[0])
-                    yield version, place, header, content
+                    yield version, place, header | {"definition": "yes"}, content
                     break
             else:
                 raise ValueError(f"no version block at byte {place}: {line[:200]!r}")
             continue
+        # Behind a version block of another version the line may only be read by that one's fields.
         header = parse_header(line, version) if version in ARC_FIELDS else None
+        if header is None and line.startswith(b"filedesc://"):
+            header = next((h for v in ARC_FIELDS if (h := parse_header(line, v))), None)
         if header is None:
             raise ValueError(f"no record of ARC version {version} at byte {place}: {line[:200]!r}")
-        yield version, place, header, stream.take(int(header["length"]))
+        content = stream.take(int(header["length"]))
+        if line.startswith(b"filedesc://") and (m := _DEFINITION.match(content)):
+            version, header = int(m[1]), header | {"definition": "yes"}
+        yield version, place, header, content
 
 
 # --- WARC --------------------------------------------------------------------------------------
@@ -197,7 +210,7 @@ def converted(name: str, version: int, place: int, header: dict[str, str], conte
     http = split_http(content)
     head, payload = http if http else (b"", content)
     key = re.search(rb"(?mi)^" + _KEY + rb": *(-?[0-9]+)", head)
-    kind = "warcinfo" if header["url"].startswith("filedesc://") else "response" if http else "resource"
+    kind = "warcinfo" if "definition" in header else "response" if http else "resource"
     return {
         "record_id": f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{name} {place} ' + header['url'].encode('utf-8', 'surrogateescape').hex())}>",
         "key": int(key[1]) if key else None,

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lazaret.llm import decontaminate, ngram_join, packing, sharding
+from lazaret.llm import decontaminate, ngram_join, packing, sharding, warc
 from lazaret.llm.text import NOT_ALNUM, texts_of, words_of
 from tests.llm.test_operators import prose
 
@@ -107,3 +107,23 @@ def test_every_source_has_its_queue(spark):
             early[r["queue"]] += r["length"]
     assert len(set(tokens.values())) == 1 and set(early) == {"s17", None}
     assert sum(tokens.values()) == sum(r["length"] for r in pieces)
+
+
+def test_pages_whose_url_looks_like_a_version_block(spark):
+    rows = [(i, f"filedesc://page{i}.arc" if i % 2 else "http://a/", f"<p>{i // 3}</p>", 0) for i in range(40)]
+    found = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string, record_type int").repartition(2))
+    assert {r["page_id"]: r["payload_bytes"] for r in found.collect()} == {r[0]: len(r[2]) for r in rows}
+
+
+def test_version_blocks_in_the_middle_of_a_file():
+    def record(version, url, content):
+        return warc.arc_record(version, {"url": url, "ip": "192.0.2.1", "date": "20010203040506", "type": "text/html", "code": "200"}, content)
+
+    data = b"".join(
+        [
+            warc.version_block(1, "a.arc", "20010203040506"), record(1, "filedesc://b", b"HTTP/1.1 200 OK\r\n\r\nx"),
+            warc.version_block(2, "c.arc", "20010203040506"), record(2, "filedesc://d", b"1 0 x\nno block"), record(2, "http://e/", b"y"),
+        ]
+    )
+    found = [(v, h["url"], "definition" in h) for v, _, h, _ in warc.read_arc(data)]
+    assert found == [(1, "filedesc://a.arc", True), (1, "filedesc://b", False), (2, "filedesc://c.arc", True), (2, "filedesc://d", False), (2, "http://e/", False)]
