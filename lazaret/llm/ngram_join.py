@@ -317,13 +317,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null id stays only where a class has no other, and of rows with the same id in a class the first stays. Rows without a
     word resemble nothing and stay.
     """
-    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(rows, "_row", text_col, size, percent)
+    # The number travels under a name that no column has, so all columns stay as they are.
+    taken = {c.lower() for c in docs.columns}
+    number = next(n for n in (f"_row{'_' * i}" for i in range(len(taken) + 1)) if n not in taken)
+    rows = cut(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    slim = rows.select(F.col(number).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    found = near_duplicates(slim, "_row", "_text", size, percent)
     # Rows that are not the first of their class, and those first ones.
     later = cut(found.filter("id != component_id").select(F.col("id").alias("_row"), F.col("component_id").alias("_class")), "later")
     first = later.select("_class").distinct().select(F.col("_class").alias("_row"), "_class")
-    members = later.unionByName(first).join(rows.select("_row", F.col(id_col).alias("_id")), "_row")
-    members = cut(members, "members")
+    members = cut(later.unionByName(first).join(slim.select("_row", "_id"), "_row"), "members")
     best = members.groupBy("_class").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("b"))
-    gone = cut(members.join(best.select(F.col("b._row").alias("_row")), "_row", "left_anti").select("_row"), "gone")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    gone = cut(members.join(best.select(F.col("b._row").alias("_row")), "_row", "left_anti").select(F.col("_row").alias(number)), "gone")
+    return rows.join(gone, number, "left_anti").select(*docs.columns)

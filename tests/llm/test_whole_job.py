@@ -127,3 +127,11 @@ def test_version_blocks_in_the_middle_of_a_file():
     )
     found = [(v, h["url"], "definition" in h) for v, _, h, _ in warc.read_arc(data)]
     assert found == [(1, "filedesc://a.arc", True), (1, "filedesc://b", False), (2, "filedesc://c.arc", True), (2, "filedesc://d", False), (2, "http://e/", False)]
+
+
+def test_one_of_each_leaves_all_columns_as_they_are(spark):
+    rng = random.Random(12)
+    a = prose(rng, 60)
+    rows = [(1, a, 77, 78, "x"), (2, a + " end", 1, 2, "y"), (3, prose(rng, 60), 3, 4, "z"), (4, None, 5, 6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, _Row_ long, _class string")
+    assert {tuple(r) for r in ngram_join.one_of_each(docs).collect()} == {rows[0], rows[2], rows[3]}
