@@ -18,6 +18,7 @@ from lazaret.catalog.inputs import (
 from lazaret.contracts import DLQ, PROCESSED, Contract, enforce, schema_of, violations
 from lazaret.functions.codec import decode
 from lazaret.functions.identity import message_id
+from lazaret.operators import faults
 from lazaret.operators.routing import fan_out, triage
 from lazaret.operators.unions import union_all
 from lazaret.plans import jobs
@@ -104,6 +105,16 @@ def csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.batch_load(spark, _write_order_csv(spark, sf_dir, root), f"{root}/orders", schema)
 
 
+def csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV as other tools write it, quotes doubled and line ends inside values, read with inferred and with declared types."""
+    path = f"{work_folder(spark, 'csv_quoted')}/orders.csv"
+    remark = F.concat(F.lit('say "'), "o_orderpriority", F.lit('", ok\n'), "o_orderstatus")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", remark.alias("remark"), "o_totalprice")
+    rows.write.options(header=True, escape='"', quoteAll=True).csv(path)
+    inferred = read_csv(spark, path).select(F.lit("inferred").alias("types"), F.col("o_orderkey").cast("long").alias("o_orderkey"), "remark", "o_totalprice")
+    return inferred.unionByName(read_csv(spark, path, rows.schema).withColumn("types", F.lit("declared")))
+
+
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV and Parquet found below a folder and landed in the raw zone, all values; the CSV datasets of two folders share
     a name and have texts with quotes, blanks at both ends and line ends."""
@@ -151,7 +162,7 @@ def topic_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").withColumn(
         "l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd")
     )
-    jobs.publish(rows, LINEITEM, topic)
+    jobs.publish(rows, LINEITEM, topic, rate=faults.FAILURE_RATE)
     read = decode(topic_table(spark, topic), LINEITEM.schema)
     return read.select(*LINEITEM.schema.fieldNames(), "retry_count")
 
@@ -304,6 +315,7 @@ QUERIES = {
     "csv_head": csv_head,
     "csv_head_rows": csv_head_rows,
     "csv_by_name": csv_by_name,
+    "csv_quoted": csv_quoted,
     "raw_landing": raw_landing,
     "file_listing": file_listing,
     "topic_publish": topic_publish,
@@ -362,6 +374,9 @@ SELECT least(700, count(*)) AS n, least(700, count(*)) AS typed, least(700, coun
 FROM events""",
     "csv_head_rows": "SELECT least(700, count(*)) AS n FROM events",
     "csv_by_name": _ORDERS,
+    "csv_quoted": """
+SELECT types, o_orderkey, 'say "' || o_orderpriority || '", ok' || chr(10) || o_orderstatus AS remark, o_totalprice
+FROM orders, (VALUES ('inferred'), ('declared')) t(types)""",
     "raw_landing": _LANDED,
     "file_listing": f"SELECT dataset FROM ({_DATASETS}) WHERE n > 0",
     "topic_publish": f"""

@@ -13,6 +13,7 @@ from lazaret.functions.codec import decode, encode
 from lazaret.operators import faults
 from lazaret.operators.repair import overlay, repair
 from lazaret.operators.routing import broken, broken_names
+from lazaret.plans.loop import resolve
 from lazaret.plans.presets import CUSTOMER, EVENTS, LINEITEM
 
 _EVENT_FIELDS = EVENTS.schema.fieldNames()
@@ -159,6 +160,22 @@ def repair_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.drop("text")
 
 
+def repair_long_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with 64-bit user ids beyond double precision beside values to be repaired, through the loop; some ids are text with commas."""
+    big = F.col("user_id") + F.lit(2**53 + 1)
+    grouped = F.concat(F.substring(big.cast("string"), 1, 1), F.lit(","), F.substring(big.cast("string"), 2, 30))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.lit("t").alias("ts"),
+        F.when(F.col("event_id") % 3 != 0, big).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.when(F.col("event_id") % 2 == 0, -F.col("value")).otherwise(F.col("value")).alias("value"),
+        F.lit("p").alias("props"),
+        F.struct(F.when(F.col("event_id") % 3 == 0, grouped).alias("user_id")).alias("text"),
+    )
+    return resolve(rows, EVENTS.rules, EVENTS.policies).select("event_id", "user_id", "value")
+
+
 def abs_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Negative balances repaired."""
     fixed = repair(table(spark, sf_dir, "customer"), CUSTOMER.policies)
@@ -196,6 +213,7 @@ QUERIES = {
     "repair_numbers": repair_numbers,
     "repair_numbers_strip": repair_numbers_strip,
     "repair_integers": repair_integers,
+    "repair_long_ids": repair_long_ids,
     "abs_repair": abs_repair,
     "manual_overlay": manual_overlay,
 }
@@ -222,6 +240,10 @@ priced AS (
   FROM grouped)"""
 
 ORACLES = {
+    "repair_long_ids": """
+SELECT event_id, user_id + 9007199254740993 AS user_id,
+  CASE WHEN event_id % 2 = 0 OR event_id % 3 = 0 THEN abs(value) ELSE value END AS value
+FROM events""",
     "random_ids": "SELECT count(*) AS ids, 36 AS length FROM lineitem",
     "json_round_trip": """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props

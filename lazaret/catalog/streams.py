@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lazaret.catalog.inputs import EVENT_RULES, event_ctes, event_place, events, reasons_sql
-from lazaret.contracts import FAILED
+from lazaret.contracts import FAILED, PROCESSED
 from lazaret.functions.codec import decode
 from lazaret.plans import jobs
 from lazaret.plans.presets import EVENTS
 from lazaret.sources.storage import work_folder
-from lazaret.sources.tables import Table, scan
+from lazaret.sources.tables import Table, append_table, scan
 from lazaret.sources.topics import Topic, topic_table
+from lazaret.streaming import logged
 from lazaret.streaming.streams import (
     Hub,
     Pipeline,
@@ -150,15 +151,55 @@ def reprocess_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CSV file published whole, some of its rows damaged, and read back from the topic."""
+    """A CSV file as other tools write it (doubled quotes, line ends in values) published whole, some of its rows damaged, and
+    read back from the topic."""
     root = work_folder(spark, "publish_csv")
-    events(spark, sf_dir).write.option("header", True).csv(f"{root}/events.csv")
+    said = F.concat(F.lit('say "hi",\n'), "props")
+    events(spark, sf_dir).withColumn("props", said).write.options(header=True, escape='"', quoteAll=True).csv(f"{root}/events.csv")
     topic = Topic("events", f"{root}/topic")
     jobs.publish_csv(spark, f"{root}/events.csv", EVENTS, topic, rate=_RATE)
     read = decode(topic_table(spark, topic), EVENTS.schema)
     return read.select(*EVENTS.schema.fieldNames(), "retry_count")
 
 
+def _log_hub(spark: SparkSession, label: str) -> Pipeline:
+    root = work_folder(spark, label)
+    return Pipeline.of(EVENTS, logged.LogHub(root, "events"), f"{root}/checkpoints")
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loop over commit logs, followed as streams: half of the messages, the logs folded, the other half with some of the first again,
+    the logs folded once more and read."""
+    p = _log_hub(spark, "stream_compacted")
+    rows = events(spark, sf_dir)
+    for part in (rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1 OR event_id % 10 = 0")):
+        jobs.publish(part, EVENTS, p.sinks.published(), rate=_RATE, **event_place())
+        for stage in logged.ROUTES:
+            logged.follow(spark, p, stage, availableNow=True).awaitTermination()
+        logged.drain(spark, p)
+        p.sinks.compact(spark, p.schema)
+    return _ends(
+        p.sinks.table(spark, "processed", p.schema), p.sinks.table(spark, "failed", p.schema)
+    )
+
+
+def unique_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping batches of the same messages into a hub of commit logs and into a table: how often each identity is there."""
+    p = _log_hub(spark, "unique_index")
+    rows = events(spark, sf_dir)
+    target = Table(PROCESSED, f"{p.sinks.root}/table")
+    for batch, part in enumerate(("event_id % 3 != 0", "event_id % 3 != 1", "event_id % 3 != 2")):
+        jobs.publish(rows.filter(part), EVENTS, p.sinks.published(), batch, **event_place())
+        sent = decode(jobs.messages(rows.filter(part), EVENTS, "events", **event_place()), EVENTS.schema)
+        stored = sent.select("message_id", "message.topic", "message.partition", F.col("message.offset").alias("msg_offset"))
+        append_table(stored, target, batch)
+    logged.drain(spark, p)
+    ends = [p.sinks.table(spark, r, p.schema).select("message_id") for r in ("processed", "failed")]
+    places = [("hub", ends[0].unionByName(ends[1])), ("table", scan(spark, target).select("message_id"))]
+    counted = [ids.groupBy("message_id").agg(F.count(F.lit(1)).alias("times")).withColumn("place", F.lit(place)) for place, ids in places]
+    return counted[0].unionByName(counted[1])
+
+
 def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of every message at the end of the loop."""
     p = _hub(spark, sf_dir, "stream_repaired")
@@ -178,6 +219,8 @@ QUERIES = {
     "record_quarantine": record_quarantine,
     "reprocess_totals": reprocess_totals,
     "publish_csv": publish_csv,
+    "stream_compacted": stream_compacted,
+    "unique_index": unique_index,
 }
 
 _FIXED = {"user_id": "coalesce(user_id, 1)", "value": "abs(value)"}
@@ -237,7 +280,13 @@ SELECT count(*) AS records, count(*) AS retry, CAST(0 AS BIGINT) AS failed, 100.
 FROM judged WHERE NOT ok""",
     "publish_csv": f"""
 WITH {event_ctes(_RATE)}
-SELECT event_id, ts, user_id, event_type, value, props, 0 AS retry_count FROM damaged""",
+SELECT event_id, ts, user_id, event_type, value,
+  CASE WHEN props = 'invalid_value' THEN props ELSE 'say "hi",' || chr(10) || props END AS props, 0 AS retry_count
+FROM damaged""",
+    "stream_compacted": _LOOP,
+    "unique_index": f"""
+WITH {_JUDGED}
+SELECT message_id, CAST(1 AS BIGINT) AS times, place FROM judged, (VALUES ('hub'), ('table')) p(place)""",
     "stream_repaired": f"""
 WITH {_JUDGED}
 SELECT event_id, CASE WHEN ok THEN user_id ELSE {_FIXED["user_id"]} END AS user_id, event_type,

@@ -173,7 +173,7 @@ def enforce(
     """
     complete = df.filter(missing_required(contract).isNull())
     columns = [c for c in ("timestamp", "topic", "partition", "msg_offset") if c in df.columns]
-    unique = first_of_each(complete, contract.unique, order or columns)
+    unique = first_of_each(complete, contract.unique, order or columns or [contract.unique])
     if existing is None:
         return unique
     return unique.join(existing.select(contract.unique), contract.unique, "left_anti").select(

@@ -10,6 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+# Schemes of stores that copy a folder file by file when it is renamed.
+OBJECT_STORES = {"s3", "s3a", "s3n", "gs", "oss", "obs", "cos", "cosn", "swift", "wasb", "wasbs"}
+
 _local_root: str | None = None
 
 
@@ -40,6 +43,10 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def _scheme(fs) -> str:
+    return fs.getUri().getScheme()
+
+
 def full_path(spark: SparkSession, path: str) -> str:
     """The path with its scheme, as listings give it."""
     fs, target = _file_system(spark, path)
@@ -75,9 +82,11 @@ def hidden_beside(path: str) -> str:
 def reveal(spark: SparkSession, hidden: str, path: str) -> bool:
     """Rename a finished folder to the name readers look for; False if that name is taken.
 
-    The rename is one step in HDFS and on local disks. A store without one needs a table format or Kafka.
+    The rename is one step in HDFS and on local disks. Stores without one are refused; ``commits.CommitLog`` serves there.
     """
     fs, source = _file_system(spark, hidden)
+    if _scheme(fs) in OBJECT_STORES:
+        raise ValueError(f"{_scheme(fs)} does not rename a folder in one step: use a commit log there (LogHub)")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     if fs.exists(target):
         return False
@@ -96,3 +105,58 @@ def write_whole(spark: SparkSession, path: str, write: Callable[[str], None]) ->
     hidden = hidden_beside(path)
     write(hidden)
     return reveal(spark, hidden, path)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(target)]
+
+
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Full paths and sizes of all files below a folder."""
+    fs, target = _file_system(spark, path)
+    found, listed = [], fs.listFiles(target, True)
+    while listed.hasNext():
+        status = listed.next()
+        found.append((status.getPath().toString(), status.getLen()))
+    return found
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that the engine wrote itself."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """A small file's text; FileNotFoundError if it is not there."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        raise FileNotFoundError(path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole; FileExistsError if its name is taken.
+
+    Object stores show a file when it is closed; elsewhere it is written under a hidden name and renamed.
+    """
+    fs, target = _file_system(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    direct = _scheme(fs) in OBJECT_STORES
+    hidden = target if direct else spark._jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    stream = fs.create(hidden, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not direct and (fs.exists(target) or not fs.rename(hidden, target)):
+        raise FileExistsError(path)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from lazaret.contracts import Contract, conform, enforce, missing_required, violations
 from lazaret.functions.identity import stamp
 from lazaret.sources import storage
+from lazaret.sources.identities import IdentityIndex
 from lazaret.sources.readers import read_table
 
 
@@ -20,7 +21,8 @@ from lazaret.sources.readers import read_table
 class Table:
     """A table under a contract: a folder of Parquet files, or a database table behind JDBC.
 
-    ``partition_by`` lays the files out by columns that are looked up, such as topic and status.
+    ``partition_by`` lays the files out by columns that are looked up, such as topic and status. A folder keeps an index of
+    its identities (``identities``) beside the batches.
     """
 
     contract: Contract
@@ -61,6 +63,8 @@ def append_table(
 ) -> dict[str, int] | None:
     """Append a batch, once; returns the rows ``offered`` and ``rejected``, None for a repeated batch.
 
+    A folder's identities are looked up in its index, which opens the files that may hold one of the batch's.
+
     Rows are projected to the contract. One that lacks a required value is rejected: it goes to the
     rejects (``rejects``) with the reason. Rows whose identity is stored already, by whatever batch,
     are left out, so a table needs one writer at a time. Without a number the batch gets a new name;
@@ -99,21 +103,30 @@ def append_table(
     return counts
 
 
+def identity_index(table: Table) -> IdentityIndex:
+    return IdentityIndex(f"{table.path}/_identities")
+
+
 def _without_stored(spark: SparkSession, table: Table, staged: str) -> str:
     """The folder of a batch less the identities stored before; ``staged`` itself if there are none.
 
-    The identities stored are cut to those of the batch first. A batch is small beside the table, and
-    the planner then sends the batch's identities to the scan instead of shuffling the table's.
+    The index first takes up the batches that it lacks, as a rule the one before this.
     """
-    if not storage.has_match(spark, f"{table.path}/batch=*"):
-        return staged
     key, columns = table.contract.unique, table.contract.schema.fieldNames()
-    batch = spark.read.schema(table.contract.schema).parquet(staged).select(*columns)
-    again = scan(spark, table).select(key).join(batch.select(key), key, "left_semi")
-    if again.isEmpty():
+    schema = table.contract.schema
+
+    def ids(batches: list[str]) -> DataFrame:
+        return spark.read.schema(schema).parquet(*(f"{table.path}/{n}" for n in batches)).select(F.col(key).alias("id"))
+
+    index = identity_index(table)
+    stored = sorted(n for n in storage.names(spark, table.path) if n.startswith("batch="))
+    index.catch_up(spark, stored, ids)
+    batch = spark.read.schema(schema).parquet(staged).select(*columns)
+    again = index.known(batch.select(F.col(key).alias("id")))
+    if again is None:
         return staged
     rest = storage.hidden_beside(f"{table.path}/batch")
-    fresh = batch.join(again, key, "left_anti").select(*columns)
+    fresh = batch.join(again, F.col(key) == F.col("id"), "left_anti").select(*columns)
     fresh.write.partitionBy(*table.partition_by).parquet(rest)
     return rest
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lazaret.contracts import ENVELOPE
 from lazaret.sources import storage
+from lazaret.sources.commits import PLACE, CommitLog
 
 
 @dataclass(frozen=True)
@@ -20,12 +21,14 @@ class Topic:
     several folders in a glob pattern. ``options`` are passed on to the reader: for Kafka for
     instance ``minPartitions`` to split a hot partition over tasks and ``maxOffsetsPerTrigger``, for
     a folder ``maxFilesPerTrigger`` and ``maxFileAge``, which stands for the topic's retention.
+    With ``route`` the folder is a commit log (``commits``), of which the topic is that route.
     """
 
     name: str
     path: str | None = None
     servers: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    route: str | None = None
 
     @property
     def is_kafka(self) -> bool:
@@ -52,6 +55,8 @@ def topic_stream(spark: SparkSession, topic: Topic, starting: str = "earliest")
     if topic.is_kafka:
         raw = spark.readStream.format("kafka").options(**read_options(topic, starting)).load()
         return _as_envelope(raw)
+    if topic.route is not None:
+        raise ValueError(f"topic {topic.name} is a commit log, which streaming.logged follows")
     if not storage.is_pattern(topic.path):
         storage.make_folder(spark, topic.path)
     return (
@@ -69,6 +74,9 @@ def topic_table(spark: SparkSession, topic: Topic) -> DataFrame:
     if topic.is_kafka:
         raw = spark.read.format("kafka").options(**read_options(topic)).load()
         return _as_envelope(raw)
+    if topic.route is not None:
+        log = CommitLog(topic.path)
+        return log.read(spark, ENVELOPE, topic.route, log.state(spark).commits).drop(PLACE)
     if not storage.has_match(spark, topic.path):
         return spark.createDataFrame([], ENVELOPE)
     return spark.read.schema(ENVELOPE).option("recursiveFileLookup", True).parquet(topic.path)
@@ -92,6 +100,9 @@ def append_topic(
         rows.write.format("kafka").options(**write_options(topic)).save()
         return True
     rows = df.withColumn("topic", F.lit(topic.name)).select(*ENVELOPE.fieldNames())
+    if topic.route is not None:
+        routed = rows.withColumn("route", F.lit(topic.route))
+        return CommitLog(topic.path).append(routed, [topic.route], f"{producer}/{batch_id}") is not None
     return storage.write_whole(
         df.sparkSession,
         f"{topic.path}/producer={producer}/batch={batch_id}",
