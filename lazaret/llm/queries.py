@@ -152,30 +152,40 @@ FROM first
 
 
 def _licenses_sql() -> str:
-    rows = ", ".join(f"('{n}', '{t}')" for n, t in licenses.TEMPLATES.items())
-    words = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"
-    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    quoted = ((n, t.replace("'", "''")) for n, t in licenses.TEMPLATES.items())
+    rows = ", ".join(f"('{n}', '{t}')" for n, t in quoted)
+    words = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return f"""
-    WITH templates(license, t) AS (VALUES {rows}),
-    known AS (SELECT license, {pairs} AS b FROM (SELECT license, {words.format("t")} AS w FROM templates)),
-    lines AS (
-        SELECT doc_id, generate_subscripts(l, 1) - 1 AS line, unnest(l) AS t
-        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
+    WITH templates(template, t) AS (VALUES {rows}),
+    known AS (
+        SELECT template, list_distinct(p) AS b, len(list_distinct(p)) AS size, len(p) AS length
+        FROM (SELECT template, {pairs} AS p FROM (SELECT template, {words.format("t")} AS w FROM templates))
     ),
-    seen AS (SELECT doc_id, line, {pairs} AS b FROM (SELECT doc_id, line, {words.format("t")} AS w FROM lines)),
-    shared AS (
-        SELECT doc_id, line, license, any_value(na) AS na, any_value(nb) AS nb, count(*) AS n
-        FROM (SELECT doc_id, line, len(b) AS na, unnest(b) AS p FROM seen)
-        JOIN (SELECT license, len(b) AS nb, unnest(b) AS p FROM known) USING (p)
-        GROUP BY ALL
+    texts AS (SELECT row_number() OVER () AS r, doc_id, {pairs} AS p FROM (SELECT doc_id, {words.format("text")} AS w FROM documents)),
+    near AS (
+        SELECT r, template
+        FROM (SELECT r, unnest(list_distinct(p)) AS pair FROM texts) JOIN (SELECT template, unnest(b) AS pair FROM known) USING (pair)
+        JOIN known USING (template) GROUP BY r, template HAVING count(*) >= 0.66 * any_value(size)
     ),
-    scored AS (SELECT *, 2 * n / (na + nb) AS dice FROM shared),
-    best AS (
-        SELECT * FROM scored WHERE dice >= 0.8
-        QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1
+    windows AS (
+        SELECT r, template, size, b, s, least(length, len(p)) AS n, p[s + 1 : s + least(length, len(p))] AS own
+        FROM (SELECT *, unnest(range(0, len(p) - least(length, len(p)) + 1)) AS s FROM near JOIN texts USING (r) JOIN known USING (template))
+    ),
+    scored AS (
+        SELECT r, template, size, s, n, 2 * len(list_intersect(list_distinct(own), b)) / (len(list_distinct(own)) + size) AS dice FROM windows
+    ),
+    ordered AS (
+        SELECT r, list({{'template': template, 's': s, 'e': s + n, 'dice': dice}} ORDER BY dice DESC, size DESC, template, s) AS l
+        FROM scored WHERE dice >= 0.8 GROUP BY r
+    ),
+    kept AS (
+        SELECT r, unnest(list_reduce(list_transform(l, lambda x: [x]), lambda held, x:
+            CASE WHEN len(list_filter(held, lambda y: y.s <= x[1].e AND x[1].s <= y.e)) = 0 THEN held || x ELSE held END)) AS m
+        FROM ordered
     )
-    SELECT doc_id, license, count(*) AS n_matches, max(dice) AS best_dice, min(line) AS first_line
-    FROM best GROUP BY doc_id, license
+    SELECT doc_id, split_part(m.template, ' ', 1) AS license, count(*) AS n_matches, max(m.dice) AS best_dice, min(m.s) AS first_word
+    FROM kept JOIN texts USING (r) GROUP BY doc_id, split_part(m.template, ' ', 1)
     """
 
 

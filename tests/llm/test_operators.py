@@ -276,13 +276,12 @@ def test_url_rules_are_mined(spark):
 def test_licences(docs, nothing, spark):
     text = "Foo.\nreleased UNDER the mit license\nReleased under the MIT License.\nThe MIT License of it\n\nLicensed under CC BY-NC 4.0."
     frame = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
-    found = {r["license"]: (r["n_matches"], r["best_dice"], r["first_line"]) for r in licenses.licences(frame).collect()}
-    assert found == {"MIT": (2, 1.0, 1), "CC-BY-NC-4.0": (1, 1.0, 5)}
-    two = licenses.scan(frame, {"X": "foo\nreleased under the mit license"}).collect()
-    assert sorted((r["line"], r["n_lines"]) for r in two) == [(0, 2), (1, 2)]  # lines 1 and 2 share 4 of 5 bigrams with it
+    found = {r["license"]: (r["n_matches"], r["best_dice"], r["first_word"]) for r in licenses.licences(frame).collect()}
+    assert found == {"MIT": (2, 1.0, 1), "CC-BY-NC-4.0": (1, 1.0, 16)}
     assert licenses.licences(docs).count() == 0 and licenses.licences(nothing).count() == 0
 
 
+
 def test_html(spark):
     model = html_crf.train(html_crf.training_set([]))
     held = [(html_crf.blocks_of(p), labels) for p, labels in html_crf.pattern_pages(80, 77)]
