@@ -6,8 +6,8 @@ positions that count; those between are ignored, so that a seed still fits where
 of every benchmark item and of every text is hashed under each mask; equal hashes are hits. Around a hit the words
 are compared along the item, not shifted: the overlap is the stretch with the best score (a match counts 1, another word
 -``PENALTY``), and it holds when it has ``MIN_MATCHES`` matches and at least ``MIN_SHARE`` of its words match. Otherwise the whole item
-holds when ``MIN_SHARE`` of all its words match, or else the stretch with most matches that meets both bounds. An item of fewer than ``MIN_WORDS`` words says
-nothing and is left out. Null texts are empty. Repeated items and texts are compared each on their own.
+holds when ``MIN_SHARE`` of all its words match, or else the stretch with most matches that meets both bounds. An item of fewer than ``MIN_WORDS`` words
+holds where all its words stand in a row; one without words holds nowhere. Null texts are empty. Repeated items and texts are compared each on their own.
 
 The benchmark is joined in blocks of a bounded number of words, each sent to the tasks; the texts are
 read once per block and never shuffled. The work for a text grows with its length and its hits only.
@@ -34,6 +34,8 @@ LIGHT = ("111", "11011")
 MIN_WORDS, MIN_MATCHES, PENALTY, MIN_SHARE, SHORT = 6, 12, 2, 0.75, 25
 #: Words of the benchmark that one block holds, about 60 bytes each with its seeds.
 BLOCK_WORDS = 500_000
+#: Hits of masks that are held at once.
+HITS = 2_000_000
 _FILTER_BITS = 22
 _STEP = np.uint64(0x94D049BB133111EB)
 
@@ -79,12 +81,18 @@ class Block:
         words = words_of(texts_of(pa.array(texts, pa.string())), NOT_ALNUM)
         counts = np.diff(words.first)
         short = (counts >= MIN_WORDS) & (counts < SHORT)
-        masks = MASKS + (LIGHT if short.any() else ())
+        # The items that each mask is for; those of a few words are hashed as a whole.
+        fits = {mask: counts >= MIN_WORDS for mask in MASKS}
+        fits |= {mask: short for mask in LIGHT if short.any()}
+        for n in range(1, MIN_WORDS):
+            if (counts == n).any():
+                fits["1" * n] = fits.get("1" * n, False) | (counts == n)
+        masks = tuple(fits)
         seeds, places = [], []
         for mask in masks:
             at, h = _masked(words, mask)
-            fits = (short if mask in LIGHT else counts >= MIN_WORDS)[words.row[at]]
-            at, h = at[fits], h[fits]
+            own = fits[mask][words.row[at]]
+            at, h = at[own], h[own]
             seeds.append(h)
             places.append(at)
         seeds, places = np.concatenate(seeds), np.concatenate(places)
@@ -94,19 +102,29 @@ class Block:
         bits[seeds >> np.uint64(64 - _FILTER_BITS)] = True
         return Block(ids, words.hash, words.first, masks, seeds, places, bits)
 
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a word of the texts and a word of the items where a mask begins that fits both."""
-        mine, theirs = [], []
+    def lines(self, words: Words) -> np.ndarray:
+        """Row, item and distance of each pair of a text and an item that a mask fits; its hits verify together.
+
+        Words that repeat give many hits on few lines, so hits are made and folded a bounded number at a time.
+        """
+        found = [np.zeros((0, 3), np.int64)]
         for mask in self.masks:
             at, h = _masked(words, mask)
             near = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
             at, h = at[near], h[near]
             low, high = np.searchsorted(self.seeds, h, "left"), np.searchsorted(self.seeds, h, "right")
-            n = high - low
-            mine.append(np.repeat(at, n))
-            spread = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            theirs.append(self.places[np.repeat(low, n) + spread])
-        return np.concatenate(mine), np.concatenate(theirs)
+            sums = np.concatenate([[0], np.cumsum(high - low)])
+            first = 0
+            while first < len(at):
+                last = max(int(np.searchsorted(sums, sums[first] + HITS, side="right")) - 1, first + 1)
+                n = high[first:last] - low[first:last]
+                spread = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                theirs = self.places[np.repeat(low[first:last], n) + spread]
+                mine = np.repeat(at[first:last], n)
+                item = np.searchsorted(self.first, theirs, side="right") - 1
+                found.append(np.unique(np.column_stack([words.row[mine], item, mine - theirs]), axis=0))
+                first = last
+        return np.unique(np.concatenate(found), axis=0)
 
     def _hopeful(self, words: Words, lines: np.ndarray) -> np.ndarray:
         """Lines of long items, and those of short ones with enough matches in all; chance hits of light masks go here."""
@@ -123,12 +141,9 @@ class Block:
 
     def overlaps(self, words: Words) -> Iterator[tuple[int, int, int, int, int, int]]:
         """(row, item, first word in the text, first word in the item, words, matches) of each verified overlap."""
-        mine, theirs = self.hits(words)
-        if not len(mine):
+        lines = self.lines(words)
+        if not len(lines):
             return
-        item = np.searchsorted(self.first, theirs, side="right") - 1
-        # A line: a text, an item and the distance between them; its hits verify together.
-        lines = np.unique(np.column_stack([words.row[mine], item, mine - theirs]), axis=0)
         lines = lines[self._hopeful(words, lines)]
         for row, i, shift in lines.tolist():
             a, b = int(self.first[i]), int(self.first[i + 1])

@@ -135,3 +135,22 @@ def test_one_of_each_leaves_all_columns_as_they_are(spark):
     rows = [(1, a, 77, 78, "x"), (2, a + " end", 1, 2, "y"), (3, prose(rng, 60), 3, 4, "z"), (4, None, 5, 6, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, _Row_ long, _class string")
     assert {tuple(r) for r in ngram_join.one_of_each(docs).collect()} == {rows[0], rows[2], rows[3]}
+
+
+def overlapping(items, *texts):
+    block = decontaminate.Block.of(list(range(len(items))), items)
+    return [(row, item) for row, item, *_ in block.overlaps(words_of(texts_of(pa.array(texts)), NOT_ALNUM))]
+
+
+def test_items_of_a_few_words_are_found_as_a_whole():
+    items = ["two plus two is four", "Paris", "one two three", "", None, " ".join(f"w{i}" for i in range(40)), "a b c d e f g"]
+    texts = ["so two plus two is FOUR, they say", "two plus two was four", "in Paris.", "one two", "zero one two three four", None, "w1 w2 w3", "a b c d e f g"]
+    assert sorted(overlapping(items, *texts)) == [(0, 0), (2, 1), (4, 2), (7, 6)]
+
+
+def test_words_that_repeat(monkeypatch):
+    item = "buffalo " * 40
+    few = overlapping([item], "buffalo " * 500, "bison " * 500)
+    assert few and {row for row, _ in few} == {0}
+    monkeypatch.setattr(decontaminate, "HITS", 100)
+    assert overlapping([item], "buffalo " * 500, "bison " * 500) == few
