@@ -19,6 +19,7 @@ from lazaret.plans import jobs
 from lazaret.plans.presets import EVENTS
 from lazaret.sources.storage import work_folder
 from lazaret.sources.topics import Topic, append_topic
+from lazaret.streaming import monitor
 
 
 def topic_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +54,31 @@ def failure_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(times)
 
 
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same alerts from a stream, in two runs on one checkpoint: the events, then copies of early ones that come too late and a
+    message that closes the last window. With the late rows of each window."""
+    root = work_folder(spark, "stream_alerts")
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    rows.write.parquet(f"{root}/topic/part=0")
+    schema, failed = rows.schema, F.col("event_type") == "error"
+
+    def run() -> None:
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/topic")
+        query = monitor.totals_stream(stream, "ts", failed, f"{root}/totals", f"{root}/checkpoint", "6 hours", availableNow=True)
+        query.awaitTermination()
+
+    run()
+    behind = rows.filter("event_id % 50 = 0 AND ts < '2024-01-20'")
+    last = rows.agg(F.lit(None).cast("long").alias("event_id"), F.expr("max(ts) + INTERVAL 2 DAYS").alias("ts"), F.lit("view").alias("event_type"))
+    behind.unionByName(last).write.parquet(f"{root}/topic/part=1")
+    run()
+    closed = monitor.totals(spark, f"{root}/totals")
+    stored = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/topic")
+    late = monitor.late(closed, stored, "ts", failed, "6 hours")
+    found = monitor.alerts(closed, 0.25).join(late, "window_start", "left").withColumn("late", F.coalesce("late", F.lit(0).cast("long")))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm") for c in ("window_start", "window_end")})
+
+
 def publish_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a publish run reports about itself, observed while it writes."""
     topic = Topic("events", work_folder(spark, "publish_summary"))
@@ -111,6 +137,7 @@ QUERIES = {
     "depth_check": depth_check,
     "status_rollup": status_rollup,
     "failure_alerts": failure_alerts,
+    "stream_alerts": stream_alerts,
     "publish_summary": publish_summary,
     "log_daily": log_daily,
     "log_documents": log_documents,
@@ -136,6 +163,16 @@ WITH counted AS (
 SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_start,
   strftime(w + INTERVAL 6 HOURS, '%Y-%m-%d %H:%M') AS window_end,
   messages, failures, failures / messages AS ratio
+FROM counted WHERE failures > messages * 0.25""",
+    "stream_alerts": """
+WITH counted AS (
+  SELECT time_bucket(INTERVAL 6 HOURS, ts) AS w, count(*) AS messages,
+    count(*) FILTER (WHERE event_type = 'error') AS failures,
+    count(*) FILTER (WHERE event_id % 50 = 0 AND ts < TIMESTAMP '2024-01-20') AS late
+  FROM events GROUP BY 1)
+SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_start,
+  strftime(w + INTERVAL 6 HOURS, '%Y-%m-%d %H:%M') AS window_end,
+  messages, failures, failures / messages AS ratio, late
 FROM counted WHERE failures > messages * 0.25""",
     "publish_summary": f"""
 WITH {event_ctes()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from lazaret.streaming.streams import (
     Separate,
     drain,
     processed_contract,
+    progress,
     validate_stream,
 )
 
@@ -200,6 +203,32 @@ def unique_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages sent twice, in one batch, over batches and over a restart: how often each was processed or failed."""
+    root = work_folder(spark, "stream_dedupe")
+    hub = Hub(root, "events")
+    p = Pipeline.of(EVENTS, hub, f"{root}/checkpoints", dedupe="1 hour")
+    rows = events(spark, sf_dir)
+    for part in ("event_id % 2 = 0", "event_id % 3 = 0 OR event_id % 2 = 1"):
+        sent = rows.filter(part)
+        jobs.publish(sent.union(sent.filter("event_id % 7 = 0")), EVENTS, hub.published(), rate=_RATE, **event_place())
+        drain(spark, p)
+    ends = _ends(hub.table(spark, "processed", p.schema), hub.table(spark, "failed", p.schema))
+    return ends.groupBy("message_id").agg(F.count(F.lit(1)).alias("times"), F.max("outcome").alias("outcome"))
+
+
+def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the micro-batches of a loop noted while they ran, over a restart: the rows of each route in all, and whether a batch was noted twice."""
+    p = _hub(spark, sf_dir, "run_progress")
+    p = replace(p, progress=f"{p.sinks.root}/progress")
+    validate_stream(spark, p, availableNow=True).awaitTermination()
+    drain(spark, p)
+    rows = progress(spark, p.progress)
+    once = rows.groupBy("stage", "run", "batch").count().filter("count > 1").count() == 0
+    routes = rows.select("stage", F.explode("counts").alias("route", "n")).groupBy("stage", "route").agg(F.sum("n").alias("n"))
+    return routes.withColumn("once", F.lit(once))
+
+
 def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of every message at the end of the loop."""
     p = _hub(spark, sf_dir, "stream_repaired")
@@ -221,6 +250,8 @@ QUERIES = {
     "publish_csv": publish_csv,
     "stream_compacted": stream_compacted,
     "unique_index": unique_index,
+    "stream_dedupe": stream_dedupe,
+    "run_progress": run_progress,
 }
 
 _FIXED = {"user_id": "coalesce(user_id, 1)", "value": "abs(value)"}
@@ -244,6 +275,12 @@ SELECT message_id,
   CASE WHEN NOT ok AND NOT ok_fixed THEN 'Max retries exceeded' END AS error
 FROM judged"""
 
+_TIMES = f"""
+WITH {_JUDGED}
+SELECT message_id, CAST(1 AS BIGINT) AS times,
+  CASE WHEN ok THEN 'processed' WHEN ok_fixed THEN 'repaired' ELSE 'failed' END AS outcome
+FROM judged"""
+
 ORACLES = {
     "stream_validate": f"""
 WITH {_JUDGED}
@@ -264,11 +301,7 @@ ends AS (
     WHEN coalesce({_FIXED_RULES}, false) THEN 'repaired' ELSE 'failed' END AS outcome
   FROM damaged)
 SELECT outcome, count(*) AS messages FROM ends GROUP BY outcome""",
-    "stream_restart": f"""
-WITH {_JUDGED}
-SELECT message_id, CAST(1 AS BIGINT) AS times,
-  CASE WHEN ok THEN 'processed' WHEN ok_fixed THEN 'repaired' ELSE 'failed' END AS outcome
-FROM judged""",
+    "stream_restart": _TIMES,
     "record_quarantine": f"""
 WITH {_JUDGED}
 SELECT message_id, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS msg_offset,
@@ -284,6 +317,16 @@ SELECT event_id, ts, user_id, event_type, value,
   CASE WHEN props = 'invalid_value' THEN props ELSE 'say "hi",' || chr(10) || props END AS props, 0 AS retry_count
 FROM damaged""",
     "stream_compacted": _LOOP,
+    "stream_dedupe": _TIMES,
+    "run_progress": f"""
+WITH {_JUDGED},
+n AS (
+  SELECT count(*) FILTER (WHERE ok) AS good, count(*) FILTER (WHERE NOT ok AND ok_fixed) AS fixed,
+    count(*) FILTER (WHERE NOT ok AND NOT ok_fixed) AS bad FROM judged)
+SELECT 'validate' AS stage, 'processed' AS route, good + fixed AS n, true AS once FROM n
+UNION ALL SELECT 'validate', 'dlq', fixed + 3 * bad, true FROM n
+UNION ALL SELECT 'repair', 'retry', fixed + 2 * bad, true FROM n
+UNION ALL SELECT 'repair', 'failed', bad, true FROM n""",
     "unique_index": f"""
 WITH {_JUDGED}
 SELECT message_id, CAST(1 AS BIGINT) AS times, place FROM judged, (VALUES ('hub'), ('table')) p(place)""",

@@ -55,19 +55,22 @@ def alerts(
     at_least: int = 1,
 ) -> DataFrame:
     """Time windows in which the share of failed messages is above the threshold."""
-    totals = (
-        df.groupBy(F.window(time, width))
-        .agg(F.count(F.lit(1)).alias("messages"), F.count_if(failed).alias("failures"))
-        .filter(F.col("messages") >= at_least)
+    return above(window_totals(df, time, failed, width), threshold, at_least)
+
+
+def window_totals(df: DataFrame, time: str, failed: Column, width: str = "1 hour") -> DataFrame:
+    """(window_start, window_end, messages, failures) of each time window, of a table or of a stream with a watermark."""
+    totals = df.groupBy(F.window(time, width)).agg(F.count(F.lit(1)).alias("messages"), F.count_if(failed).alias("failures"))
+    return totals.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "messages", "failures")
+
+
+def above(totals: DataFrame, threshold: float, at_least: int = 1) -> DataFrame:
+    """The windows with a share of failures above the threshold, with the ``ratio``."""
+    return (
+        totals.filter(F.col("messages") >= at_least)
         # compared as integers times the threshold, so no rounded ratio decides
         .filter(F.col("failures") > F.col("messages") * F.lit(threshold))
-    )
-    return totals.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "messages",
-        "failures",
-        (F.col("failures") / F.col("messages")).alias("ratio"),
+        .withColumn("ratio", F.col("failures") / F.col("messages"))
     )
 
 

@@ -18,6 +18,9 @@ earlier one for its own.
 
 from __future__ import annotations
 
+import contextlib
+import json
+import time
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -85,6 +88,11 @@ class Hub:
         routes = ("processed", "dlq") if stage == "validate" else ("retry", "failed")
         return fan_out(df, f"{self.root}/{stage}", batch_id, routes)
 
+    def counted(self, spark: SparkSession, stage: str, batch_id: int | str) -> dict[str, int]:
+        """The rows per route of a batch that is there."""
+        found = spark.read.schema("route string").parquet(f"{self.root}/{stage}/batch={batch_id}")
+        return {r["route"]: r["count"] for r in found.groupBy("route").count().collect()}
+
     def table(self, spark: SparkSession, route: str, schema: T.StructType) -> DataFrame:
         """The processed or the failed rows: envelope, retry history and the fields as ``data``."""
         stage = "validate" if route == "processed" else "repair"
@@ -143,7 +151,12 @@ class Separate:
 @dataclass(frozen=True)
 class Pipeline:
     """What both streams share. ``mode``, ``null_verdict`` and ``null_count`` are described in
-    ``functions.codec``, ``functions.rules`` and ``operators.routing``."""
+    ``functions.codec``, ``functions.rules`` and ``operators.routing``.
+
+    ``progress`` names a folder that gets a row per micro-batch (``progress``). ``dedupe`` is a time, such as ``1 hour``: a message that
+    comes again on the same visit within that time of processing is left out, over batches and restarts. Its state holds
+    the identities of that time, spread by identity; ``logged.LogHub`` keeps them for good instead.
+    """
 
     schema: T.StructType
     rules: Sequence[Rule]
@@ -155,6 +168,8 @@ class Pipeline:
     null_verdict: str = "quarantine"
     null_count: str = "zero"
     starting: str = "earliest"
+    progress: str | None = None
+    dedupe: str | None = None
 
     @classmethod
     def of(cls, preset: Preset, sinks: Hub | Separate, checkpoint: str, **options: Any) -> Pipeline:
@@ -204,7 +219,12 @@ def _outgoing(df: DataFrame, p: Pipeline) -> DataFrame:
 
 def validating(spark: SparkSession, p: Pipeline) -> DataFrame:
     """The source topic as a stream of routed rows."""
-    return validated(topic_stream(spark, p.sinks.source(), p.starting), p)
+    rows = validated(topic_stream(spark, p.sinks.source(), p.starting), p)
+    if p.dedupe is None:
+        return rows
+    # The time of processing, as a message that is sent back keeps its first time and would count as late.
+    arrived = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", p.dedupe)
+    return arrived.dropDuplicatesWithinWatermark(["message_id", "retry_count"]).drop("_arrived")
 
 
 def retrying(spark: SparkSession, p: Pipeline) -> DataFrame:
@@ -225,7 +245,10 @@ def _start(
     def emit(batch: DataFrame, batch_id: int) -> None:
         if not run:
             run.append(_checkpoint_id(batch.sparkSession, checkpoint))
-        counts = p.sinks.emit(stage, batch, f"{run[0]}-{batch_id}")
+        name, start = f"{run[0]}-{batch_id}", time.monotonic()
+        counts = p.sinks.emit(stage, batch, name)
+        if p.progress is not None:
+            _note(batch.sparkSession, p, stage, run[0], batch_id, counts, time.monotonic() - start)
         if totals is not None:
             totals.update({"repeated": 1} if counts is None else counts)
 
@@ -233,6 +256,26 @@ def _start(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+PROGRESS = "stage string, run string, batch long, counts map<string, long>, seconds double, repeated boolean"
+
+
+def _note(spark: SparkSession, p: Pipeline, stage: str, run: str, batch: int, counts: dict[str, int] | None, seconds: float) -> None:
+    """Keep what a micro-batch did, once. A batch that was there, from a run that broke off before it was noted, is counted where it lies."""
+    repeated = counts is None
+    if repeated:
+        counts = p.sinks.counted(spark, stage, f"{run}-{batch}")
+    row = {"stage": stage, "run": run, "batch": batch, "counts": counts, "seconds": seconds, "repeated": repeated}
+    with contextlib.suppress(FileExistsError):
+        storage.put_text(spark, f"{p.progress}/{stage}-{run}-{batch}.json", json.dumps(row))
+
+
+def progress(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per micro-batch so far: stage, run, batch, counts by route, seconds, and whether it was counted afterwards."""
+    if not storage.has_match(spark, f"{folder}/*.json"):
+        return spark.createDataFrame([], PROGRESS)
+    return spark.read.schema(PROGRESS).json(f"{folder}/*.json")
+
+
 def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """The identity Spark gives a checkpoint when it is first used; it stays over restarts."""
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
