@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lazaret.catalog.inputs import (
     RATE,
@@ -17,6 +18,7 @@ from lazaret.operators import events as log
 from lazaret.operators import metrics
 from lazaret.plans import jobs
 from lazaret.plans.presets import EVENTS
+from lazaret.sources.commits import CommitLog
 from lazaret.sources.storage import work_folder
 from lazaret.sources.topics import Topic, append_topic
 from lazaret.streaming import monitor
@@ -54,6 +56,22 @@ def failure_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(times)
 
 
+def status_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts by type kept up by batches, one of them of late rows and one repeated, the log folded in between; and whether
+    the sketch is near the number of different events."""
+    log = CommitLog(work_folder(spark, "status_incremental"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    late = "event_id % 10 = 0"
+    parts = {"a": f"NOT {late} AND ts < '2024-01-15'", "b": f"NOT {late} AND ts >= '2024-01-15'", "late": late}
+    schema = T.StructType([T.StructField("event_type", T.StringType()), T.StructField("bucket", T.TimestampType())])
+    for batch in ("a", "b", "a", "late"):
+        metrics.append_status(rows.filter(parts[batch]), log, batch, ("event_type",), "ts", key="event_id")
+        log.compact(spark, {"status": T.StructType([*schema.fields, *metrics.PARTIAL.fields])})
+    found = metrics.merged_status(spark, log, schema)
+    near = F.abs(F.col("different") - F.col("messages")) <= F.col("messages") * 0.1 + 1
+    return found.select("event_type", F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), "messages", near.alias("near"))
+
+
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same alerts from a stream, in two runs on one checkpoint: the events, then copies of early ones that come too late and a
     message that closes the last window. With the late rows of each window."""
@@ -138,6 +156,7 @@ QUERIES = {
     "status_rollup": status_rollup,
     "failure_alerts": failure_alerts,
     "stream_alerts": stream_alerts,
+    "status_incremental": status_incremental,
     "publish_summary": publish_summary,
     "log_daily": log_daily,
     "log_documents": log_documents,
@@ -164,6 +183,9 @@ SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_start,
   strftime(w + INTERVAL 6 HOURS, '%Y-%m-%d %H:%M') AS window_end,
   messages, failures, failures / messages AS ratio
 FROM counted WHERE failures > messages * 0.25""",
+    "status_incremental": """
+SELECT event_type, strftime(ts, '%Y-%m-%d') AS bucket, count(*) AS messages, true AS near
+FROM events GROUP BY 1, 2""",
     "stream_alerts": """
 WITH counted AS (
   SELECT time_bucket(INTERVAL 6 HOURS, ts) AS w, count(*) AS messages,

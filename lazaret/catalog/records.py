@@ -12,6 +12,7 @@ from lazaret.functions.cleaning import Policy
 from lazaret.functions.codec import decode, encode
 from lazaret.operators import faults
 from lazaret.operators.repair import overlay, repair
+from lazaret.operators.repair import overlay_as_of as repair_overlay_as_of
 from lazaret.operators.routing import broken, broken_names
 from lazaret.plans.loop import resolve
 from lazaret.plans.presets import CUSTOMER, EVENTS, LINEITEM
@@ -201,6 +202,15 @@ def manual_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corrected.withColumnRenamed("message_id", "o_orderkey")
 
 
+def overlay_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors corrected by hand with versioned fixes: for each event the last purchase of its user up to then, a third of the users one hot key."""
+    user = F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    rows = table(spark, sf_dir, "events").select("event_id", user.alias("message_id"), F.col("ts").cast("timestamp").alias("timestamp"), "event_type", "value")
+    fixes = rows.filter("event_type = 'purchase'").select("message_id", F.col("timestamp").alias("valid_from"), "value")
+    found = repair_overlay_as_of(rows.filter("event_type = 'error'"), fixes, ["value"])
+    return found.select("event_id", "message_id", "value", "corrected")
+
+
 QUERIES = {
     "json_round_trip": json_round_trip,
     "json_props": json_props,
@@ -216,6 +226,7 @@ QUERIES = {
     "repair_long_ids": repair_long_ids,
     "abs_repair": abs_repair,
     "manual_overlay": manual_overlay,
+    "overlay_as_of": overlay_as_of,
 }
 
 _HALF_TYPED = (
@@ -240,6 +251,13 @@ priced AS (
   FROM grouped)"""
 
 ORACLES = {
+    "overlay_as_of": """
+WITH rows AS (
+  SELECT event_id, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS message_id, ts, event_type, value FROM events),
+fixes AS (SELECT message_id, ts, max(value) AS fixed FROM rows WHERE event_type = 'purchase' GROUP BY message_id, ts)
+SELECT event_id, r.message_id, coalesce(fixed, value) AS value, f.ts IS NOT NULL AS corrected
+FROM (SELECT * FROM rows WHERE event_type = 'error') r
+ASOF LEFT JOIN fixes f ON r.message_id = f.message_id AND r.ts >= f.ts""",
     "repair_long_ids": """
 SELECT event_id, user_id + 9007199254740993 AS user_id,
   CASE WHEN event_id % 2 = 0 OR event_id % 3 = 0 THEN abs(value) ELSE value END AS value

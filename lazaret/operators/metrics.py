@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lazaret.functions.once import with_columns_once
 from lazaret.functions.rules import Rule, place
 from lazaret.operators.routing import DECODE, broken, columns_of
+from lazaret.sources.commits import CommitLog
 
 
 def depth(df: DataFrame, count: str = "offsets") -> DataFrame:
@@ -46,6 +48,35 @@ def status(df: DataFrame, by: Sequence[str] = ("topic", "status"), time: str | N
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("messages"))
 
 
+PARTIAL = T.StructType([T.StructField("messages", T.LongType()), T.StructField("sketch", T.BinaryType())])
+
+
+def append_status(
+    df: DataFrame, log: CommitLog, batch: str, by: Sequence[str] = ("topic", "status"), time: str | None = None, unit: str = "day", key: str = "message_id"
+) -> bool:
+    """Add a batch's counts to a status kept by batch; False if that batch is there already.
+
+    What is kept of a batch is one row per group: the messages and a sketch of their different keys. Late rows are rows as any, in whichever batch.
+    """
+    partial = status_partials(df, by, time, unit, key).withColumn("route", F.lit("status"))
+    return log.append(partial, ["status"], batch) is not None
+
+
+def status_partials(df: DataFrame, by: Sequence[str], time: str | None, unit: str, key: str) -> DataFrame:
+    keys: list[Column] = [F.col(c) for c in by]
+    if time is not None:
+        keys.append(F.date_trunc(unit, F.col(time)).alias("bucket"))
+    sketch = F.hll_sketch_agg(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("messages"), sketch.alias("sketch"))
+
+
+def merged_status(spark: SparkSession, log: CommitLog, schema: T.StructType) -> DataFrame:
+    """The status of all batches: messages, and about how many different keys; ``schema`` has the group columns. The messages are not read again."""
+    rows = log.read(spark, T.StructType([*schema.fields, *PARTIAL.fields]), "status", log.state(spark).commits)
+    merged = rows.groupBy(*schema.fieldNames()).agg(F.sum("messages").alias("messages"), F.hll_union_agg("sketch").alias("_sketch"))
+    return merged.withColumn("different", F.hll_sketch_estimate("_sketch")).drop("_sketch")
+
+
 def alerts(
     df: DataFrame,
     time: str,

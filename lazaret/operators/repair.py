@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lazaret.functions.cleaning import INTEGERS, Policy, clean_number, number_text
 from lazaret.functions.once import with_columns_once
+from lazaret.sources import storage
 
 
 def with_repairs(
@@ -94,3 +95,46 @@ def overlay(
     joined = df.join(one_fix, key, "left")
     replaced = {c: F.coalesce(F.col("_fix")[c], F.col(c)) for c in columns}
     return joined.withColumns(replaced | {"corrected": F.col("_fix").isNotNull()}).drop("_fix")
+
+
+def overlay_as_of(
+    df: DataFrame,
+    fixes: DataFrame,
+    columns: Sequence[str],
+    key: str = "message_id",
+    at: str = "timestamp",
+    valid_from: str = "valid_from",
+) -> DataFrame:
+    """Manual correction by versioned fixes: replace ``columns`` by the values of the last fix of the row's key that was valid
+    at the row's time.
+
+    A NULL in a fix leaves the value alone; of fixes of one key and time the greatest by ``columns`` counts. Rows without a key or a time
+    stay as they are. Adds ``corrected``. Rows and fixes are put in order together by ranges of key and time, so a key with very many rows or
+    versions is spread over tasks; only the last fix of a key in each range is handed on to the ranges behind it.
+    """
+    spark = df.sparkSession
+    fix = F.struct(*(F.col(c).cast(df.schema[c].dataType).alias(c) for c in columns))
+    rows = df.select(F.col(key).alias("_key"), F.col(at).cast("timestamp").alias("_at"), F.lit(None).cast(_struct_of(df, columns)).alias("_fix"), F.struct(*df.columns).alias("_row"))
+    known = fixes.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
+    known = known.groupBy(F.col(key).alias("_key"), F.col(valid_from).cast("timestamp").alias("_at")).agg(F.max(fix).alias("_fix"))
+    both = known.withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)).select(*rows.columns).union(rows)
+    # A fix comes before the rows of its time.
+    order = ["_key", "_at", F.col("_row").isNotNull()]
+    path = storage.work_folder(spark, "as-of")
+    placed = both.withColumn("_salt", F.monotonically_increasing_id()).repartitionByRange(*order, "_salt").withColumn("_part", F.spark_partition_id())
+    placed.drop("_salt").write.parquet(path)
+    placed = spark.read.schema(T.StructType([*both.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(path)
+    earlier = W.partitionBy("_key").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    held = placed.groupBy("_key", "_part").agg(F.max(F.when(F.col("_fix").isNotNull(), F.struct("_at", "_fix"))).alias("_last"))
+    handed = held.select(F.col("_key").alias("_k"), F.col("_part").alias("_p"), F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    here = W.partitionBy("_part", "_key").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    seen = placed.withColumn("_now", F.last("_fix", ignorenulls=True).over(here)).filter("_row IS NOT NULL")
+    joined = seen.join(handed, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_part") == F.col("_p")), "left")
+    found = F.when(F.col("_key").isNotNull() & F.col("_at").isNotNull(), F.coalesce("_now", F.col("_before._fix")))
+    out = joined.select(F.col("_row"), found.alias("_fix"))
+    value = {c: F.coalesce(F.col("_fix")[c], F.col("_row")[c]) for c in columns}
+    return out.select(*(value.get(c, F.col("_row")[c]).alias(c) for c in df.columns), F.col("_fix").isNotNull().alias("corrected"))
+
+
+def _struct_of(df: DataFrame, columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])

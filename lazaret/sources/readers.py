@@ -38,7 +38,7 @@ def read_csv(
     Without a schema the types are inferred, which reads the data once more (``sampling`` of it).
     With one, its fields are found by name, whatever their order in the header, which alone is read ahead; those the
     header lacks are not in the frame, and further columns of the file are left out. Several paths read together
-    have one header; another one is an error. ``limit`` keeps the first rows in no particular order.
+    have one header; another one is an error. ``limit`` keeps so many rows, in no particular order (``head``).
     """
     given = RFC_4180 | dict(options or {})
     reader = spark.read.options(**given)
@@ -56,7 +56,39 @@ def read_csv(
         if sampling is not None:
             reader = reader.option("samplingRatio", sampling)
         df = reader.csv(paths)
-    return df if limit is None else df.limit(limit)
+    return df if limit is None else head(df, limit)
+
+
+def head(df: DataFrame, n: int) -> DataFrame:
+    """``n`` rows of a scan of files, all if there are fewer, without bringing them into one task.
+
+    Each task counts at most ``n`` of its rows; the driver turns these numbers, one per task, into a quota for each, and the tasks then
+    hand on as many. Tasks stop reading at their quota. The frame has to cut into the same tasks both times, as scans do.
+    """
+    from pyspark import TaskContext
+
+    def count(batches):
+        held = 0
+        for batch in batches:
+            held = min(held + batch.num_rows, n)
+            if held == n:
+                break
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([held], pa.int64())], names=["part", "held"])
+
+    quotas, left = {}, n
+    for r in sorted(df.select(F.lit(1).alias("one")).mapInArrow(count, "part int, held long").collect()):
+        quotas[r["part"]] = min(r["held"], left)
+        left -= quotas[r["part"]]
+
+    def take(batches):
+        quota = quotas.get(TaskContext.get().partitionId(), 0)
+        for batch in batches:
+            if not quota:
+                break
+            yield batch.slice(0, quota)
+            quota -= min(quota, batch.num_rows)
+
+    return df.mapInArrow(take, df.schema)
 
 
 def read_many(
