@@ -142,9 +142,9 @@ def test_decontamination(spark, docs, nothing):
     texts = spark.createDataFrame([(i, t, "s", 0, "") for i, t in rows], DOCS)
     benchmark = spark.createDataFrame(bench, "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(texts, benchmark).collect()}
-    assert set(found) == {(1, 1), (2, 1), (4, 4)}
+    assert set(found) == {(1, 1), (2, 1), (4, 4), (6, 3)}  # an item of two words is found as a whole
     assert (found[1, 1]["start"], found[1, 1]["n_matches"]) == (1, 40) and found[2, 1]["start"] in (30, 31)
-    assert sorted(r["doc_id"] for r in decontaminate.clean(texts, benchmark).collect()) == [3, 5, 6]
+    assert sorted(r["doc_id"] for r in decontaminate.clean(texts, benchmark).collect()) == [3, 5]
     assert decontaminate.contaminated(nothing, benchmark).count() == 0
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == docs.count()
 
