@@ -23,8 +23,8 @@ from lazaret.operators.routing import fan_out, triage
 from lazaret.operators.unions import union_all
 from lazaret.plans import jobs
 from lazaret.plans.presets import LINEITEM
-from lazaret.sources.readers import discover, land_raw, read_csv
-from lazaret.sources.storage import work_folder
+from lazaret.sources.readers import discover, land_changed, land_raw, read_csv
+from lazaret.sources.storage import files_below, work_folder
 from lazaret.sources.tables import Table, append_table, rejects, scan
 from lazaret.sources.topics import Topic, topic_table
 
@@ -74,6 +74,49 @@ def batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_load_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many CSV files of three headers, given one by one and without a schema, loaded into one dataset; keys fit an integer in some files only."""
+    root = work_folder(spark, "batch_load_many")
+    even, odd = _order_halves(spark, sf_dir)
+    big = even.withColumn("o_orderkey", F.col("o_orderkey") + F.lit(2**40)).filter("o_custkey % 2 = 0").drop("o_orderpriority")
+    for i, part in enumerate((even, odd, big)):
+        part.repartition(10).write.options(header=True, escape='"').csv(f"{root}/in{i}")
+    paths = [path for path, _ in files_below(spark, root) if path.endswith(".csv")]
+    loaded = jobs.batch_load(spark, paths, f"{root}/orders", allow_missing=True)
+    return loaded.select(*_ORDER_COLUMNS).withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
+
+
+def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files landed, one of the two datasets written anew, and landed again: what each run copied, and the orders that are landed then."""
+    root = work_folder(spark, "land_changed")
+    halves = _order_halves(spark, sf_dir)
+    for i, half in enumerate(halves):
+        half.write.parquet(f"{root}/in/{i}.parquet")
+    runs = [land_changed(spark, f"{root}/in", root)]
+    halves[1].filter("o_orderstatus = 'O'").write.mode("overwrite").parquet(f"{root}/in/1.parquet")
+    runs.append(land_changed(spark, f"{root}/in", root))
+    runs.append(land_changed(spark, f"{root}/in", root))
+    dataset = F.regexp_extract("path", r"/([01])\.parquet/", 1)
+    copied = [r.filter("copied").select(F.lit(i).alias("run"), dataset.alias("dataset")).distinct() for i, r in enumerate(runs)]
+    landed = spark.read.parquet(f"{root}/raw/0.parquet").agg(F.count("o_orderkey").alias("n"))
+    return union_all(copied).crossJoin(landed)
+
+
+def backup_in_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table backed up in a chain of three links while it grows, and restored as of each of them: its rows by link."""
+    root = work_folder(spark, "backup_chain")
+    target = Table(DLQ, f"{root}/table", partition_by=("topic", "status"))
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("message_id"), F.lit("events").alias("topic"), F.lit(0).alias("partition"),
+        F.col("event_id").alias("msg_offset"), F.col("ts").cast("timestamp").alias("timestamp"), F.col("props").alias("payload"),
+    )
+    for k in range(3):
+        append_table(rows.filter(F.col("msg_offset") % 3 <= k), target, k)
+        jobs.backup_chain(spark, target, root, f"link{k}")
+    restored = [jobs.restore_chain(spark, target, root, f"link{k}").select(F.lit(k).alias("link"), "message_id", "payload", "status") for k in range(3)]
+    return union_all(restored)
+
+
 def csv_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A bounded scan of typed CSV: the number of rows it gives."""
     root = work_folder(spark, "csv_head")
@@ -315,6 +358,9 @@ QUERIES = {
     "csv_head": csv_head,
     "csv_head_rows": csv_head_rows,
     "csv_by_name": csv_by_name,
+    "batch_load_many": batch_load_many,
+    "land_changed": land_twice,
+    "backup_chain": backup_in_links,
     "csv_quoted": csv_quoted,
     "raw_landing": raw_landing,
     "file_listing": file_listing,
@@ -374,6 +420,17 @@ SELECT least(700, count(*)) AS n, least(700, count(*)) AS typed, least(700, coun
 FROM events""",
     "csv_head_rows": "SELECT least(700, count(*)) AS n FROM events",
     "csv_by_name": _ORDERS,
+    "batch_load_many": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+UNION ALL
+SELECT o_orderkey + 1099511627776, o_custkey, o_orderstatus, o_totalprice, NULL
+FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey % 2 = 0""",
+    "land_changed": """
+SELECT run, dataset, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS n
+FROM (VALUES (0, '0'), (0, '1'), (1, '1')) r(run, dataset)""",
+    "backup_chain": """
+SELECT CAST(link AS INTEGER) AS link, CAST(event_id AS VARCHAR) AS message_id, props AS payload, 'PENDING' AS status
+FROM events, range(3) l(link) WHERE event_id % 3 <= link""",
     "csv_quoted": """
 SELECT types, o_orderkey, 'say "' || o_orderpriority || '", ok' || chr(10) || o_orderstatus AS remark, o_totalprice
 FROM orders, (VALUES ('inferred'), ('declared')) t(types)""",

@@ -17,7 +17,9 @@ from lazaret.functions.identity import message_id
 from lazaret.operators import events, faults, metrics
 from lazaret.operators.unions import union_all
 from lazaret.plans.presets import Preset
-from lazaret.sources.readers import read_csv, read_many
+from lazaret.sources import storage
+from lazaret.sources.commits import PLACE, CommitLog
+from lazaret.sources.readers import read_csv, read_grouped
 from lazaret.sources.tables import Table, append_table, scan, snapshot, write_dataset
 from lazaret.sources.topics import Topic, append_topic, topic_table
 from lazaret.streaming.streams import Pipeline, retry_stream
@@ -36,9 +38,10 @@ def batch_load(
 ) -> DataFrame:
     """Read CSV files, unite them by column name, replace the Parquet dataset; returns it.
 
-    No shuffle. Giving the schema spares the pass that infers types; ``csv`` are options of the reader.
+    Files with the same header are read together, so any number of files makes few reads. No shuffle of rows. Giving the schema
+    spares the pass that infers types; ``csv`` are options of the reader.
     """
-    write_dataset(union_all(read_many(spark, paths, schema, csv), allow_missing), target)
+    write_dataset(union_all(read_grouped(spark, paths, schema, csv), allow_missing), target)
     return spark.read.parquet(target)
 
 
@@ -190,6 +193,38 @@ def backup(spark: SparkSession, table: Table, root: str, name: str | None = None
     return snapshot(scan(spark, table), f"{root}/dlq_backups", name)
 
 
+def backup_chain(spark: SparkSession, table: Table, root: str, name: str) -> dict[str, int] | None:
+    """Back up what a folder table got since the last link of the chain below ``root``, the first time all of it; None if ``name`` is a link already.
+
+    A link is a commit of a log, named and whole; it holds the rows of the batches that no link before it has.
+    """
+    log = CommitLog(f"{root}/dlq_chain")
+    state = log.state(spark)
+    if state.has(name):
+        return None
+    held = {b for c in state.commits for b in c.batches}
+    batches = [n for n in sorted(storage.names(spark, table.path)) if n.startswith("batch=") and n not in held]
+    schema = table.contract.schema
+    rows = spark.createDataFrame([], schema)
+    if batches:
+        rows = spark.read.schema(schema).option("basePath", table.path).parquet(*(f"{table.path}/{n}" for n in batches)).select(*schema.fieldNames())
+    folder, counts = log.write(rows.withColumn("route", F.lit("rows")), ["rows"])
+    log.commit(spark, state, folder, counts, (name, *batches))
+    return counts
+
+
+def restore_chain(spark: SparkSession, table: Table, root: str, name: str | None = None) -> DataFrame:
+    """The table's rows as of a link of its chain, by default the last."""
+    log = CommitLog(f"{root}/dlq_chain")
+    commits = log.state(spark).commits
+    if name is not None:
+        at = next((i for i, c in enumerate(commits) if name in c.batches), None)
+        if at is None:
+            raise ValueError(f"no link {name} below {root}")
+        commits = commits[: at + 1]
+    return log.read(spark, table.contract.schema, "rows", commits).drop(PLACE)
+
+
 def dlq_table(path: str) -> Table:
     """The DLQ table as files, laid out by the columns it is looked up by."""
     return Table(DLQ, path, partition_by=("topic", "status"))

@@ -107,7 +107,7 @@ class CommitLog:
         if batch is not None and state.has(batch):
             return None
         folder, counts = self.write(rows, routes)
-        self.commit(spark, state, folder, counts, batch, consumed)
+        self.commit(spark, state, folder, counts, () if batch is None else batch, consumed)
         return counts
 
     def write(self, rows: DataFrame, routes: Sequence[str]) -> tuple[str, dict[str, int]]:
@@ -119,13 +119,12 @@ class CommitLog:
         return folder, {r: seen.get[r] for r in routes}
 
     def commit(
-        self, spark: SparkSession, state: State, folder: str, rows: Mapping[str, int], batch: str | None = None, consumed: Mapping[str, int] | None = None
+        self, spark: SparkSession, state: State, folder: str, rows: Mapping[str, int], batch: str | tuple[str, ...] = (), consumed: Mapping[str, int] | None = None
     ) -> Commit:
-        """Make a written folder the next place of the log."""
+        """Make a written folder the next place of the log, under one or more batch names or none."""
         place = state.last + 1
-        made = Commit(
-            place, place, self._files(spark, folder), dict(rows), (batch,) if batch is not None else (), state.consumed | dict(consumed or {})
-        )
+        named = (batch,) if isinstance(batch, str) else tuple(batch)
+        made = Commit(place, place, self._files(spark, folder), dict(rows), named, state.consumed | dict(consumed or {}))
         storage.put_text(spark, f"{self.folder}/{place:020d}.json", _text([made]))
         return made
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
+import csv
+import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lazaret.sources import storage
+from lazaret.sources.commits import PLACE, CommitLog
 
 # The file formats that are found and landed.
 FORMATS = ("csv", "parquet")
@@ -101,6 +103,56 @@ def read_many(
     return [read_csv(spark, path, schema, options=options) for path in paths]
 
 
+def headers(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Files by their header row, from one job over all of them; the driver gets a line per file.
+
+    A header is the first line of a file, so names may be quoted but hold no line ends. Empty files are left out.
+    """
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    placed = lines.filter("start = 0").withColumn("place", F.monotonically_increasing_id())
+    first = placed.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(first.collect()):
+        out.setdefault(tuple(next(csv.reader([r["line"].removeprefix("\ufeff")], delimiter=sep), [])), []).append(unquote(r["file"]))
+    return out
+
+
+# Numbers by what they can hold, and times likewise; two that share no list are read as text.
+_WIDER = (("integer", "long", "double"), ("date", "timestamp"))
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both."""
+    if a == b:
+        return a
+    names = {a.typeName(), b.typeName()}
+    if "void" in names:
+        return b if a.typeName() == "void" else a
+    for order in _WIDER:
+        if names <= set(order):
+            return max((a, b), key=lambda t: order.index(t.typeName()))
+    return T.StringType()
+
+
+def read_grouped(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None, options: Mapping[str, str | bool] | None = None
+) -> list[DataFrame]:
+    """One frame per different header among any number of files, with types that fit all files.
+
+    Files of one header are read, and their types inferred, together; then a column has the widest of its types in any of the frames, so
+    the number of jobs goes with the headers and not with the files.
+    """
+    groups = headers(spark, paths, str((options or {}).get("sep", ",")))
+    if schema is not None:
+        return [read_csv(spark, files, schema, options=options) for files in groups.values()]
+    found = [read_csv(spark, files, options=options).schema for files in groups.values()]
+    types: dict[str, T.DataType] = {}
+    for f in (f for own in found for f in own.fields):
+        types[f.name] = wider(types.get(f.name, f.dataType), f.dataType)
+    declared = [T.StructType([T.StructField(f.name, types[f.name]) for f in own.fields]) for own in found]
+    return [read_csv(spark, files, own, options=options) for files, own in zip(groups.values(), declared, strict=True)]
+
+
 def read_table(
     spark: SparkSession,
     path: str | None = None,
@@ -154,19 +206,32 @@ def _located(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(quote(f"{SCHEMES[scheme]}:{rest}", safe=":/@"))
 
 
-def _copy_file(source: str, target: str) -> int:
-    """Copy the bytes of a file; it appears under its name when it is whole. Returns their number."""
+def _copy_file(source: str, target: str, known: str | None = None) -> tuple[int, str]:
+    """Copy the bytes of a file; it appears under its name when it is whole. Returns their number and SHA-256.
+
+    With the digest ``known`` of what is there, a file with the same bytes leaves it alone.
+    """
     here, path = _located(source)
     there, name = _located(target)
     folder = name.rsplit("/", 1)[0]
     there.create_dir(folder, recursive=True)
     part = f"{folder}/_{uuid.uuid4().hex}"
+    digest = hashlib.sha256()
+    with here.open_input_stream(path) as data:
+        if known is not None:
+            while block := data.read(1 << 20):
+                digest.update(block)
+            if digest.hexdigest() == known:
+                return there.get_file_info(name).size, known
+    digest = hashlib.sha256()
     with here.open_input_stream(path) as data, there.open_output_stream(part) as copy:
-        shutil.copyfileobj(data, copy, 1 << 20)
+        while block := data.read(1 << 20):
+            digest.update(block)
+            copy.write(block)
     if there.get_file_info(name).type != fs.FileType.NotFound:
         there.delete_file(name)
     there.move(part, name)
-    return there.get_file_info(name).size
+    return there.get_file_info(name).size, digest.hexdigest()
 
 
 def land_raw(
@@ -190,7 +255,7 @@ def land_raw(
         for batch in batches:
             sources = batch.column("path").to_pylist()
             landed = [f"{raw}/{source[len(base) :].lstrip('/')}" for source in sources]
-            sizes = [_copy_file(a, b) for a, b in zip(sources, landed, strict=True)]
+            sizes = [_copy_file(a, b)[0] for a, b in zip(sources, landed, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("path"), pa.array(landed), pa.array(sizes, pa.int64())],
                 names=["path", "landed", "length"],
@@ -199,3 +264,52 @@ def land_raw(
     schema = "path string, landed string, length long"
     discover(spark, root, formats).select("path").mapInArrow(copy, schema).write.parquet(record)
     return spark.read.schema(schema).parquet(record)
+
+
+LANDED = T.StructType([T.StructField(n, k()) for n, k in {
+    "path": T.StringType, "modified": T.TimestampType, "length": T.LongType, "digest": T.StringType, "copied": T.BooleanType}.items()])
+
+
+def manifest(spark: SparkSession, target: str) -> DataFrame:
+    """What was landed below ``target`` and how each file was when it was last looked at."""
+    log = CommitLog(f"{target}/_manifest")
+    rows = log.read(spark, LANDED, "landed", log.state(spark).commits)
+    latest = rows.groupBy("path").agg(F.max_by(F.struct("modified", "length", "digest"), PLACE).alias("r"))
+    return latest.select("path", "r.*")
+
+
+def land_changed(spark: SparkSession, root: str, target: str, formats: Sequence[str] = FORMATS) -> DataFrame:
+    """Land the files below ``root`` as ``land_raw`` does, but only those that changed since the last time; returns those that were looked at,
+    with ``copied``.
+
+    A file with the time and length of the manifest is not opened. One with another time is read, and copied if its digest is another. The
+    manifest is a commit log, so a run that broke off is simply done again; files that are gone at the root stay landed.
+    """
+    base, raw = storage.full_path(spark, root), storage.full_path(spark, f"{target}/raw")
+    for place in (base, raw):
+        if place.partition(":")[0] not in SCHEMES:
+            _located(place)
+    known = manifest(spark, target).select("path", F.col("modified").alias("_modified"), F.col("length").alias("_length"), F.col("digest").alias("_digest"))
+    listed = discover(spark, root, formats).select("path", F.col("modificationTime").alias("modified"), "length").join(known, "path", "left")
+    same = F.col("modified").eqNullSafe(F.col("_modified")) & F.col("length").eqNullSafe(F.col("_length"))
+    due = listed.filter(~same).select("path", "modified", "_digest")
+
+    def copy(batches):
+        for batch in batches:
+            done = []
+            for path, digest in zip(batch.column("path").to_pylist(), batch.column("_digest").to_pylist(), strict=True):
+                size, found = _copy_file(path, f"{raw}/{path[len(base) :].lstrip('/')}", digest)
+                done.append((size, found, found != digest))
+            sizes, digests, copied = zip(*done, strict=True) if done else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), batch.column("modified"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(copied, pa.bool_())],
+                names=LANDED.names,
+            )
+
+    log = CommitLog(f"{target}/_manifest")
+    state = log.state(spark)
+    folder, counts = log.write(due.mapInArrow(copy, LANDED).withColumn("route", F.lit("landed")), ["landed"])
+    if not counts["landed"]:
+        return spark.createDataFrame([], LANDED)
+    made = log.commit(spark, state, folder, counts)
+    return log.read(spark, LANDED, "landed", [made]).drop(PLACE)

@@ -107,3 +107,67 @@ def test_windows_are_reported_once_and_late_rows_told(spark, folder):
     stored = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{folder}/topic")
     late = {r["window_start"]: r["late"] for r in monitor.late(closed, stored, "t", F.col("bad")).collect()}
     assert late == {at(0): 2, at(60): 1}
+
+
+def test_300_files_of_three_headers_in_few_jobs(spark, folder):
+    heads = [("a,b,c", "{i},{i}.5,x"), ("c,a", "y,{big}"), ('"b" ,a', "n/a,7")]
+    paths = []
+    for i in range(300):
+        header, row = heads[i % 3]
+        paths.append(f"{folder}/f{i} x.csv")
+        with open(paths[-1], "w") as f:
+            f.write(f"{header}\n{row.format(i=i, big=2**40 + i)}\n")
+    spark.sparkContext.setJobGroup("many", "many")
+    jobs.batch_load(spark, paths, f"{folder}/out", allow_missing=True)
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("many")) <= 30  # listings included; one per file would be 300
+    loaded = spark.read.parquet(f"{folder}/out")
+    assert dict(loaded.dtypes) == {"a": "bigint", "b": "double", "c": "string", "b ": "string"}
+    assert loaded.count() == 300 and loaded.agg(F.max("a")).first()[0] == 2**40 + 298
+
+
+def test_types_that_hold_both():
+    kinds = {
+        "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "date": T.DateType(), "time": T.TimestampType(), "text": T.StringType(), "none": T.NullType(),
+    }
+    cases = {("int", "long"): "long", ("double", "int"): "double", ("date", "time"): "time", ("date", "int"): "text", ("none", "int"): "int", ("text", "none"): "text"}
+    for (a, b), c in cases.items():
+        assert readers.wider(kinds[a], kinds[b]) == readers.wider(kinds[b], kinds[a]) == kinds[c]
+
+
+def test_only_changed_files_are_copied(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/in/sub")
+    for name, text in (("a.csv", "1"), ("sub/b.csv", "2"), ("c.txt", "3")):
+        with open(f"{folder}/in/{name}", "w") as f:
+            f.write(text)
+
+    def land():
+        return {r["path"].rsplit("/", 1)[1]: r["copied"] for r in readers.land_changed(spark, f"{folder}/in", f"{folder}/out").collect()}
+
+    assert land() == {"a.csv": True, "b.csv": True} and land() == {}
+    os.utime(f"{folder}/in/a.csv", (1_000_000, 1_000_000))  # another time, the same bytes
+    with open(f"{folder}/in/sub/b.csv", "w") as f:
+        f.write("22")
+    assert land() == {"a.csv": False, "b.csv": True} and land() == {}
+    assert open(f"{folder}/out/raw/sub/b.csv").read() == "22"
+    os.remove(f"{folder}/in/a.csv")
+    assert land() == {} and os.path.exists(f"{folder}/out/raw/a.csv")
+    assert {r["path"].rsplit("/", 1)[1]: r["length"] for r in readers.manifest(spark, f"{folder}/out").collect()} == {"a.csv": 1, "b.csv": 2}
+
+
+def test_chain_of_backups(spark, folder):
+    from lazaret.contracts import Contract, schema_of
+    from lazaret.sources.tables import Table, append_table
+
+    table = Table(Contract("t", schema_of(message_id="string", n="long")), f"{folder}/t")
+    assert jobs.backup_chain(spark, table, folder, "empty") == {"rows": 0}
+    for i in range(3):
+        append_table(spark.createDataFrame([(f"{i}-{k}", k) for k in range(i + 2)], "message_id string, n long"), table, i)
+        assert jobs.backup_chain(spark, table, folder, f"link {i}") == {"rows": i + 2}
+    assert jobs.backup_chain(spark, table, folder, "link 1") is None
+    assert [jobs.restore_chain(spark, table, folder, f"link {i}").count() for i in range(3)] == [2, 5, 9]
+    assert jobs.restore_chain(spark, table, folder).count() == 9 and jobs.restore_chain(spark, table, folder, "empty").count() == 0
+    with pytest.raises(ValueError, match="no link"):
+        jobs.restore_chain(spark, table, folder, "other")
