@@ -44,21 +44,87 @@ _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""",
     re.DOTALL,
 )
+_COMMENT = re.compile(r"<!--.*\Z", re.DOTALL)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 
 
+class Place:
+    """An element of a page among its ancestors; what features and marks need of them is handed down, so deep pages cost no more."""
+
+    __slots__ = ("tag", "plain", "semantic", "named", "marks")
+
+    def __init__(self, parent: Place | None, tag: str, named: str):
+        groups = {g for w in _WORD.findall(named) for g in _GROUP.get(w, ())}
+        own = {f"named={g}" for g in groups}
+        self.tag = tag
+        self.named = bool(named) or (parent is not None and parent.named)
+        if tag:
+            self.semantic = _with(parent.semantic, own | {f"in={tag}"})
+            self.plain = _with(parent.plain, own if tag in SEMANTIC else own | {f"in={tag}"})
+            self.marks = tuple(_marked(m, state, tag, groups) for m, state in zip(MARKS, parent.marks, strict=True))
+        else:
+            self.semantic = self.plain = frozenset()
+            self.marks = (0,) * len(MARKS)
+
+
+def _with(held: frozenset[str], more: set[str]) -> frozenset[str]:
+    return held if more <= held else held | more
+
+
+# The elements that mark an article, and what inside them is never main.
+MARKS = ("article", "main")
+_NEVER = frozenset("nav aside form menu footer button select textarea label".split())
+_OTHER = frozenset("advert notice form comment side menu share".split())
+
+
+def _marked(mark: str, state: int, tag: str, groups: set[str]) -> int:
+    """0 outside of the mark, 1 inside, 2 in something inside that is never main."""
+    if state == 0:
+        return int(tag == mark)
+    return 2 if state == 1 and (tag in _NEVER or groups & _OTHER) else state
+
+
 @dataclass
 class Block:
-    path: tuple[tuple[str, str], ...]
+    place: Place
     text: str
     linked: int
 
 
+class _Open:
+    """The open elements, each with its place, and where those of each name stand."""
+
+    def __init__(self):
+        self.items: list[tuple[str, Place]] = []
+        self.at: dict[str, list[int]] = {}
+        self.root = Place(None, "", "")
+
+    @property
+    def place(self) -> Place:
+        return self.items[-1][1] if self.items else self.root
+
+    def last(self, names) -> int:
+        """Where the innermost of these names stands, -1 if none is open."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+
+    def push(self, name: str, place: Place) -> None:
+        self.at.setdefault(name, []).append(len(self.items))
+        self.items.append((name, place))
+
+    def close(self, i: int) -> int:
+        """Close the element at i and all inside it; how many of them are links."""
+        names = [name for name, _ in self.items[i:]]
+        for name in names:
+            self.at[name].pop()
+        del self.items[i:]
+        return names.count("a")
+
+
 def blocks_of(page: str | None) -> list[Block]:
-    """The leaf blocks of a page in order, those without text left out."""
+    """The leaf blocks of a page in order, those without text left out. The work goes with the length of the page, whatever is in it."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    stack = _Open()
     pieces: list[str] = []
     linked, links, in_head = 0, 0, False
 
@@ -67,15 +133,19 @@ def blocks_of(page: str | None) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                path = tuple(x for x in stack if x[0] not in INLINE)
-                out.append(Block(path, text, linked))
+                out.append(Block(stack.place, text, linked))
             pieces.clear()
         linked = 0
 
     page = page or ""
     at, end = 0, len(page)
+    # Behind the last > there are no tags, and at most the start of a comment.
+    last = page.rfind(">")
     while at < end:
-        m = _TAG.search(page, at)
+        if at <= last:
+            m = _TAG.search(page, at)
+        else:
+            m = _COMMENT.search(page, at)
         data = page[at : m.start()] if m else page[at:]
         if data and not in_head:
             pieces.append(data)
@@ -84,6 +154,8 @@ def blocks_of(page: str | None) -> list[Block]:
         if not m:
             break
         at = m.end()
+        if m.re is _COMMENT:
+            continue
         closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not name:
             continue
@@ -99,7 +171,7 @@ def blocks_of(page: str | None) -> list[Block]:
             in_head = False
         if name in SILENT:
             if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
+                close = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at) if at <= last else None
                 at = close.end() if close else end
             continue
         if name not in INLINE:
@@ -107,34 +179,27 @@ def blocks_of(page: str | None) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    links -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
-                    break
-                if stack[i][0] in SEMANTIC and name in INLINE:
-                    break
+            i = stack.last((name,))
+            if i >= 0 and not (name in INLINE and stack.last(SEMANTIC) > i):
+                links -= stack.close(i)
             continue
         if name not in INLINE:
-            if any(x[0] == "p" for x in stack[-4:]):
-                i = max(i for i, x in enumerate(stack) if x[0] == "p")
-                links -= sum(x[0] == "a" for x in stack[i:])
-                del stack[i:]
-            ends = next((own for own, by in _ENDS.items() if name in by), None)
-            if ends:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in _ENDS and name in _ENDS[stack[i][0]]:
-                        links -= sum(x[0] == "a" for x in stack[i:])
-                        del stack[i:]
-                        break
-                    if stack[i][0] in _SCOPE:
-                        break
+            i = stack.last(("p",))
+            if i >= max(len(stack.items) - 4, 0):
+                links -= stack.close(i)
+            ended = [own for own, by in _ENDS.items() if name in by]
+            if ended:
+                i = stack.last(ended)
+                if i >= 0 and stack.last(_SCOPE) < i:
+                    links -= stack.close(i)
         if attributes.endswith("/"):
             continue
-        named = "" if name in INLINE else " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).lower()
+        place = stack.place
+        if name not in INLINE:
+            place = Place(place, name, " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).lower())
         if name == "a":
             links += 1
-        stack.append((name, named))
+        stack.push(name, place)
     flush()
     return out
 
@@ -159,25 +224,10 @@ for _g, _ws in _NAMES.items():
     for _w in _ws.split():
         _GROUP.setdefault(_w, []).append(_g)
 
-_PATHS: dict[tuple, tuple[str, ...]] = {}
-
-
-def _path_features(path: tuple[tuple[str, str], ...], semantic: bool) -> tuple[str, ...]:
-    key = (path, semantic)
-    found = _PATHS.get(key)
-    if found is None:
-        out = set()
-        for tag, named in path:
-            if semantic or tag not in SEMANTIC:
-                out.add(f"in={tag}")
-            for word in _WORD.findall(named):
-                out.update(f"named={g}" for g in _GROUP.get(word, ()))
-        tag = path[-1][0] if path else ""
-        out.add(f"tag={tag}" if semantic or tag not in SEMANTIC else "tag=")
-        if len(_PATHS) > 20_000:
-            _PATHS.clear()
-        found = _PATHS[key] = tuple(sorted(out))
-    return found
+def _path_features(place: Place, semantic: bool) -> tuple[str, ...]:
+    tag = place.tag
+    held = place.semantic if semantic else place.plain
+    return tuple(sorted(held | {f"tag={tag}" if semantic or tag not in SEMANTIC else "tag="}))
 
 
 def features(block: Block, semantic: bool = True) -> list[str]:
@@ -186,7 +236,7 @@ def features(block: Block, semantic: bool = True) -> list[str]:
     size = 0 if n < 3 else 1 if n < 6 else 2 if n < 12 else 3 if n < 25 else 4 if n < 60 else 5
     share = block.linked / max(len(text), 1)
     link = 0 if share == 0 else 1 if share < 0.34 else 2 if share < 0.8 else 3
-    out = [*_path_features(block.path, semantic), "any", f"words={size}", f"links={link}", f"words={size} links={link}"]
+    out = [*_path_features(block.place, semantic), "any", f"words={size}", f"links={link}", f"words={size} links={link}"]
     out.append("ends" if text[-1] in ".!?:;\"'”»)" else "open")
     if "©" in text or "·" in text or "All rights" in text:
         out.append("rights")
@@ -294,17 +344,8 @@ def marked_labels(blocks: list[Block]) -> list[int] | None:
 
     None if the page marks no article.
     """
-    never = {"nav", "aside", "form", "menu", "footer", "button", "select", "textarea", "label"}
-    other = {"advert", "notice", "form", "comment", "side", "menu", "share"}
-    for mark in ("article", "main"):
-        labels = []
-        for b in blocks:
-            tags = [t for t, _ in b.path]
-            inside = mark in tags
-            if inside:
-                below = b.path[tags.index(mark) + 1 :]
-                inside = not any(t in never or other & {g for w in _WORD.findall(named) for g in _GROUP.get(w, ())} for t, named in below)
-            labels.append(int(inside))
+    for k in range(len(MARKS)):
+        labels = [int(b.place.marks[k] == 1) for b in blocks]
         if any(labels):
             return labels
     return None
@@ -405,8 +446,8 @@ def pattern_pages(n: int = 240, seed: int = 5) -> list[tuple[str, list[int]]]:
     return out
 
 
-def training_set(pages: list[str | None]) -> list[tuple[list[list[str]], list[int]]]:
-    """Sequences of features and labels: pattern pages and those of ``pages`` that mark their article."""
+def training_set(pages: list[str | None], sample_blocks: int = 200) -> list[tuple[list[list[str]], list[int]]]:
+    """Sequences of features and labels: pattern pages and those of ``pages`` that mark their article, the first ``sample_blocks`` blocks of each."""
     rows = []
     for page, labels in pattern_pages():
         blocks = blocks_of(page)
@@ -417,23 +458,24 @@ def training_set(pages: list[str | None]) -> list[tuple[list[list[str]], list[in
         blocks = blocks_of(page)
         labels = marked_labels(blocks)
         if labels:
-            rows.append((blocks[:200], labels[:200]))
+            rows.append((blocks[:sample_blocks], labels[:sample_blocks]))
     out = []
     for i, (blocks, labels) in enumerate(rows):
         out.append(([features(b) for b in blocks], labels))
         # Shown again without semantic elements if class words tell enough.
-        if i % 2 == 0 and any(named for b in blocks for _, named in b.path):
+        if i % 2 == 0 and any(b.place.named for b in blocks):
             out.append(([features(b, semantic=False) for b in blocks], labels))
     return out
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_rows: int = 120) -> Field:
-    """A field trained on the patterns and at most ``sample_rows`` pages, those with the smallest hash of their id."""
+def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_rows: int = 120, sample_blocks: int = 200) -> Field:
+    """A field trained on the patterns and at most ``sample_rows`` pages, those with the smallest hash of their id, and of each of these the first
+    ``sample_blocks`` blocks. Both bound training alone; pages are extracted whole."""
     pages = pages.select(id_col, html_col).filter(F.col(html_col).isNotNull() & F.col(id_col).isNotNull())
     # Ids first: pages come to the driver only for the sample, which the limit bounds.
     ids = [r[id_col] for r in sampled_ids(pages.select(id_col).distinct(), id_col, sample_rows).collect()]
     sample = pages.filter(F.col(id_col).isin(ids)).dropDuplicates([id_col]).collect()
-    return train(training_set([r[html_col] for r in sorted(sample, key=lambda r: r[id_col])]))
+    return train(training_set([r[html_col] for r in sorted(sample, key=lambda r: r[id_col])], sample_blocks))
 
 
 def main_text(page: str | None, model: Field) -> str:

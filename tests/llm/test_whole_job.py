@@ -1,13 +1,14 @@
 """Inputs on which an operator once did less than the whole job."""
 
 import random
+import time
 from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lazaret.llm import decontaminate, ngram_join, packing, sharding, warc
+from lazaret.llm import decontaminate, html_crf, ngram_join, packing, sharding, warc
 from lazaret.llm.text import NOT_ALNUM, texts_of, words_of
 from tests.llm.test_operators import prose
 
@@ -154,3 +155,30 @@ def test_words_that_repeat(monkeypatch):
     assert few and {row for row, _ in few} == {0}
     monkeypatch.setattr(decontaminate, "HITS", 100)
     assert overlapping([item], "buffalo " * 500, "bison " * 500) == few
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 350_000, "<div>x" * 100_000, "<div>" * 100_000 + "</span>" * 70_000, "<b>" * 150_000 + "<li></li>" * 60_000, '<a "' * 250_000 + ">",
+        "<a><nav>" + "<div>" * 50_000 + "</a>" * 100_000, "<!--" * 250_000, "<script>" * 120_000,
+    ],
+    ids=["open", "nested", "closed", "items", "quotes", "links", "comments", "scripts"],
+)
+def test_odd_markup_costs_no_more_than_its_length(page):
+    def seconds(text):
+        start = time.process_time()
+        for b in html_crf.blocks_of(text):
+            html_crf.features(b)
+        return time.process_time() - start
+
+    part, whole = seconds(page[: len(page) // 4]), seconds(page)
+    assert whole < 2 or whole < 8 * part  # 16 times, were it quadratic
+
+
+def test_elements_and_their_places():
+    page = "<main><div class='nav'><p>a<p>b<ul><li>c<li>d</ul></div><p>e</span><b>f</b></main>g <a href='x>y'>h</a><!-- i -->j<!-- k"
+    found = [(b.text, b.linked, b.place.tag, b.place.marks) for b in html_crf.blocks_of(page)]
+    assert found == [
+        ("a", 0, "p", (0, 2)), ("b", 0, "p", (0, 2)), ("c", 0, "li", (0, 2)), ("d", 0, "li", (0, 2)), ("ef", 0, "p", (0, 1)), ("g hj", 1, "", (0, 0)),
+    ]
