@@ -49,13 +49,15 @@ def curated(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 
 def tokens(url: Column) -> Column:
-    """The different tokens of a URL: scheme, host suffixes, path segments with their depth, ending and query names."""
+    """The different tokens of a URL: scheme, host suffixes, the host's names, path segments with their depth, ending and query names."""
     text = F.coalesce(url, F.lit(""))
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("host="), F.array_join(F.slice(labels, i, F.size(labels)), "."))
     )
+    # A name inside the host, at whatever place and under whatever domain.
+    suffixes = F.concat(suffixes, F.transform(F.filter(labels, lambda x: x != ""), lambda x: F.concat(F.lit("name="), x)))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(segments, lambda s, i: F.concat(F.lit("dir"), i.cast("string"), F.lit("="), F.regexp_replace(s, "[0-9]+", "0")))
     query = F.regexp_extract(text, r"\?([^#]*)", 1)
@@ -74,16 +76,17 @@ def mine(
     min_rows: int = 10,
     min_share: float = 0.002,
     min_confidence: float = 0.8,
-    max_tokens: int = 3,
 ) -> DataFrame:
     """(rule_id, items, confidence, n_rows): rules from URLs with a label (null labels are left out).
 
-    A rule has at most ``max_tokens`` tokens and fits ``min_rows`` labelled rows and ``min_share`` of them at least.
+    A rule fits ``min_rows`` labelled rows and ``min_share`` of them at least; it has any number of tokens. Tokens that stand in the same
+    labelled rows, such as all those of a URL that is repeated, are one item for FP-growth and come into a rule together, as sets
+    of them would be as many as there are combinations and say the same.
     """
     marked = labelled.filter(F.col(bad_col).isNotNull()).select(
         F.concat(tokens(F.col(url_col)), F.when(F.col(bad_col), F.array(F.lit(_BAD))).otherwise(F.array().cast("array<string>"))).alias("items")
     )
-    marked = cut(marked.filter(F.size("items") > 0), "url-tokens")
+    marked = cut(marked.filter(F.size("items") > 0).withColumn("row", F.monotonically_increasing_id()), "url-tokens")
     n = marked.count()
     empty = "rule_id long, items array<string>, confidence double, n_rows long"
     if n == 0:
@@ -97,12 +100,18 @@ def mine(
     n_bad = bad.count()
     if n_bad * 1.0 < support * n:
         return labelled.sparkSession.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support * n / n_bad), minConfidence=min_confidence).fit(
-        bad.select(F.filter("items", lambda x: x != _BAD).alias("items"))
-    )
-    sets = model.freqItemsets.filter(F.size("items") <= max_tokens).select(F.array_sort("items").alias("items"), F.col("freq").alias("bad_rows"))
+    single = marked.select("row", F.explode("items").alias("token")).filter(F.col("token") != _BAD)
+    alike = single.groupBy("token").agg(F.bit_xor(F.xxhash64("row")).alias("where"), F.count("*").alias("n")).filter(F.col("n") >= support * n)
+    alike = alike.groupBy("where", "n").agg(F.min("token").alias("item"), F.sort_array(F.collect_list("token")).alias("members"))
+    alike = cut(alike.select("item", "members"), "url-items")
+    held = single.join(alike.select("item"), F.col("token") == F.col("item")).join(bad.select("row"), "row").groupBy("row").agg(F.collect_set("item").alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support * n / n_bad), minConfidence=min_confidence).fit(cut(held.select("items"), "url-bad"))
+    sets = model.freqItemsets.withColumn("set", F.monotonically_increasing_id())
+    sets = cut(sets, "url-frequent")
+    whole = sets.select("set", "freq", F.explode("items").alias("item")).join(alike, "item").groupBy("set", "freq")
+    sets = whole.agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("items")).select("items", F.col("freq").alias("bad_rows"))
     sets = cut(sets.withColumn("rule_id", F.xxhash64(F.array_join("items", "\n"))), "url-sets")
-    counts = matches(marked.withColumn("row", F.monotonically_increasing_id()), "row", "items", sets).groupBy("rule_id").agg(F.count("*").alias("n_rows"))
+    counts = matches(marked, "row", "items", sets).groupBy("rule_id").agg(F.count("*").alias("n_rows"))
     rules = sets.join(counts, "rule_id").withColumn("confidence", F.col("bad_rows") / F.col("n_rows"))
     rules = rules.filter((F.col("confidence") >= min_confidence) & (F.col("n_rows") >= max(min_rows, min_share * n)))
     rules = cut(rules.select("rule_id", "items", "confidence", "n_rows"), "url-rules")
