@@ -23,6 +23,7 @@ from lazaret.operators.routing import fan_out, triage
 from lazaret.operators.unions import union_all
 from lazaret.plans import jobs
 from lazaret.plans.presets import LINEITEM
+from lazaret.sources import zones
 from lazaret.sources.readers import discover, land_changed, land_raw, read_csv
 from lazaret.sources.storage import files_below, work_folder
 from lazaret.sources.tables import Table, append_table, rejects, scan
@@ -102,6 +103,15 @@ def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(copied).crossJoin(landed)
 
 
+def lookup_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of one type in ten days, from a copy clustered by type and time."""
+    path = f"{work_folder(spark, 'lookup_by_time')}/events"
+    rows = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+    zones.cluster(rows, path, ["event_type"], "ts", files=16)
+    found = zones.lookup(spark, path, rows.schema, {"event_type": "error"}, "ts", "2024-01-10", "2024-01-20")
+    return found.select("event_id", "event_type", "value")
+
+
 def backup_in_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table backed up in a chain of three links while it grows, and restored as of each of them: its rows by link."""
     root = work_folder(spark, "backup_chain")
@@ -361,6 +371,7 @@ QUERIES = {
     "batch_load_many": batch_load_many,
     "land_changed": land_twice,
     "backup_chain": backup_in_links,
+    "lookup_by_time": lookup_by_time,
     "csv_quoted": csv_quoted,
     "raw_landing": raw_landing,
     "file_listing": file_listing,
@@ -428,6 +439,9 @@ FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey % 2 = 0""",
     "land_changed": """
 SELECT run, dataset, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS n
 FROM (VALUES (0, '0'), (0, '1'), (1, '1')) r(run, dataset)""",
+    "lookup_by_time": """
+SELECT event_id, event_type, value FROM events
+WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'""",
     "backup_chain": """
 SELECT CAST(link AS INTEGER) AS link, CAST(event_id AS VARCHAR) AS message_id, props AS payload, 'PENDING' AS status
 FROM events, range(3) l(link) WHERE event_id % 3 <= link""",
