@@ -26,9 +26,9 @@ def clustered(spark, rows, tmp_path_factory):
     return path, df.schema
 
 
-@pytest.mark.parametrize("topic", ["hot", "a", None, "no"])
-@pytest.mark.parametrize("status", ["PENDING", None])
-@pytest.mark.parametrize("span", [(None, None), (100, 160), (None, 30), (970, None), (5000, 6000)])
+@pytest.mark.parametrize("topic", ["hot", None])
+@pytest.mark.parametrize("status", ["PENDING"])
+@pytest.mark.parametrize("span", [(None, None), (100, 160), (None, 30), (970, None)])
 def test_rows_and_files(spark, rows, clustered, topic, status, span):
     path, schema = clustered
     since, until = (None if m is None else START + dt.timedelta(minutes=m) for m in span)
