@@ -66,8 +66,8 @@ def test_same_ranks_as_by_the_rules(spark, docs, items):
 
 
 def test_in_blocks_of_items_and_with_a_pilot(spark, docs, items, monkeypatch):
-    monkeypatch.setattr(search, "BLOCK_TERMS", 60)
-    monkeypatch.setattr(search, "HELD_TERMS", 200)
+    monkeypatch.setattr(search, "BLOCK_TERMS", 150)
+    monkeypatch.setattr(search, "HELD_TERMS", 250)
     monkeypatch.setattr(search, "PILOT", 4)
     monkeypatch.setattr(search, "PILOT_ROWS", 2)
     found = search.search(spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame(items, "item_id long, text string, doc_id int"), k=3)
