@@ -145,12 +145,15 @@ def read_grouped(
     groups = headers(spark, paths, str((options or {}).get("sep", ",")))
     if schema is not None:
         return [read_csv(spark, files, schema, options=options) for files in groups.values()]
-    found = [read_csv(spark, files, options=options).schema for files in groups.values()]
+    found = [read_csv(spark, files, options=options) for files in groups.values()]
     types: dict[str, T.DataType] = {}
-    for f in (f for own in found for f in own.fields):
+    for f in (f for df in found for f in df.schema.fields):
         types[f.name] = wider(types.get(f.name, f.dataType), f.dataType)
-    declared = [T.StructType([T.StructField(f.name, types[f.name]) for f in own.fields]) for own in found]
-    return [read_csv(spark, files, own, options=options) for files, own in zip(groups.values(), declared, strict=True)]
+    declared = [T.StructType([T.StructField(f.name, types[f.name]) for f in df.schema.fields]) for df in found]
+    return [
+        df if [f.dataType for f in df.schema.fields] == [f.dataType for f in own.fields] else read_csv(spark, files, own, options=options)
+        for df, files, own in zip(found, groups.values(), declared, strict=True)
+    ]
 
 
 def read_table(

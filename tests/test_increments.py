@@ -122,7 +122,7 @@ def test_300_files_of_three_headers_in_few_jobs(spark, folder):
     spark.sparkContext.setJobGroup("other", "other")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("many")) <= 30  # listings included; one per file would be 300
     loaded = spark.read.parquet(f"{folder}/out")
-    assert dict(loaded.dtypes) == {"a": "bigint", "b": "double", "c": "string", "b ": "string"}
+    assert dict(loaded.dtypes) == {"a": "bigint", "b": "string", "c": "string"}  # n/a makes b a text in all files
     assert loaded.count() == 300 and loaded.agg(F.max("a")).first()[0] == 2**40 + 298
 
 
