@@ -3,12 +3,13 @@
 Statistics of a text: words are runs without ASCII white space, lines end at line feeds; a null text is empty.
 Two fixed rules reject a text: under 20 words, or over 30 % of its words in repeated windows of 8 words.
 The others are judged by forests of random splits, one over each feature and one over all: rows that few splits
-set apart have short paths and are odd. The forests are grown on a bounded sample of the labelled rows, good and bad
-alike. What is odd need not be bad, so labels set a threshold on each forest's path length: the one that parts good and bad
-rows best, of those that reject at most ``max_good_loss`` of the good ones; a forest that finds no such threshold rejects nothing.
+set apart have short paths and are odd. Each tree is grown on a few hundred of the labelled rows, good and bad alike, which is
+what an isolation forest is. What is odd need not be bad, so the labels, all of them, set a threshold on each forest's path
+length: the one that parts good and bad rows best, of those that reject at most ``max_good_loss`` of the good ones; a forest
+that finds no such threshold rejects nothing.
 
 Extra columns pass through ``keep`` unchanged. Empty tables give empty results; without labels, or with no bad
-ones, only the fixed rules reject. Labels that are null are left out. Ties of the sample go by id.
+ones, only the fixed rules reject. Labels that are null are left out; rows that share an id share its label.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lazaret.llm.tables import cut, sampled_ids
+from lazaret.llm.tables import cut
 from lazaret.llm.text import SPACE, Texts, mix, slices, span_hashes, window_hashes, words_of
 
 _SYMBOL = np.zeros(256, bool)
@@ -184,35 +185,9 @@ def grow(x: np.ndarray, columns: tuple[int, ...], trees: int = 50, rows: int = 2
     return Forest(split, value, depth)
 
 
-def calibrated(forest: Forest, good: np.ndarray, bad: np.ndarray, max_good_loss: float) -> Forest:
-    """The forest with the threshold that rejects most bad rows less good ones, within the loss allowed.
-
-    A threshold must reject 5 bad rows at least, and bad rows at 20 times the rate of good ones.
-    """
-    g, b = np.sort(forest.path_lengths(good)), np.sort(forest.path_lengths(bad))
-    tries = np.unique(np.concatenate([g, b]))
-    lost, found = np.searchsorted(g, tries), np.searchsorted(b, tries)
-    fits = (found >= 5) & (lost <= max_good_loss * len(g)) & (found / max(len(b), 1) >= 20 * lost / len(g))
-    if not fits.any():
-        return forest
-    low = tries[int(np.argmax(np.where(fits, found / len(b) - lost / len(g), -1.0)))]
-    # Halfway to the longest path rejected, so that no labelled row lies on the threshold.
-    return replace(forest, threshold=float((low + max(g[g < low].max(initial=-np.inf), b[b < low].max(initial=-np.inf))) / 2))
-
-
-def gates(x: np.ndarray, good: np.ndarray, max_good_loss: float = 0.002) -> Gates:
-    """A forest over each feature and one over all, kept where labels give it a threshold.
-
-    ``good`` tells the label of each row of ``x``; each forest is calibrated on the bad rows that those before it let pass.
-    """
-    chosen: list[Forest] = []
-    left = ~good
-    for columns in [*((i,) for i in range(x.shape[1])), tuple(range(x.shape[1]))]:
-        forest = calibrated(grow(x, columns), x[good], x[left], max_good_loss)
-        if forest.threshold > -np.inf:
-            chosen.append(forest)
-            left = left & (forest.path_lengths(x) >= forest.threshold)
-    return Gates(tuple(chosen))
+def _columns() -> list[tuple[int, ...]]:
+    """The features of each forest: one each, then all."""
+    return [*((i,) for i in range(len(FEATURES))), tuple(range(len(FEATURES)))]
 
 
 _STAT_FIELDS = [T.StructField(n, T.LongType()) for n in (*STATISTICS, *_MORE)]
@@ -231,30 +206,86 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _threshold(paths: DataFrame, path: str, left: Column, max_good_loss: float) -> float | None:
+    """The threshold on a column of path lengths that rejects most bad rows less good ones, within the loss allowed; None if none fits.
+
+    All rows count: the good ones, and the bad ones that are ``left``. A threshold must reject 5 bad rows at least, and bad rows at
+    20 times the rate of good ones. Rows are counted by path length, in ranges of it, and the counts of the ranges before are added.
+    """
+    own = paths.filter(F.col("_good") | left).groupBy(F.col(path).alias("at"))
+    counts = own.agg(F.count_if("_good").alias("g"), F.count_if(~F.col("_good")).alias("b"))
+    counts = cut(counts.repartitionByRange("at").withColumn("part", F.spark_partition_id()), "paths-counted")
+    ranges = counts.groupBy("part").agg(F.sum("g").alias("gs"), F.sum("b").alias("bs"), F.max("at").alias("top"))
+    # A row per range: one task may hold them all.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        "part",
+        *(F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"{c}_ahead") for c in ("gs", "bs")),
+        F.max("top").over(ahead).alias("top_ahead"),
+    )
+    totals = counts.agg(F.sum("g").alias("good"), F.sum("b").alias("bad")).first()
+    if not totals["good"] or not totals["bad"]:
+        return None
+    below = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    lost = (F.col("gs_ahead") + F.coalesce(F.sum("g").over(below), F.lit(0))).alias("lost")
+    found = (F.col("bs_ahead") + F.coalesce(F.sum("b").over(below), F.lit(0))).alias("found")
+    before = F.coalesce(F.max("at").over(below), "top_ahead").alias("before")
+    tries = counts.join(F.broadcast(ranges), "part").select("at", lost, found, before)
+    lost, found = F.col("lost") / F.lit(totals["good"]), F.col("found") / F.lit(totals["bad"])
+    fits = (F.col("found") >= 5) & (F.col("lost") <= max_good_loss * totals["good"]) & (found >= 20 * lost)
+    best = tries.filter(fits).orderBy((found - lost).desc(), "at").first()
+    # Halfway to the longest path rejected, so that no labelled row lies on the threshold.
+    return None if best is None else (best["at"] + best["before"]) / 2
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     quality_col: str = "quality",
-    sample_rows: int = 20_000,
     max_good_loss: float = 0.002,
+    trees: int = 50,
+    rows: int = 256,
 ) -> Gates:
-    """Forests and thresholds from at most ``sample_rows`` labelled rows, those with the smallest hash of their id.
+    """Forests with thresholds from all labelled rows.
 
-    The sample's statistics, not its texts, come to the driver.
+    A tree is grown on ``rows`` rows, as an isolation forest is; those of all trees come to the driver, as statistics, and no others.
+    Each forest is calibrated on all good rows, and on all bad ones that the forests before it let pass.
     """
     labels = labels.filter(F.col(quality_col).isNotNull() & F.col(id_col).isNotNull())
-    labels = labels.groupBy(F.col(id_col)).agg(F.min(quality_col).alias("_good"))
-    sample = cut(sampled_ids(labels, id_col, sample_rows), "labelled")
-    # The limit bounds what is sent to the tasks, so that texts stay where they are.
-    own = docs.select(id_col, text_col).join(F.broadcast(sample.select(id_col)), id_col, "left_semi")
-    rows = measure(own, id_col, text_col).join(F.broadcast(sample), id_col).dropDuplicates([id_col]).toPandas().sort_values(id_col)
-    s = {k: rows[k].to_numpy(np.int64) for k in (*STATISTICS, *_MORE)}
-    x, passed, good = features(s), ~base_failed(s), rows["_good"].to_numpy() > 0
-    if not (passed & good).any():
+    labels = labels.groupBy(F.col(id_col)).agg((F.min(quality_col) > 0).alias("_good"))
+    # Statistics meet the labels, so that texts stay where they are.
+    labelled = cut(measure(docs, id_col, text_col).join(labels, id_col), "labelled")
+    passed = labelled.filter(
+        (F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= REPEAT_PERCENT * F.col("n_words"))
+    )
+    if passed.filter("_good").isEmpty():
         return Gates(())
-    return gates(x[passed], good[passed], max_good_loss)
+    names = (*STATISTICS, *_MORE)
+    # Rows for the trees go by the hash of their id; a cut of the hashes at about twice as many comes first, so that tasks send few.
+    key, total = F.xxhash64(id_col), passed.count()
+    near = passed if total <= 4 * trees * rows else passed.filter(key < int(-(2**63) + 2**64 * 2 * trees * rows / total))
+    drawn = near.orderBy(key, id_col, *names).limit(trees * rows).select(*names).toPandas()
+    x = features({k: drawn[k].to_numpy(np.int64) for k in names})
+    forests = [grow(x, columns, trees, rows) for columns in _columns()]
+
+    def run(batches):
+        for batch in batches:
+            own = features({k: batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in names})
+            paths = [pa.array(f.path_lengths(own)) for f in forests]
+            yield pa.RecordBatch.from_arrays([batch.column("_good"), *paths], names=schema.names)
+
+    schema = T.StructType([T.StructField("_good", T.BooleanType()), *(T.StructField(f"p{k}", T.DoubleType()) for k in range(len(forests)))])
+    paths = cut(passed.select("_good", *names).mapInArrow(run, schema), "paths")
+    chosen: list[Forest] = []
+    left = ~F.col("_good")
+    for k, forest in enumerate(forests):
+        threshold = _threshold(paths, f"p{k}", left, max_good_loss)
+        if threshold is not None:
+            chosen.append(replace(forest, threshold=float(threshold)))
+            left = left & (F.col(f"p{k}") >= threshold)
+    return Gates(tuple(chosen))
 
 
 def judge(docs: DataFrame, model: Gates, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
