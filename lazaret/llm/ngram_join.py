@@ -35,6 +35,8 @@ from lazaret.llm.text import mix, slices, window_hashes, words_of
 CHUNK = 1_500_000
 #: Rows of a chunk at most.
 ROWS = 65_536
+#: Buckets of shingles that a task works through, one after the other.
+FINE = 4
 
 
 def shingle_sets(words, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +152,16 @@ def _shingle_blocks(docs: DataFrame, id_col: str, text_col: str, size: int, buck
     return docs.select(id_col, text_col).mapInArrow(blocks, schema)
 
 
-def _shared(blocks: DataFrame, buckets: int) -> DataFrame:
+def _dealt(blocks: DataFrame, tasks: int) -> DataFrame:
+    """Blocks of ``FINE`` neighbouring buckets to each task and texts by their number, sorted by bucket: a task holds one bucket at a time.
+
+    Buckets are counted off, not hashed, as hashes put several times the mean into one task.
+    """
+    task = F.coalesce(F.floor(F.col("bucket") / F.lit(FINE)), F.pmod(F.xxhash64("ref"), F.lit(tasks)))
+    return blocks.repartitionById(tasks, task.cast("int")).sortWithinPartitions("bucket")
+
+
+def _shared(blocks: DataFrame, tasks: int) -> DataFrame:
     """Shingles of two rows or more with the number of their rows; rows for texts pass through."""
     schema = "ref long, shingle long, df int, id long, n int, digest_a long, digest_b long"
     names = ["ref", "shingle", "df", "id", "n", "digest_a", "digest_b"]
@@ -194,9 +205,7 @@ def _shared(blocks: DataFrame, buckets: int) -> DataFrame:
                 refs.append(_unplanes(batch.column("rows")[i].as_py(), np.uint16) + np.int64(batch.column("ref")[i].as_py()))
         yield from found()
 
-    # Texts are dealt by their number, blocks by bucket; sorted, so that a task holds one bucket at a time.
-    dealt = blocks.repartition(buckets, F.coalesce(F.col("bucket").cast("long"), F.xxhash64("ref")))
-    return dealt.sortWithinPartitions("bucket").mapInArrow(shared, schema)
+    return _dealt(blocks, tasks).mapInArrow(shared, schema)
 
 
 def _may_link(n1: Column, i1: Column, n2: Column, i2: Column, percent: int) -> Column:
@@ -231,8 +240,8 @@ def near_duplicates(
     if size < 2 or not 50 <= percent <= 100:
         raise ValueError("shingles have two words or more, and percent is 50 to 100")
     spark = docs.sparkSession
-    buckets = partitions(spark)
-    found = cut(_shared(_shingle_blocks(docs, id_col, text_col, size, buckets), buckets), "shingles")
+    tasks = partitions(spark)
+    found = cut(_shared(_shingle_blocks(docs, id_col, text_col, size, FINE * tasks), tasks), "shingles")
     texts = found.filter("shingle is null").select("ref", "id", "n", "digest_a", "digest_b")
 
     # Equal sets: one row of each goes on.

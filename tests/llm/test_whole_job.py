@@ -182,3 +182,16 @@ def test_elements_and_their_places():
     assert found == [
         ("a", 0, "p", (0, 2)), ("b", 0, "p", (0, 2)), ("c", 0, "li", (0, 2)), ("d", 0, "li", (0, 2)), ("ef", 0, "p", (0, 1)), ("g hj", 1, "", (0, 0)),
     ]
+
+
+def test_shingles_are_dealt_evenly(spark):
+    """Every task gets its share of the blocks, whose hashes would put several buckets into one task and none into another."""
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(i, prose(rng, 300)) for i in range(200)], "doc_id long, text string")
+    for tasks in (8, 12, 51):
+        blocks = ngram_join._shingle_blocks(docs, "doc_id", "text", 5, ngram_join.FINE * tasks)
+        dealt = ngram_join._dealt(blocks, tasks).withColumn("task", F.spark_partition_id())
+        held = dealt.filter("bucket IS NOT NULL").groupBy("task").agg(F.sum(F.length("shingles")).alias("n"), F.countDistinct("bucket").alias("buckets"))
+        found = held.collect()
+        assert len(found) == tasks and {r["buckets"] for r in found} == {ngram_join.FINE}
+        assert max(r["n"] for r in found) <= 1.3 * sum(r["n"] for r in found) / tasks
