@@ -187,13 +187,17 @@ def _identity_ranges(table: Table) -> list[str]:
     return [f"{key} < '1' OR {key} IS NULL", *between, f"{key} >= 'f'"]
 
 
+# Fixed value: rows of a CSV file. Texts may hold line ends, so a file is read by one task, however large the table is.
+ROWS_PER_FILE = 50_000
+
+
 def snapshot(df: DataFrame, root: str, name: str | None = None) -> str:
     """CSV with a header under ``root/NAME``, by default named after the current time; blanks around values stay, and so do
-    the microseconds of times."""
+    the microseconds of times. Files have ``ROWS_PER_FILE`` rows at most."""
     if name is None:
         name = df.sparkSession.range(1).select(stamp()).first()[0]
     path = f"{root}/{name}"
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    writer = df.write.option("header", True).option("escape", '"').options(**kept)
+    writer = df.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", ROWS_PER_FILE).options(**kept)
     writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").csv(path)
     return path
