@@ -96,14 +96,24 @@ def decode(df: DataFrame, schema: T.StructType, mode: str = "text") -> DataFrame
     return parsed.withColumns(columns).drop("_data", "_unreadable")
 
 
+# Possessive, so that it neither tries again nor takes a stack as deep as the text is long.
+_FLAT = r'[^"{}]++|"(?:[^"\\]++|\\.)*+"'
+_ONE_OBJECT = rf"(?s)\A\s*+\{{(?:{_FLAT}|\{{(?:{_FLAT})*+\}})*+\}}\s*+\z"
+
+
 def _has_more(value: Column, mode: str) -> Column:
     """Whether anything follows the first JSON value, which the parser would not look at; in ``text`` mode
     also whether that value is no object. Typed reading sees an empty record there.
 
-    A text from one brace to one closing brace, at its end, has nothing more. Others are parsed once
-    more as the first element of an array, behind which the array's second element has to come.
+    A text whose braces outside strings close at its end, with objects inside the first but none inside those, has nothing more;
+    records of the engine are of that kind, with their history and with texts of any kind. Others are parsed once more as the
+    first element of an array, behind which the array's second element has to come.
     """
-    simple = value.rlike(r"^\s*\{[^}]*\}\s*$")
+    # Most records are told by the place of their first closing brace: it is the last character, or closes the history before it.
+    first, end = F.instr(value, "}"), F.length(value)
+    inner = (first == end - 1) & value.endswith("}}") & value.contains(f'"{HISTORY_KEY}":{{')
+    plain = value.startswith("{") & ((first == end) | inner)
+    simple = plain | value.rlike(_ONE_OBJECT)
     array = F.from_json(F.concat(F.lit("["), value, F.lit(f',"{HISTORY_KEY}"]')), "array<string>", _STRICT)
     single = F.coalesce(F.array_position(array, HISTORY_KEY) == 2, F.lit(False))
     if mode == "text":
