@@ -1,9 +1,12 @@
 """Cases that once gave wrong values, lost rows or stopped a job."""
 
+from types import SimpleNamespace
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lazaret.catalog.files import jdbc_append
 from lazaret.contracts import schema_of
 from lazaret.functions.cleaning import Policy
 from lazaret.functions.codec import decode
@@ -102,3 +105,9 @@ def test_landing_names_the_stores_it_reaches(spark):
     assert readers.SCHEMES["s3a"] == "s3"
     with pytest.raises(ValueError, match="wasbs"):
         readers._located("wasbs://container@account/path")
+
+
+@pytest.mark.parametrize("master", ["local-cluster[3,2,3000]", "spark://host:7077", "yarn"])
+def test_executors_of_their_own_need_a_database_that_they_reach(master):
+    with pytest.raises(ValueError, match="spark.lazaret.jdbc.url"):
+        jdbc_append(SimpleNamespace(conf={"spark.master": master}), "unread")
